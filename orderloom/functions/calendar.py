@@ -2,34 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+# English day names in the order of Spark's weekday() (0 = Monday).
+_DAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
-from orderloom.functions.money import as_column
-from orderloom.schema import WEEKEND_DAYS
 
-
-def period_columns(day: Column | str) -> list[Column]:
+def period_parts(day: str) -> dict[str, str]:
     """order_year, order_month and order_quarter of a date."""
-    day = as_column(day)
-    return [
-        F.year(day).alias("order_year"),
-        F.month(day).alias("order_month"),
-        F.quarter(day).alias("order_quarter"),
-    ]
+    return {"order_year": f"year({day})", "order_month": f"month({day})", "order_quarter": f"quarter({day})"}
 
 
-def day_name(day: Column | str) -> Column:
-    """English weekday name in full."""
-    return F.date_format(as_column(day), "EEEE")
+def day_name(day: str) -> str:
+    """English weekday name in full, whatever the locale."""
+    names = ", ".join(f"'{name}'" for name in _DAY_NAMES)
+    return f"elt(weekday({day}) + 1, {names})"
 
 
-def is_weekend(name: Column | str) -> Column:
-    """True for a weekend day name; a missing day is False, never NULL."""
-    return F.coalesce(as_column(name).isin(*WEEKEND_DAYS), F.lit(False))
+def is_weekend(day: str) -> str:
+    """True on Saturday and Sunday; a missing day is False, never NULL."""
+    return f"coalesce(weekday({day}) IN (5, 6), false)"
 
 
-def week_label(day: Column | str) -> Column:
+def week_label(day: str) -> str:
     """Monday-to-Sunday week of a date as ``first/last``."""
-    monday = F.trunc(as_column(day), "WEEK")
-    return F.concat(monday.cast("string"), F.lit("/"), F.date_add(monday, 6).cast("string"))
+    monday = f"trunc({day}, 'WEEK')"
+    return f"concat(CAST({monday} AS STRING), '/', CAST(date_add({monday}, 6) AS STRING))"

@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-from orderloom.functions.money import as_column
-
-
-def padded_id(prefix: str, number: Column | str, width: int) -> Column:
+def padded_id(prefix: str, number: str, width: int) -> str:
     """``prefix`` + number, zero-padded to at least ``width`` digits, never cut."""
-    digits = as_column(number).cast("string")
-    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0")))
+    digits = f"CAST({number} AS STRING)"
+    return f"concat('{prefix}', lpad({digits}, greatest(length({digits}), {width}), '0'))"
 
 
-def surrogate_key(key: Column | str) -> Column:
+def surrogate_key(key: str) -> str:
     """Lower-case hexadecimal md5 of a text key."""
-    return F.md5(as_column(key).cast("binary"))
+    return f"md5(CAST({key} AS BINARY))"

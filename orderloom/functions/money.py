@@ -10,67 +10,54 @@ Rounding is half away from zero.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from orderloom.schema import MONEY
-
 # Below this amount a double holds cents with room to spare, so the fast path
 # is exact. Larger amounts (table totals, not order lines) go through decimals.
-_DOUBLE_IS_EXACT = Decimal("20000000000000.00")
-
-
-def as_column(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+_DOUBLE_IS_EXACT = "20000000000000BD"
 
 
-def to_cents(amount: Column | str) -> Column:
+def to_cents(amount: str) -> str:
     """Amount with two decimal places to BIGINT cents, exactly."""
-    amount = as_column(amount)
-    fast = F.rint(amount.cast("double") * 100).cast("bigint")
-    exact = (amount * 100).cast("bigint")
-    return F.when(amount.between(-_DOUBLE_IS_EXACT, _DOUBLE_IS_EXACT), fast).otherwise(exact)
+    return (
+        f"CASE WHEN {amount} BETWEEN -{_DOUBLE_IS_EXACT} AND {_DOUBLE_IS_EXACT}"
+        f" THEN CAST(rint(CAST({amount} AS DOUBLE) * 100) AS BIGINT)"
+        f" ELSE CAST({amount} * 100 AS BIGINT) END"
+    )
 
 
-def from_cents(cents: Column | str) -> Column:
+def from_cents(cents: str) -> str:
     """BIGINT cents to the stored money type."""
-    return (as_column(cents) * F.lit(Decimal("0.01"))).cast(MONEY)
+    return f"CAST(({cents}) * 0.01BD AS DECIMAL(18, 2))"
 
 
-def to_hundredths(value: Column | str) -> Column:
+def to_hundredths(value: str) -> str:
     """Small two-place measure (a rating) to whole hundredths."""
-    return F.rint(as_column(value).cast("double") * 100).cast("bigint")
+    return f"CAST(rint(CAST({value} AS DOUBLE) * 100) AS BIGINT)"
 
 
-def divide_half_up(numerator: Column, denominator: Column) -> Column:
+def divide_half_up(numerator: str, denominator: str) -> str:
     """Integer quotient rounded half away from zero; NULL for a zero denominator.
 
     The denominator must not be negative (it is a count everywhere here).
     """
-    safe = F.nullif(denominator, F.lit(0))
-    magnitude = F.call_function("div", F.abs(numerator) * 2 + safe, safe * 2)
-    return F.when(numerator < 0, -magnitude).otherwise(magnitude)
+    half = f"CASE WHEN ({numerator}) < 0 THEN -({denominator}) ELSE {denominator} END"
+    return f"((2 * ({numerator}) + {half}) DIV nullif(2 * ({denominator}), 0))"
 
 
-def sum_money(amount: Column | str) -> Column:
+def sum_money(amount: str) -> str:
     """SUM of an amount column as money."""
-    return from_cents(F.sum(to_cents(amount)))
+    return from_cents(f"sum({to_cents(amount)})")
 
 
-def mean_money(amount: Column | str) -> Column:
+def mean_money(amount: str) -> str:
     """AVG of an amount column, rounded to cents. NULLs do not count, as in AVG."""
-    amount = as_column(amount)
-    return from_cents(divide_half_up(F.sum(to_cents(amount)), F.count(amount)))
+    return from_cents(divide_half_up(f"sum({to_cents(amount)})", f"count({amount})"))
 
 
-def mean_2dp(value: Column | str) -> Column:
+def mean_2dp(value: str) -> str:
     """AVG of a small measure, rounded to two places, as DOUBLE."""
-    value = as_column(value)
-    return divide_half_up(F.sum(to_hundredths(value)), F.count(value)).cast("double") / 100
+    return f"CAST({divide_half_up(f'sum({to_hundredths(value)})', f'count({value})')} AS DOUBLE) / 100"
 
 
-def percent_2dp(part: Column, whole: Column) -> Column:
+def percent_2dp(part: str, whole: str) -> str:
     """100 * part / whole rounded to two places, as DOUBLE; NULL for a zero whole."""
-    return divide_half_up(part * 10000, whole).cast("double") / 100
+    return f"CAST({divide_half_up(f'10000 * ({part})', whole)} AS DOUBLE) / 100"

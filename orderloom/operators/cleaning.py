@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
 
-from orderloom.functions.calendar import day_name, is_weekend, period_columns
+from orderloom.functions.calendar import day_name, is_weekend, period_parts
 from orderloom.functions.money import divide_half_up, from_cents, to_cents
 from orderloom.schema import BRONZE, CANCELLED, NO_RATING, NO_RETURN, RETURNED
 
 
-def _valid(orders: DataFrame) -> Column:
-    price = F.col("unit_price")
-    valid = (price > 0) & (F.col("quantity") > 0) & ~F.col("status").eqNullSafe(CANCELLED)
-    if isinstance(orders.schema["unit_price"].dataType, (DoubleType, FloatType)):
+def _valid(orders: DataFrame) -> str:
+    valid = f"unit_price > 0 AND quantity > 0 AND NOT (status <=> '{CANCELLED}')"
+    if dict(orders.dtypes)["unit_price"] in ("double", "float"):
         # Spark orders NaN above every number, so "> 0" alone would keep it.
-        valid = valid & ~F.isnan(price)
+        valid += " AND NOT isnan(unit_price)"
     return valid
 
 
@@ -30,40 +28,40 @@ def keep_valid(orders: DataFrame) -> DataFrame:
 
 def fill_missing(orders: DataFrame) -> DataFrame:
     """Rating NULL or NaN becomes 0.0, return reason NULL becomes 'No Return'."""
-    rating = F.col("customer_rating").cast("double")
-    return orders.withColumn("customer_rating", rating).fillna(
-        {"customer_rating": NO_RATING, "return_reason": NO_RETURN}
+    rating = f"nanvl(coalesce(CAST(customer_rating AS DOUBLE), {NO_RATING}D), {NO_RATING}D)"
+    return orders.withColumns(
+        {"customer_rating": F.expr(rating), "return_reason": F.expr(f"coalesce(return_reason, '{NO_RETURN}')")}
     )
 
 
 def add_amounts(orders: DataFrame) -> DataFrame:
     """gross, discount, net and total amount, worked out in whole cents."""
-    in_cents = (
-        orders.withColumn("_gross", to_cents("unit_price") * F.col("quantity"))
-        .withColumn("_discount", divide_half_up(F.col("_gross") * F.col("discount_pct"), F.lit(100)))
-        .withColumn("_net", F.col("_gross") - F.col("_discount"))
-    )
-    return in_cents.withColumns(
-        {
-            "gross_amount": from_cents("_gross"),
-            "discount_amount": from_cents("_discount"),
-            "net_amount": from_cents("_net"),
-            "total_amount": from_cents(F.col("_net") + to_cents("shipping_cost")),
-        }
-    ).drop("_gross", "_discount", "_net")
+    return orders.selectExpr(
+        "*",
+        f"{to_cents('unit_price')} * quantity AS _gross",
+        f"{divide_half_up('_gross * discount_pct', '100')} AS _discount",
+        f"{from_cents('_gross')} AS gross_amount",
+        f"{from_cents('_discount')} AS discount_amount",
+        f"{from_cents('_gross - _discount')} AS net_amount",
+        f"{from_cents(f'_gross - _discount + ({to_cents('shipping_cost')})')} AS total_amount",
+    ).drop("_gross", "_discount")
 
 
 def add_calendar(orders: DataFrame) -> DataFrame:
     """order_date as a date, its year, month, quarter and day name, weekend flag."""
-    dated = orders.withColumn("order_date", F.col("order_date").cast("date"))
-    return dated.select("*", *period_columns("order_date"), day_name("order_date").alias("order_day_name")).withColumn(
-        "is_weekend", is_weekend("order_day_name")
-    )
+    day = "CAST(order_date AS DATE)"
+    derived = {
+        "order_date": day,
+        **period_parts(day),
+        "order_day_name": day_name(day),
+        "is_weekend": is_weekend(day),
+    }
+    return orders.withColumns({name: F.expr(sql) for name, sql in derived.items()})
 
 
 def add_flags(orders: DataFrame) -> DataFrame:
     """is_returned; a missing status is False, never NULL."""
-    return orders.withColumn("is_returned", F.col("status").eqNullSafe(RETURNED))
+    return orders.withColumn("is_returned", F.expr(f"status <=> '{RETURNED}'"))
 
 
 def clean_orders(bronze: DataFrame) -> DataFrame:
@@ -78,18 +76,25 @@ def clean_orders(bronze: DataFrame) -> DataFrame:
 
 
 def as_bronze(orders: DataFrame) -> DataFrame:
-    """Cast the known columns of any order frame to the bronze layout, by name."""
-    present = {c.lower() for c in orders.columns}
-    return orders.select(
-        [F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE.fields if f.name in present]
-    )
+    """Any order frame in the bronze layout: columns by name in any order and
+    case, NaN as NULL where the stored type has no NaN."""
+    given = {name.lower(): dtype for name, dtype in orders.dtypes}
+    columns = []
+    for field in BRONZE.fields:
+        stored = field.dataType.simpleString()
+        value = field.name
+        if given.get(value) in ("double", "float") and stored != "double":
+            value = f"nanvl({value}, NULL)"
+        columns.append(f"CAST({value} AS {stored}) AS {field.name}")
+    return orders.selectExpr(*columns)
 
 
 def drop_summary(bronze: DataFrame) -> DataFrame:
     """How many rows cleaning keeps and drops; the percentage has one place."""
     counts = bronze.agg(
-        F.count(F.lit(1)).alias("original_rows"),
-        F.count_if(_valid(bronze)).alias("kept_rows"),
-    ).withColumn("dropped_rows", F.col("original_rows") - F.col("kept_rows"))
-    tenths = divide_half_up(F.col("dropped_rows") * 1000, F.col("original_rows"))
-    return counts.withColumn("dropped_pct", tenths.cast("double") / 10)
+        F.expr("count(*) AS original_rows"), F.expr(f"count_if({_valid(bronze)}) AS kept_rows")
+    )
+    tenths = divide_half_up("1000 * (original_rows - kept_rows)", "original_rows")
+    return counts.selectExpr(
+        "*", "original_rows - kept_rows AS dropped_rows", f"CAST({tenths} AS DOUBLE) / 10 AS dropped_pct"
+    )

@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from orderloom.functions.segments import segment_by_spend
 from orderloom.operators import marts, rollups
@@ -31,42 +30,42 @@ def city_metrics_columns(cities: DataFrame) -> DataFrame:
 
 
 def customer_segments_columns(customers: DataFrame) -> DataFrame:
-    return customers.select(
+    return customers.selectExpr(
         "customer_id",
         "frequency",
         "monetary",
         "recency_days",
-        F.col("first_order_date").alias("first_order"),
-        F.col("last_order_date").alias("last_order"),
+        "first_order_date AS first_order",
+        "last_order_date AS last_order",
         "customer_segment",
     )
 
 
 def daily_sales(silver: DataFrame) -> DataFrame:
-    return daily_sales_columns(marts.daily_sales(silver))
+    return daily_sales_columns(rollups.by_day(silver))
 
 
 def category_metrics(silver: DataFrame) -> DataFrame:
-    return category_metrics_columns(marts.category_metrics(silver))
+    return category_metrics_columns(rollups.by_category(silver))
 
 
 def city_metrics(silver: DataFrame) -> DataFrame:
-    return city_metrics_columns(marts.city_metrics(silver))
+    return city_metrics_columns(rollups.by_city(silver))
 
 
-def customer_segments(silver: DataFrame, as_of: date | Column | None = None) -> DataFrame:
+def customer_segments(silver: DataFrame, as_of: date | None = None) -> DataFrame:
     return customer_segments_columns(marts.with_segment(rollups.by_customer(silver, as_of)))
 
 
 def customer_spend_tiers(silver: DataFrame) -> DataFrame:
     """Customers by lifetime spend alone. Cents are exact, so the rounded sum and
     the sum itself are the same number."""
-    return rollups.by_customer(silver).select(
+    return rollups.by_customer(silver).selectExpr(
         "customer_id",
-        F.col("frequency").alias("total_orders"),
-        F.col("monetary").alias("lifetime_value"),
+        "frequency AS total_orders",
+        "monetary AS lifetime_value",
         "avg_order_value",
-        F.col("first_order_date").alias("first_order"),
-        F.col("last_order_date").alias("last_order"),
-        segment_by_spend(F.col("monetary")).alias("customer_segment"),
+        "first_order_date AS first_order",
+        "last_order_date AS last_order",
+        f"{segment_by_spend('monetary')} AS customer_segment",
     )

@@ -16,7 +16,7 @@ from orderloom.sources.lake import Lake
 
 def watermark(loaded: DataFrame) -> DataFrame:
     """One row with the highest loaded order date; NULL for an empty table."""
-    return loaded.agg(F.max("order_date").alias("watermark"))
+    return loaded.agg(F.expr("max(order_date) AS watermark"))
 
 
 def rows_after(batch: DataFrame, last_loaded: date | None) -> DataFrame:

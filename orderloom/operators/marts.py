@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.segments import segment_by_spend_and_frequency
@@ -23,12 +23,11 @@ def city_metrics(staging: DataFrame) -> DataFrame:
     return rollups.by_city(staging)
 
 
-def customer_segments(staging: DataFrame, as_of: date | Column | None = None) -> DataFrame:
+def customer_segments(staging: DataFrame, as_of: date | None = None) -> DataFrame:
     """Recency, frequency and spend per customer with the two-threshold segment."""
-    categories = F.count_distinct("category").alias("categories_bought")
-    return with_segment(rollups.by_customer(staging, as_of, rollups.rating(), categories)).drop("avg_order_value")
+    customers = rollups.by_customer(staging, as_of, "avg_rating", "categories_bought")
+    return with_segment(customers).drop("avg_order_value")
 
 
 def with_segment(customers: DataFrame) -> DataFrame:
-    segment = segment_by_spend_and_frequency(F.col("monetary"), F.col("frequency"))
-    return customers.withColumn("customer_segment", segment)
+    return customers.withColumn("customer_segment", F.expr(segment_by_spend_and_frequency("monetary", "frequency")))

@@ -18,7 +18,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.money import sum_money
@@ -29,43 +29,39 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _unpivot(one_row: DataFrame, labels: list[str], label_name: str, value_name: str) -> DataFrame:
-    """One-row frame with columns v0, v1, .. to one row per label."""
-    quoted = ", ".join("'{}', v{}".format(label.replace("'", "\\'"), i) for i, label in enumerate(labels))
-    return one_row.selectExpr(f"stack({len(labels)}, {quoted}) as ({label_name}, {value_name})")
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 # -- expectations ---------------------------------------------------------
 
 
-def scalar_checks(table: DataFrame, checks: Mapping[str, tuple[Column, int]]) -> DataFrame:
+def scalar_checks(table: DataFrame, checks: Mapping[str, tuple[str, int]]) -> DataFrame:
     """Evaluate aggregates over a table, all in one scan.
 
     ``checks`` maps a name to (aggregate, expected value). A NULL result is a
     failure, not an unknown.
     """
-    names = list(checks)
-    measured = table.agg(*[checks[name][0].cast("bigint").alias(f"v{i}") for i, name in enumerate(names)])
-    expected = F.lit(None).cast("bigint")
-    for name in names:
-        expected = F.when(F.col("check_name") == name, F.lit(checks[name][1]).cast("bigint")).otherwise(expected)
-    return _unpivot(measured, names, "check_name", "got").select(
-        "check_name", "got", expected.alias("expected"), F.col("got").eqNullSafe(expected).alias("passed")
+    measured = table.agg(*[F.expr(f"CAST({sql} AS BIGINT) AS v{i}") for i, (sql, _) in enumerate(checks.values())])
+    rows = ", ".join(f"{_text(name)}, v{i}, {expected}L" for i, (name, (_, expected)) in enumerate(checks.items()))
+    return measured.selectExpr(f"stack({len(checks)}, {rows}) AS (check_name, got, expected)").selectExpr(
+        "*", "got <=> expected AS passed"
     )
 
 
 def order_expectations(orders: DataFrame) -> DataFrame:
     """Row-level promises of silver, each a count of offending rows."""
     offending = {
-        "no_negative_price": F.col("unit_price") < 0,
-        "no_zero_quantity": F.col("quantity") == 0,
-        "no_missing_customer": F.col("customer_id").isNull(),
-        "no_cancelled_order": F.col("status") == CANCELLED,
-        "no_negative_total": F.col("total_amount") < 0,
-        "price_above_zero": F.col("unit_price") <= 0,
-        "total_above_zero": F.col("total_amount") <= 0,
+        "no_negative_price": "unit_price < 0",
+        "no_zero_quantity": "quantity = 0",
+        "no_missing_customer": "customer_id IS NULL",
+        "no_cancelled_order": f"status = {_text(CANCELLED)}",
+        "no_negative_total": "total_amount < 0",
+        "price_above_zero": "unit_price <= 0",
+        "total_above_zero": "total_amount <= 0",
     }
-    return scalar_checks(orders, {name: (F.count_if(rule), 0) for name, rule in offending.items()})
+    return scalar_checks(orders, {name: (f"count_if({rule})", 0) for name, rule in offending.items()})
 
 
 def reconciliation(
@@ -81,37 +77,32 @@ def reconciliation(
     Both sides are one-row aggregates; they meet in a union grouped by check
     name, so no table is joined to another.
     """
-    in_silver = _unpivot(
-        silver.agg(F.count_distinct("category").alias("v0"), F.count_distinct("city").alias("v1")),
-        ["categories_match_silver", "cities_match_silver"],
-        "check_name",
-        "expected",
+    in_silver = silver.agg(F.expr("count(DISTINCT category) AS v0"), F.expr("count(DISTINCT city) AS v1")).selectExpr(
+        "stack(2, 'categories_match_silver', v0, 'cities_match_silver', v1) AS (check_name, expected)"
     )
-    missing = F.lit(None).cast("bigint")
 
-    def got(name: str, table: DataFrame, measure: Column, expected: Column = missing) -> DataFrame:
-        return table.agg(measure.alias("got")).select(
-            F.lit(name).alias("check_name"), "got", expected.cast("bigint").alias("expected")
+    def got(name: str, table: DataFrame, measure: str, expected: str = "CAST(NULL AS BIGINT)") -> DataFrame:
+        return table.agg(F.expr(f"{measure} AS got")).selectExpr(
+            f"{_text(name)} AS check_name", "got", f"{expected} AS expected"
         )
 
-    sides = union_all(
-        [
-            in_silver.select("check_name", missing.alias("got"), "expected"),
-            got("categories_match_silver", gold_categories, F.count(F.lit(1))),
-            got("cities_match_silver", gold_cities, F.count(F.lit(1))),
-            got("all_segments_present", gold_segments, F.count_distinct("customer_segment"), F.lit(expected_segments)),
-        ]
-    )
+    sides = [
+        in_silver.selectExpr("check_name", "CAST(NULL AS BIGINT) AS got", "expected"),
+        got("categories_match_silver", gold_categories, "count(*)"),
+        got("cities_match_silver", gold_cities, "count(*)"),
+        got("all_segments_present", gold_segments, "count(DISTINCT customer_segment)", f"{expected_segments}L"),
+    ]
     return (
-        sides.groupBy("check_name")
-        .agg(F.max("got").alias("got"), F.max("expected").alias("expected"))
-        .withColumn("passed", F.col("got").eqNullSafe(F.col("expected")))
+        union_all(sides)
+        .groupBy("check_name")
+        .agg(F.expr("max(got) AS got"), F.expr("max(expected) AS expected"))
+        .selectExpr("*", "got <=> expected AS passed")
     )
 
 
 def total_revenue(gold_categories: DataFrame) -> DataFrame:
     """Revenue over all categories: one row."""
-    return gold_categories.agg(sum_money("total_revenue").alias("total_revenue"))
+    return gold_categories.agg(F.expr(f"{sum_money('total_revenue')} AS total_revenue"))
 
 
 # -- column tests ---------------------------------------------------------
@@ -127,8 +118,9 @@ class ColumnTest:
 
 def null_counts(table: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, failures): NULLs per column, in one scan."""
-    counts = table.agg(*[F.count_if(F.col(c).isNull()).alias(f"v{i}") for i, c in enumerate(columns)])
-    return _unpivot(counts, columns, "column_name", "failures")
+    counts = table.agg(*[F.expr(f"count_if({c} IS NULL) AS v{i}") for i, c in enumerate(columns)])
+    rows = ", ".join(f"{_text(c)}, v{i}" for i, c in enumerate(columns))
+    return counts.selectExpr(f"stack({len(columns)}, {rows}) AS (column_name, failures)")
 
 
 def duplicate_keys(table: DataFrame, column: str) -> DataFrame:
@@ -138,57 +130,47 @@ def duplicate_keys(table: DataFrame, column: str) -> DataFrame:
     part of the table is still one small row per map task.
     """
     return (
-        table.where(F.col(column).isNotNull())
+        table.where(f"{column} IS NOT NULL")
         .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("occurrences"))
-        .where(F.col("occurrences") > 1)
+        .agg(F.expr("count(*) AS occurrences"))
+        .where("occurrences > 1")
     )
 
 
 def unaccepted_values(table: DataFrame, column: str, accepted: Iterable[str]) -> DataFrame:
     """(column, occurrences) of every value outside the list; NULL passes."""
-    return (
-        table.where(~F.col(column).isin(*accepted))
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("occurrences"))
-    )
+    values = ", ".join(_text(value) for value in accepted)
+    return table.where(f"{column} NOT IN ({values})").groupBy(column).agg(F.expr("count(*) AS occurrences"))
 
 
 def _count_failures(failing: DataFrame, column: str) -> DataFrame:
-    return failing.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(column).alias("column_name"), "failures")
+    return failing.agg(F.expr("count(*) AS failures")).selectExpr(f"{_text(column)} AS column_name", "failures")
 
 
 def run_column_tests(tables: Mapping[str, DataFrame], tests: Iterable[ColumnTest]) -> DataFrame:
     """One row per declared test over the named tables."""
     tests = list(tests)
-    results = []
-
-    def add(test: str, model: str, failures: DataFrame) -> None:
-        results.append(
-            failures.select(
-                F.lit(test).alias("test"),
-                F.lit(model).alias("model"),
-                "column_name",
-                "failures",
-                (F.col("failures") == 0).alias("passed"),
-            )
-        )
-
     not_null: dict[str, list[str]] = {}
+    results = []
     for t in tests:
+        table = tables[t.model]
         if t.test == "not_null":
             not_null.setdefault(t.model, []).append(t.column)
-    for model, columns in not_null.items():
-        add("not_null", model, null_counts(tables[model], columns))
-    for t in tests:
-        if t.test == "unique":
-            add(t.test, t.model, _count_failures(duplicate_keys(tables[t.model], t.column), t.column))
+        elif t.test == "unique":
+            results.append((t.test, t.model, _count_failures(duplicate_keys(table, t.column), t.column)))
         elif t.test == "accepted_values":
-            failing = unaccepted_values(tables[t.model], t.column, t.accepted)
-            add(t.test, t.model, _count_failures(failing, t.column))
-        elif t.test != "not_null":
+            failing = unaccepted_values(table, t.column, t.accepted)
+            results.append((t.test, t.model, _count_failures(failing, t.column)))
+        else:
             raise ValueError(f"unknown column test {t.test!r}")
-    return union_all(results)
+    for model, columns in not_null.items():
+        results.append(("not_null", model, null_counts(tables[model], columns)))
+    return union_all(
+        failures.selectExpr(
+            f"{_text(test)} AS test", f"{_text(model)} AS model", "column_name", "failures", "failures = 0 AS passed"
+        )
+        for test, model, failures in results
+    )
 
 
 # -- gate -----------------------------------------------------------------

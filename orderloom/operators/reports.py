@@ -12,28 +12,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.calendar import week_label
-from orderloom.functions.money import from_cents, mean_money, percent_2dp, sum_money, to_cents, to_hundredths
+from orderloom.functions.money import from_cents, mean_2dp, mean_money, percent_2dp, sum_money, to_cents
 from orderloom.schema import SEGMENTS
 
 
 def top_categories(silver: DataFrame) -> DataFrame:
     """Orders, revenue and mean rating per category, in Spark SQL over silver."""
-    sales = silver.select(
-        "category",
-        to_cents("total_amount").alias("cents"),
-        to_hundredths("customer_rating").alias("rating"),
-    )
     return silver.sparkSession.sql(
-        """
+        f"""
         SELECT category,
-               COUNT(*) AS orders,
-               CAST(SUM(cents) * 0.01BD AS DECIMAL(18, 2)) AS revenue,
-               CAST((2 * SUM(rating) + COUNT(rating)) DIV NULLIF(2 * COUNT(rating), 0) AS DOUBLE) / 100 AS avg_rating
-        FROM {sales}
+               count(*) AS orders,
+               {sum_money('total_amount')} AS revenue,
+               {mean_2dp('customer_rating')} AS avg_rating
+        FROM {{sales}}
         GROUP BY category
         ORDER BY revenue DESC, category
         """,
-        sales=sales,
+        sales=silver,
     )
 
 
@@ -58,9 +53,9 @@ def segment_summary(spend_tiers: DataFrame) -> DataFrame:
     return (
         spend_tiers.groupBy("customer_segment")
         .agg(
-            F.count(F.lit(1)).alias("customers"),
-            mean_money("lifetime_value").alias("avg_ltv"),
-            sum_money("lifetime_value").alias("segment_revenue"),
+            F.expr("count(*) AS customers"),
+            F.expr(f"{mean_money('lifetime_value')} AS avg_ltv"),
+            F.expr(f"{sum_money('lifetime_value')} AS segment_revenue"),
         )
         .orderBy(F.desc("avg_ltv"), "customer_segment")
     )
@@ -70,8 +65,8 @@ def quarterly_revenue(gold_daily: DataFrame) -> DataFrame:
     return (
         gold_daily.groupBy("order_year", "order_quarter")
         .agg(
-            sum_money("total_revenue").alias("quarterly_revenue"),
-            F.sum("total_orders").alias("total_orders"),
+            F.expr(f"{sum_money('total_revenue')} AS quarterly_revenue"),
+            F.expr("sum(total_orders) AS total_orders"),
         )
         .orderBy("order_year", "order_quarter")
     )
@@ -80,8 +75,8 @@ def quarterly_revenue(gold_daily: DataFrame) -> DataFrame:
 def weekly_revenue(gold_daily: DataFrame) -> DataFrame:
     """Revenue per Monday-to-Sunday week."""
     return (
-        gold_daily.groupBy(week_label("sale_date").alias("week"))
-        .agg(sum_money("total_revenue").alias("total_revenue"))
+        gold_daily.groupBy(F.expr(f"{week_label('sale_date')} AS week"))
+        .agg(F.expr(f"{sum_money('total_revenue')} AS total_revenue"))
         .orderBy("week")
     )
 
@@ -93,26 +88,23 @@ def segment_revenue_share(spend_tiers: DataFrame) -> DataFrame:
     figures and the total they are measured against; unpivoting it gives the
     rows. The customers are read once, and there is no join or global window.
     """
-    spend = to_cents("lifetime_value")
-    figures = []
+    cents = to_cents("lifetime_value")
+    figures = [F.expr(f"sum({cents}) AS all_cents")]
     for i, segment in enumerate(SEGMENTS):
-        here = F.col("customer_segment") == segment
-        figures += [F.count_if(here).alias(f"n{i}"), F.sum(F.when(here, spend)).alias(f"s{i}")]
-    totals = spend_tiers.agg(F.sum(spend).alias("all_cents"), *figures)
-    stack = ", ".join(f"'{segment}', n{i}, s{i}" for i, segment in enumerate(SEGMENTS))
-    rows = totals.selectExpr(
-        "all_cents", f"stack({len(SEGMENTS)}, {stack}) as (customer_segment, customers, cents)"
-    )
+        here = f"FILTER (WHERE customer_segment = '{segment}')"
+        figures += [F.expr(f"count(*) {here} AS n{i}"), F.expr(f"sum({cents}) {here} AS s{i}")]
+    stacked = ", ".join(f"'{segment}', n{i}, s{i}" for i, segment in enumerate(SEGMENTS))
+    # In decimals: ten thousand times a grand total can outgrow a BIGINT.
+    share = percent_2dp("CAST(cents AS DECIMAL(22, 0))", "CAST(all_cents AS DECIMAL(22, 0))")
     return (
-        rows.where(F.col("customers") > 0)
-        .select(
+        spend_tiers.agg(*figures)
+        .selectExpr("all_cents", f"stack({len(SEGMENTS)}, {stacked}) AS (customer_segment, customers, cents)")
+        .where("customers > 0")
+        .selectExpr(
             "customer_segment",
             "customers",
-            from_cents("cents").alias("total_revenue"),
-            # In decimals: ten thousand times a grand total can outgrow a BIGINT.
-            percent_2dp(F.col("cents").cast("decimal(22,0)"), F.col("all_cents").cast("decimal(22,0)")).alias(
-                "revenue_share_pct"
-            ),
+            f"{from_cents('cents')} AS total_revenue",
+            f"{share} AS revenue_share_pct",
         )
         .orderBy(F.desc("total_revenue"), "customer_segment")
     )
@@ -121,12 +113,9 @@ def segment_revenue_share(spend_tiers: DataFrame) -> DataFrame:
 def layer_row_counts(tables: Iterable[tuple[str, str, DataFrame, str]]) -> DataFrame:
     """Row count per table, from (layer, table, frame, description)."""
     counted = [
-        frame.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(layer).alias("layer"),
-            F.lit(name).alias("table_name"),
-            "row_count",
-            F.lit(description).alias("description"),
-        )
+        frame.groupBy()
+        .agg(F.expr("count(*) AS row_count"))
+        .selectExpr(f"'{layer}' AS layer", f"'{name}' AS table_name", "row_count", f"'{description}' AS description")
         for layer, name, frame, description in tables
     ]
     return reduce(DataFrame.unionByName, counted)

@@ -17,106 +17,95 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.calendar import period_columns
+from orderloom.functions.calendar import period_parts
 from orderloom.functions.money import mean_2dp, mean_money, percent_2dp, sum_money
 
-
-def _total_orders() -> Column:
-    return F.count("*").alias("total_orders")
-
-
-def _unique_customers() -> Column:
-    return F.count_distinct("customer_id").alias("unique_customers")
-
-
-def _items_sold() -> Column:
-    return F.sum("quantity").cast("bigint").alias("total_items_sold")
-
-
-def _revenue() -> Column:
-    return sum_money("total_amount").alias("total_revenue")
-
-
-def _order_value() -> Column:
-    return mean_money("total_amount").alias("avg_order_value")
-
-
-def rating() -> Column:
-    return mean_2dp("customer_rating").alias("avg_rating")
-
-
-def _returns() -> Column:
-    return F.count_if("is_returned").alias("total_returns")
-
-
-def _return_rate() -> Column:
-    return percent_2dp(F.count_if("is_returned"), F.count("*")).alias("return_rate_pct")
+_MEASURES = {
+    "total_orders": "count(*)",
+    "unique_customers": "count(DISTINCT customer_id)",
+    "total_items_sold": "CAST(sum(quantity) AS BIGINT)",
+    "gross_revenue": sum_money("gross_amount"),
+    "total_discounts": sum_money("discount_amount"),
+    "net_revenue": sum_money("net_amount"),
+    "total_revenue": sum_money("total_amount"),
+    "avg_order_value": mean_money("total_amount"),
+    "avg_rating": mean_2dp("customer_rating"),
+    "avg_discount_pct": mean_2dp("discount_pct"),
+    "total_returns": "count_if(is_returned)",
+    "return_rate_pct": percent_2dp("count_if(is_returned)", "count(*)"),
+    "frequency": "count(*)",
+    "monetary": sum_money("total_amount"),
+    "first_order_date": "min(CAST(order_date AS DATE))",
+    "last_order_date": "max(CAST(order_date AS DATE))",
+    "categories_bought": "count(DISTINCT category)",
+}
+
+
+def _measures(*names: str) -> list[Column]:
+    return [F.expr(f"{_MEASURES[name]} AS {name}") for name in names]
 
 
 def by_day(orders: DataFrame) -> DataFrame:
     """One row per day. Year, month and quarter follow from the day, so they are
     derived afterwards instead of widening the grouping key."""
-    daily = orders.groupBy(F.col("order_date").cast("date").alias("sale_date")).agg(
-        _total_orders(),
-        _unique_customers(),
-        _items_sold(),
-        sum_money("gross_amount").alias("gross_revenue"),
-        sum_money("discount_amount").alias("total_discounts"),
-        sum_money("net_amount").alias("net_revenue"),
-        _revenue(),
-        _order_value(),
-        _returns(),
-        _return_rate(),
+    measures = (
+        "total_orders",
+        "unique_customers",
+        "total_items_sold",
+        "gross_revenue",
+        "total_discounts",
+        "net_revenue",
+        "total_revenue",
+        "avg_order_value",
+        "total_returns",
+        "return_rate_pct",
     )
-    measures = [c for c in daily.columns if c != "sale_date"]
-    return daily.select("sale_date", *period_columns("sale_date"), *measures)
+    daily = orders.groupBy(F.expr("CAST(order_date AS DATE) AS sale_date")).agg(*_measures(*measures))
+    periods = [f"{sql} AS {name}" for name, sql in period_parts("sale_date").items()]
+    return daily.selectExpr("sale_date", *periods, *measures)
 
 
 def by_category(orders: DataFrame) -> DataFrame:
     """One row per category."""
     return orders.groupBy("category").agg(
-        _total_orders(),
-        _unique_customers(),
-        _items_sold(),
-        _revenue(),
-        _order_value(),
-        rating(),
-        mean_2dp("discount_pct").alias("avg_discount_pct"),
-        _returns(),
-        _return_rate(),
+        *_measures(
+            "total_orders",
+            "unique_customers",
+            "total_items_sold",
+            "total_revenue",
+            "avg_order_value",
+            "avg_rating",
+            "avg_discount_pct",
+            "total_returns",
+            "return_rate_pct",
+        )
     )
 
 
 def by_city(orders: DataFrame) -> DataFrame:
     """One row per city."""
     return orders.groupBy("city").agg(
-        _total_orders(),
-        _unique_customers(),
-        _items_sold(),
-        _revenue(),
-        _order_value(),
-        rating(),
-        _returns(),
-        _return_rate(),
+        *_measures(
+            "total_orders",
+            "unique_customers",
+            "total_items_sold",
+            "total_revenue",
+            "avg_order_value",
+            "avg_rating",
+            "total_returns",
+            "return_rate_pct",
+        )
     )
 
 
-def by_customer(orders: DataFrame, as_of: date | Column | None = None, *more: Column) -> DataFrame:
-    """One row per customer, with any further aggregates a caller adds.
+def by_customer(orders: DataFrame, as_of: date | None = None, *more: str) -> DataFrame:
+    """One row per customer, with any further measures a caller names.
 
     ``as_of`` is the day recency counts to: today unless given.
     """
-    if as_of is None:
-        as_of = F.current_date()
-    elif not isinstance(as_of, Column):
-        as_of = F.lit(as_of)
-    day = F.col("order_date").cast("date")
+    today = f"DATE '{as_of}'" if as_of else "current_date()"
     return orders.groupBy("customer_id").agg(
-        F.count("*").alias("frequency"),
-        sum_money("total_amount").alias("monetary"),
-        _order_value(),
-        F.datediff(as_of, F.max(day)).alias("recency_days"),
-        F.min(day).alias("first_order_date"),
-        F.max(day).alias("last_order_date"),
-        *more,
+        *_measures("frequency", "monetary", "avg_order_value"),
+        F.expr(f"datediff({today}, {_MEASURES['last_order_date']}) AS recency_days"),
+        *_measures("first_order_date", "last_order_date", *more),
     )

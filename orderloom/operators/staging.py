@@ -10,5 +10,6 @@ from orderloom.schema import SILVER
 
 def stg_orders(silver: DataFrame) -> DataFrame:
     """A projection only, so Catalyst folds it into whatever reads it."""
-    columns = [name for name in SILVER.fieldNames() if name in silver.columns]
-    return silver.select(surrogate_key("order_id").alias("order_sk"), *columns)
+    present = set(silver.columns)
+    columns = [name for name in SILVER.fieldNames() if name in present]
+    return silver.selectExpr(f"{surrogate_key('order_id')} AS order_sk", *columns)

@@ -12,120 +12,92 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.functions.keys import padded_id
 from orderloom.functions.money import from_cents
-from orderloom.schema import BRONZE, CANCELLED, RETURNED
+from orderloom.schema import BRONZE
 
 # Raw columns that need a look-up; all others come from lineitem alone.
 _FROM_ORDERS = {"payment_method", "status", "city"}
 _FROM_CUSTOMER = {"city"}
 _FROM_PART = {"category"}
 
-ALL_COLUMNS = tuple(BRONZE.fieldNames())
-
-
-def _price_cents() -> Column:
-    return F.rint(F.col("l_extendedprice") * 100).cast("bigint")
-
-
-def _unit_price(dirty: bool) -> Column:
-    cents = _price_cents() % 49501 + 500
-    if dirty:
-        cents = F.when(F.col("l_suppkey") % 89 == 0, -cents).otherwise(cents)
-    return from_cents(cents)
-
-
-def _quantity(dirty: bool) -> Column:
-    quantity = (F.col("l_quantity").cast("bigint") - 1) % 5 + 1
-    if dirty:
-        quantity = F.when(F.col("l_partkey") % 97 == 0, 0).otherwise(quantity)
-    return quantity
-
-
-def _status() -> Column:
-    return (
-        F.when(F.col("l_returnflag") == "R", RETURNED)
-        .when((F.col("l_returnflag") == "A") & (F.col("o_orderstatus") == "F"), CANCELLED)
-        .when(F.col("l_linestatus") == "F", "delivered")
-        .when(F.col("o_orderstatus") == "P", "pending")
-        .otherwise("shipped")
-    )
-
-
-def _payment_method() -> Column:
-    priority = F.col("o_orderpriority")
-    return (
-        F.when(priority == "1-URGENT", "Credit Card")
-        .when(priority == "2-HIGH", "Debit Card")
-        .when(priority == "3-MEDIUM", "PayPal")
-        .otherwise("Cash")
-    )
-
-
-def _return_reason() -> Column:
-    choice = F.col("l_suppkey") % 3
-    reason = F.when(choice == 0, "Defective").when(choice == 1, "Wrong item").otherwise("Changed mind")
-    return F.when(F.col("l_returnflag") == "R", reason)
-
-
-def _expressions(dirty: bool) -> dict[str, Column]:
-    return {
-        "order_id": F.concat(
-            F.lit("ORD-"),
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", _price_cents()),
-        ),
-        "customer_id": padded_id("CUST-", "l_orderkey", 6),
-        "product_id": padded_id("PROD-", "l_partkey", 5),
-        "category": F.col("p_type"),
-        "order_date": F.col("l_shipdate"),
-        "quantity": _quantity(dirty),
-        "unit_price": _unit_price(dirty),
-        "discount_pct": F.rint(F.col("l_discount") * 100),
-        "shipping_cost": from_cents(F.col("l_linenumber") * 250 + 200),
-        "customer_rating": F.nullif((F.col("l_partkey") + F.col("l_suppkey")) % 6, F.lit(0)),
-        "payment_method": _payment_method(),
-        "city": F.col("n_name"),
-        "status": _status(),
-        "return_reason": _return_reason(),
-    }
-
-
-def raw_orders(
-    spark: SparkSession,
-    sf_dir: str,
-    dirty: bool = False,
-    columns: Iterable[str] | None = None,
-    without: Iterable[str] = (),
-) -> DataFrame:
-    """Order lines in the bronze layout.
-
-    ``columns`` or ``without`` narrow the result, and with it the look-ups.
-    ``dirty`` zeroes some quantities and negates some prices.
-    """
-    skipped = set(without)
-    names = [c for c in (columns or ALL_COLUMNS) if c not in skipped]
-    wanted = set(names)
-
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    lines = table("lineitem")
-    if wanted & _FROM_ORDERS:
-        headers = table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-        if wanted & _FROM_CUSTOMER:
-            places = (
-                table("customer")
-                .select("c_custkey", "c_nationkey")
-                .join(table("nation").select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            )
-            headers = headers.join(places, F.col("o_custkey") == F.col("c_custkey"), "left")
-        lines = lines.join(headers, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    if wanted & _FROM_PART:
-        parts = table("part").select("p_partkey", "p_type")
-        lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-
-    expressions = _expressions(dirty)
-    return lines.select([expressions[c].cast(BRONZE[c].dataType).alias(c) for c in names])
+_EXTENDED_CENTS = "CAST(rint(l_extendedprice * 100) AS BIGINT)"
+_PRICE_CENTS = f"({_EXTENDED_CENTS} % 49501 + 500)"
+_QUANTITY = "((CAST(l_quantity AS BIGINT) - 1) % 5 + 1)"
+
+_COLUMNS = {
+    "order_id": f"concat_ws('-', 'ORD', l_orderkey, l_linenumber, l_partkey, l_suppkey, {_EXTENDED_CENTS})",
+    "customer_id": padded_id("CUST-", "l_orderkey", 6),
+    "product_id": padded_id("PROD-", "l_partkey", 5),
+    "category": "p_type",
+    "order_date": "l_shipdate",
+    "quantity": _QUANTITY,
+    "unit_price": from_cents(_PRICE_CENTS),
+    "discount_pct": "rint(l_discount * 100)",
+    "shipping_cost": from_cents("200 + 250 * l_linenumber"),
+    "customer_rating": "nullif((l_partkey + l_suppkey) % 6, 0)",
+    "payment_method": """CASE o_orderpriority WHEN '1-URGENT' THEN 'Credit Card' WHEN '2-HIGH' THEN 'Debit Card'
+        WHEN '3-MEDIUM' THEN 'PayPal' ELSE 'Cash' END""",
+    "city": "n_name",
+    "status": """CASE WHEN l_returnflag = 'R' THEN 'returned'
+        WHEN l_returnflag = 'A' AND o_orderstatus = 'F' THEN 'cancelled'
+        WHEN l_linestatus = 'F' THEN 'delivered'
+        WHEN o_orderstatus = 'P' THEN 'pending' ELSE 'shipped' END""",
+    "return_reason": """CASE WHEN l_returnflag = 'R' THEN
+        CASE l_suppkey % 3 WHEN 0 THEN 'Defective' WHEN 1 THEN 'Wrong item' ELSE 'Changed mind' END END""",
+}
+
+# The dirty variant zeroes some quantities and negates some prices.
+_DIRTY_COLUMNS = _COLUMNS | {
+    "quantity": f"CASE WHEN l_partkey % 97 = 0 THEN 0 ELSE {_QUANTITY} END",
+    "unit_price": from_cents(f"CASE WHEN l_suppkey % 89 = 0 THEN -{_PRICE_CENTS} ELSE {_PRICE_CENTS} END"),
+}
+
+
+class StarOrders:
+    """Order lines of one test folder; its tables are opened once and shared."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, dirty: bool = False):
+        self._spark = spark
+        self._dir = sf_dir
+        self._columns = _DIRTY_COLUMNS if dirty else _COLUMNS
+        self._tables: dict[str, DataFrame] = {}
+
+    def _table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._tables[name]
+
+    def orders(self, columns: Iterable[str] | None = None, without: Iterable[str] = ()) -> DataFrame:
+        """Order lines in the bronze layout.
+
+        ``columns`` or ``without`` narrow the result, and with it the look-ups.
+        """
+        skipped = set(without)
+        names = [c for c in (columns or BRONZE.fieldNames()) if c not in skipped]
+        wanted = set(names)
+        lines = self._table("lineitem")
+        if wanted & _FROM_ORDERS:
+            headers = self._table("orders")
+            if wanted & _FROM_CUSTOMER:
+                # Customers with their nation's name first: the small sides meet
+                # before the line-sized one is touched.
+                places = _look_up(self._table("customer"), self._table("nation"), "c_nationkey", "n_nationkey")
+                headers = _look_up(headers, places, "o_custkey", "c_custkey")
+            lines = _look_up(lines, headers, "l_orderkey", "o_orderkey")
+        if wanted & _FROM_PART:
+            lines = _look_up(lines, self._table("part"), "l_partkey", "p_partkey")
+        return lines.selectExpr(
+            *[f"CAST({self._columns[c]} AS {BRONZE[c].dataType.simpleString()}) AS {c}" for c in names]
+        )
+
+
+def _look_up(rows: DataFrame, attributes: DataFrame, key: str, primary_key: str) -> DataFrame:
+    return rows.join(attributes, rows[key] == attributes[primary_key], "left")
+
+
+def raw_orders(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
+    """All columns of all order lines."""
+    return StarOrders(spark, sf_dir, dirty).orders()
