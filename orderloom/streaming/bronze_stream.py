@@ -17,7 +17,7 @@ from orderloom.schema import BRONZE
 from orderloom.sources.lake import Lake
 
 
-def _checkpoint_folder(spark: SparkSession, lake: Lake) -> str:
+def checkpoint_folder(spark: SparkSession, lake: Lake) -> str:
     """Progress is kept in the cluster's shared checkpoint folder if it names
     one (a subfolder per lake), else beside the tables."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,7 +43,7 @@ def load_new_files(lake: Lake, landing: str, checkpoint: str | None = None) -> S
         spark.readStream.schema(BRONZE)
         .parquet(landing)
         .writeStream.foreachBatch(append)
-        .option("checkpointLocation", checkpoint or _checkpoint_folder(spark, lake))
+        .option("checkpointLocation", checkpoint or checkpoint_folder(spark, lake))
         .trigger(availableNow=True)
         .start()
     )

@@ -1,0 +1,112 @@
+from datetime import date, timedelta
+
+import pytest
+
+from orderloom.operators.cleaning import as_bronze
+from orderloom.operators.incremental import append_by_name, load_bronze, new_rows, rows_after, watermark
+from orderloom.schema import BRONZE
+from orderloom.sources.lake import Lake
+
+D = [date(2024, 1, 30) + timedelta(days=i) for i in range(6)]  # crosses a month
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    return Lake(spark, str(tmp_path / "lake"))
+
+
+@pytest.fixture
+def batch(bronze_rows):
+    return lambda *days: bronze_rows(*[{"order_date": day, "order_id": f"ORD-{day}"} for day in days])
+
+
+def _dates(frame):
+    return sorted(str(r["order_date"]) for r in frame.select("order_date").collect())
+
+
+def test_watermark_of_an_empty_table_is_null(lake):
+    lake.ensure_bronze()
+    assert watermark(lake.bronze()).first()["watermark"] is None
+    assert watermark(lake.bronze_newest_month()).first()["watermark"] is None
+
+
+def test_ensure_keeps_an_existing_table(lake, batch):
+    load_bronze(lake, batch(D[0]))
+    lake.ensure_bronze()
+    assert lake.bronze().count() == 1
+
+
+def test_load_steps(lake, batch, bronze_rows):
+    assert load_bronze(lake, batch(D[0], D[1], D[2])) == 3  # first load
+    assert load_bronze(lake, batch(D[0], D[1], D[2])) == 0  # same batch again
+    assert load_bronze(lake, batch(D[1], D[2], D[3])) == 1  # overlap: only the newest day
+    assert load_bronze(lake, batch(D[2])) == 0  # late row
+    assert load_bronze(lake, batch(None)) == 0  # no date
+    shuffled = batch(D[4]).select(*BRONZE.fieldNames()[::-1])
+    assert load_bronze(lake, shuffled) == 1
+    stored = lake.bronze().where(f"order_date = DATE '{D[4]}'").first()
+    assert (stored["order_id"], stored["city"], stored["quantity"]) == (f"ORD-{D[4]}", "Austin", 1)
+    assert load_bronze(lake, batch(D[4]), incremental=False) == 1  # repeats
+    assert _dates(lake.bronze()) == sorted(str(d) for d in [*D[:5], D[4]])
+    assert watermark(lake.bronze_newest_month()).first()["watermark"] == D[4]
+
+
+def test_first_load_takes_rows_without_a_date(lake, batch):
+    assert load_bronze(lake, batch(D[0], None)) == 2
+    assert load_bronze(lake, batch(D[1], None)) == 1
+
+
+def test_table_with_only_undated_rows_has_no_watermark(lake, batch):
+    assert load_bronze(lake, batch(None)) == 1
+    assert load_bronze(lake, batch(D[0])) == 1
+
+
+def test_newest_month_reads_no_other_month(lake, batch):
+    load_bronze(lake, batch(*D))
+    frame = lake.bronze_newest_month()
+    assert {r["order_date"].month for r in frame.collect()} == {2}
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_ym" in plan
+
+
+def test_stored_layout_is_the_declared_one(lake, batch):
+    load_bronze(lake, batch(D[0]))
+    assert [(f.name, f.dataType) for f in lake.bronze().schema] == [(f.name, f.dataType) for f in BRONZE]
+
+
+def test_one_plan_forms_agree_with_the_job(batch):
+    loaded, incoming = batch(D[0], D[1]), batch(None, D[1], D[2])
+    assert _dates(new_rows(incoming, loaded)) == [str(D[2])]
+    assert _dates(new_rows(incoming, loaded.where("false"))) == sorted(["None", str(D[1]), str(D[2])])
+    shuffled = incoming.select(*BRONZE.fieldNames()[::-1])
+    appended = append_by_name(loaded, shuffled)
+    assert appended.columns == BRONZE.fieldNames()
+    assert _dates(appended) == [str(D[0]), str(D[1]), str(D[2])]
+
+
+def test_known_watermark_reaches_the_scan(spark, batch, tmp_path):
+    batch(*D).write.parquet(str(tmp_path / "batch"))
+    incoming = as_bronze(spark.read.schema(BRONZE).parquet(str(tmp_path / "batch")))
+    plan = rows_after(incoming, D[2])._jdf.queryExecution().executedPlan().toString()
+    assert f"GreaterThan(order_date,{D[2]})" in plan
+    assert _dates(rows_after(incoming, D[2])) == [str(d) for d in D[3:]]
+    assert rows_after(incoming, None) is incoming
+
+
+def test_hot_day_is_split_into_several_files(spark, bronze_rows, tmp_path):
+    """One day holding all rows must not end in one task."""
+    rows = bronze_rows({}).selectExpr("*", "explode(sequence(1, 200000)) AS n").withColumn("order_id", _random_id()).drop("n")
+    lake = Lake(spark, str(tmp_path / "hot"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "1MB")
+    try:
+        assert load_bronze(lake, rows.repartition(8)) == 200000
+    finally:
+        spark.conf.unset(size)
+    assert len(list((tmp_path / "hot" / "bronze_orders" / "order_ym=202401").glob("*.parquet"))) > 3
+
+
+def _random_id():
+    from pyspark.sql import functions as F
+
+    return F.expr("concat('ORD-', md5(CAST(n AS STRING)), md5(CAST(n * 7 AS STRING)))")
