@@ -1,8 +1,8 @@
 """Gold tables over silver.
 
-A gold table is the matching mart with fewer columns, some renamed. The
+A gold table is the matching roll-up with fewer columns, some renamed. The
 ``*_columns`` functions do that selection, so a pipeline that has already stored
-the marts gets gold from them without aggregating silver again.
+the roll-ups gets gold from them without aggregating silver again.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ def city_metrics_columns(cities: DataFrame) -> DataFrame:
 
 
 def customer_segments_columns(customers: DataFrame) -> DataFrame:
-    return customers.selectExpr(
+    return marts.with_segment(customers).selectExpr(
         "customer_id",
         "frequency",
         "monetary",
@@ -41,6 +41,19 @@ def customer_segments_columns(customers: DataFrame) -> DataFrame:
     )
 
 
+def customer_spend_tiers_columns(customers: DataFrame) -> DataFrame:
+    # Cents are exact: the rounded sum and the sum itself are the same number.
+    return customers.selectExpr(
+        "customer_id",
+        "frequency AS total_orders",
+        "monetary AS lifetime_value",
+        "avg_order_value",
+        "first_order_date AS first_order",
+        "last_order_date AS last_order",
+        f"{segment_by_spend('monetary')} AS customer_segment",
+    )
+
+
 def daily_sales(silver: DataFrame) -> DataFrame:
     return daily_sales_columns(rollups.by_day(silver))
 
@@ -54,18 +67,9 @@ def city_metrics(silver: DataFrame) -> DataFrame:
 
 
 def customer_segments(silver: DataFrame, as_of: date | None = None) -> DataFrame:
-    return customer_segments_columns(marts.with_segment(rollups.by_customer(silver, as_of)))
+    return customer_segments_columns(rollups.by_customer(silver, as_of))
 
 
 def customer_spend_tiers(silver: DataFrame) -> DataFrame:
-    """Customers by lifetime spend alone. Cents are exact, so the rounded sum and
-    the sum itself are the same number."""
-    return rollups.by_customer(silver).selectExpr(
-        "customer_id",
-        "frequency AS total_orders",
-        "monetary AS lifetime_value",
-        "avg_order_value",
-        "first_order_date AS first_order",
-        "last_order_date AS last_order",
-        f"{segment_by_spend('monetary')} AS customer_segment",
-    )
+    """Customers by lifetime spend alone."""
+    return customer_spend_tiers_columns(rollups.by_customer(silver))

@@ -40,16 +40,23 @@ def append_by_name(loaded: DataFrame, batch: DataFrame) -> DataFrame:
     return loaded.unionByName(new_rows(batch, loaded))
 
 
-def load_bronze(lake: Lake, batch: DataFrame, incremental: bool = True) -> int:
-    """Append a batch to bronze and return the number of rows added.
+LOAD_MODES = ("incremental", "append", "replace")
 
-    The watermark is read before the write starts, so the table is never read
-    while it grows. Loading the same batch again adds nothing, which also makes
-    a repeated job after a failure safe. With ``incremental=False`` the whole
-    batch is appended as it is, repeats included.
+
+def load_bronze(lake: Lake, batch: DataFrame, mode: str = "incremental") -> int:
+    """Load a batch into bronze and return the number of rows written.
+
+    ``incremental`` appends the rows above the watermark. The watermark is read
+    before the write starts, so the table is never read while it grows, and
+    loading the same batch again adds nothing. ``append`` adds the whole batch
+    as it is, repeats included. ``replace`` drops what was there first.
     """
+    if mode not in LOAD_MODES:
+        raise ValueError(f"load mode {mode!r} is none of {', '.join(LOAD_MODES)}")
+    if mode == "replace":
+        return lake.replace_bronze(batch)
     lake.ensure_bronze()
-    if incremental:
+    if mode == "incremental":
         last_loaded = watermark(lake.bronze_newest_month()).first()["watermark"]
         batch = rows_after(batch, last_loaded)
     return lake.append_bronze(batch)

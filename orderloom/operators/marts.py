@@ -25,7 +25,15 @@ def city_metrics(staging: DataFrame) -> DataFrame:
 
 def customer_segments(staging: DataFrame, as_of: date | None = None) -> DataFrame:
     """Recency, frequency and spend per customer with the two-threshold segment."""
-    customers = rollups.by_customer(staging, as_of, "avg_rating", "categories_bought")
+    return customer_segments_columns(customer_rollup(staging, as_of))
+
+
+def customer_rollup(staging: DataFrame, as_of: date | None = None) -> DataFrame:
+    """All customer measures of the mart and of both gold customer tables."""
+    return rollups.by_customer(staging, as_of, "avg_rating", "categories_bought")
+
+
+def customer_segments_columns(customers: DataFrame) -> DataFrame:
     return with_segment(customers).drop("avg_order_value")
 
 

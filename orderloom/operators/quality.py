@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.money import sum_money
-from orderloom.schema import CANCELLED, SEGMENTS
+from orderloom.schema import ACCEPTED_CATEGORIES, CANCELLED, SEGMENTS
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
@@ -100,6 +100,21 @@ def reconciliation(
     )
 
 
+def fixed_counts(
+    gold_categories: DataFrame,
+    gold_segments: DataFrame,
+    expected_categories: int = len(ACCEPTED_CATEGORIES),
+    expected_segments: int = len(SEGMENTS),
+) -> DataFrame:
+    """Gold row counts against fixed numbers, where the values are known beforehand."""
+    return union_all(
+        [
+            scalar_checks(gold_categories, {"category_count": ("count(*)", expected_categories)}),
+            scalar_checks(gold_segments, {"segment_count": ("count(DISTINCT customer_segment)", expected_segments)}),
+        ]
+    )
+
+
 def total_revenue(gold_categories: DataFrame) -> DataFrame:
     """Revenue over all categories: one row."""
     return gold_categories.agg(F.expr(f"{sum_money('total_revenue')} AS total_revenue"))

@@ -2,15 +2,14 @@
 
 Each stage writes its table and the next one reads it back, so a lost executor
 costs the tasks it ran and never an earlier stage. Silver is scanned once per
-mart with only the columns that mart needs; gold tables are column selections
-of the stored marts and scan nothing large.
+roll-up with only the columns that needs; marts and gold tables beyond that are
+column selections of stored roll-ups and scan nothing large.
 """
 
 from __future__ import annotations
 
 import argparse
 import sys
-from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
@@ -19,13 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.operators import gold, marts, quality
 from orderloom.operators.cleaning import as_bronze, clean_orders
-from orderloom.operators.incremental import load_bronze
+from orderloom.operators.incremental import LOAD_MODES, load_bronze
 from orderloom.operators.reports import layer_row_counts
 from orderloom.operators.staging import stg_orders
 from orderloom.plans.column_tests import all_tests
+from orderloom.plans.report_book import report_book
 from orderloom.schema import ACCEPTED_CATEGORIES, BRONZE, SEGMENTS
 from orderloom.session import build_session
 from orderloom.sources.lake import BRONZE_TABLE, SILVER_TABLE, Lake
+from orderloom.sources.sizes import shuffle_partitions, stored_bytes
 
 # table -> (layer, description)
 TABLES = {
@@ -37,10 +38,12 @@ TABLES = {
     "gold_city_metrics": ("GOLD", "sales per city"),
 }
 MARTS = ("mart_daily_sales", "mart_category_metrics", "mart_customer_segments", "mart_city_metrics")
+# All measures per customer; the mart and both gold customer tables select from it.
+CUSTOMER_ROLLUP = "customer_rollup"
 
-# Marts are independent, so their jobs are submitted together: one mart's last
-# tasks do not leave the cluster idle before the next mart starts.
-MART_JOBS_AT_ONCE = 4
+# The roll-ups are independent, so their jobs are submitted together: one's last
+# tasks do not leave the cluster idle before the next one starts.
+JOBS_AT_ONCE = 4
 
 
 @dataclass
@@ -62,29 +65,40 @@ def build_silver(lake: Lake) -> int:
     return lake.replace_silver(clean_orders(lake.bronze()))
 
 
-def build_marts(lake: Lake, as_of: date) -> dict[str, int]:
-    staging = stg_orders(lake.silver())
-    frames = {
-        "mart_customer_segments": marts.customer_segments(staging, as_of),
-        "mart_daily_sales": marts.daily_sales(staging),
-        "mart_category_metrics": marts.category_metrics(staging),
-        "mart_city_metrics": marts.city_metrics(staging),
-    }
-    with ThreadPoolExecutor(MART_JOBS_AT_ONCE) as jobs:
+def _replace_all(lake: Lake, frames: dict[str, DataFrame]) -> dict[str, int]:
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as jobs:
         pending = {name: jobs.submit(lake.replace, name, frame) for name, frame in frames.items()}
         return {name: job.result() for name, job in pending.items()}
 
 
+def build_marts(lake: Lake, as_of: date) -> dict[str, int]:
+    staging = stg_orders(lake.silver())
+    rows = _replace_all(
+        lake,
+        {
+            CUSTOMER_ROLLUP: marts.customer_rollup(staging, as_of),
+            "mart_daily_sales": marts.daily_sales(staging),
+            "mart_category_metrics": marts.category_metrics(staging),
+            "mart_city_metrics": marts.city_metrics(staging),
+        },
+    )
+    name = "mart_customer_segments"
+    rows[name] = lake.replace(name, marts.customer_segments_columns(lake.table(CUSTOMER_ROLLUP)))
+    return rows
+
+
 def build_gold(lake: Lake) -> dict[str, int]:
-    selections: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
-        "gold_daily_sales": ("mart_daily_sales", gold.daily_sales_columns),
-        "gold_category_metrics": ("mart_category_metrics", gold.category_metrics_columns),
-        "gold_customer_segments": ("mart_customer_segments", gold.customer_segments_columns),
-        "gold_city_metrics": ("mart_city_metrics", gold.city_metrics_columns),
-    }
-    return {
-        name: lake.replace(name, select(lake.table(mart))) for name, (mart, select) in selections.items()
-    }
+    customers = lake.table(CUSTOMER_ROLLUP)
+    return _replace_all(
+        lake,
+        {
+            "gold_customer_segments": gold.customer_segments_columns(customers),
+            "gold_customer_spend_tiers": gold.customer_spend_tiers_columns(customers),
+            "gold_daily_sales": gold.daily_sales_columns(lake.table("mart_daily_sales")),
+            "gold_category_metrics": gold.category_metrics_columns(lake.table("mart_category_metrics")),
+            "gold_city_metrics": gold.city_metrics_columns(lake.table("mart_city_metrics")),
+        },
+    )
 
 
 def column_test_results(lake: Lake, categories: tuple[str, ...] = ACCEPTED_CATEGORIES) -> DataFrame:
@@ -121,7 +135,7 @@ def run(
     spark: SparkSession,
     source: DataFrame,
     base: str,
-    incremental: bool = True,
+    load: str = "incremental",
     as_of: date | None = None,
     categories: tuple[str, ...] = ACCEPTED_CATEGORIES,
     expected_segments: int = len(SEGMENTS),
@@ -135,7 +149,7 @@ def run(
     as_of = as_of or spark.sql("SELECT current_date() AS today").first()["today"]
     lake = Lake(spark, base)
     result = PipelineResult()
-    result.rows_loaded = load_bronze(lake, as_bronze(source), incremental)
+    result.rows_loaded = load_bronze(lake, as_bronze(source), load)
     result.rows[SILVER_TABLE] = build_silver(lake)
     result.rows.update(build_marts(lake, as_of))
     result.rows.update(build_gold(lake))
@@ -149,17 +163,26 @@ def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description="Load a batch of orders and rebuild the tables above it.")
     parser.add_argument("--source", required=True, help="Parquet folder of raw orders")
     parser.add_argument("--base", required=True, help="folder that holds the tables")
-    parser.add_argument("--append-all", action="store_true", help="load without the watermark")
+    parser.add_argument("--load", choices=LOAD_MODES, default="incremental", help="how the batch enters bronze")
     parser.add_argument("--as-of", type=date.fromisoformat, help="day recency counts to (today)")
+    parser.add_argument("--reports", action="store_true", help="print the reports as well")
     args = parser.parse_args(argv)
     spark = build_session("orderloom-pipeline")
+    lake = Lake(spark, args.base)
+    size = stored_bytes(spark, args.source) + stored_bytes(spark, lake.path(BRONZE_TABLE))
+    partitions = shuffle_partitions(size, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
-        result = run(spark, read_orders(spark, args.source), args.base, not args.append_all, args.as_of)
+        result = run(spark, read_orders(spark, args.source), args.base, args.load, args.as_of)
     except quality.QualityGateError as failure:
         print(f"quality gate: {failure}", file=sys.stderr)
         return 1
     print(f"loaded {result.rows_loaded} rows, total revenue {result.total_revenue}")
-    summary(Lake(spark, args.base)).show(truncate=False)
+    summary(lake).show(truncate=False)
+    if args.reports:
+        for title, frame in report_book(lake).items():
+            print(title)
+            frame.show(60, truncate=False)
     return 0
 
 

@@ -23,9 +23,8 @@ MONTH_KEY = "order_ym"
 _BRONZE_STORED = StructType(BRONZE.fields + [StructField(MONTH_KEY, IntegerType())])
 
 
-def month_key(day: Column | str = "order_date") -> Column:
-    day = F.col(day) if isinstance(day, str) else day
-    return (F.year(day) * 100 + F.month(day)).alias(MONTH_KEY)
+def _month_key(day: str) -> Column:
+    return F.expr(f"year({day}) * 100 + month({day})")
 
 
 @dataclass(frozen=True)
@@ -59,14 +58,19 @@ class Lake:
         return stored.where(F.col(MONTH_KEY) == newest).select(*BRONZE.fieldNames())
 
     def append_bronze(self, rows: DataFrame) -> int:
-        """Append rows, matching columns by name; returns how many.
+        """Append rows, matching columns by name; returns how many."""
+        return self._write_bronze(rows, "append")
 
-        The rebalance groups each month's rows into files of the advisory size
-        and splits a month that is too large for one task.
-        """
+    def replace_bronze(self, rows: DataFrame) -> int:
+        """Drop what was loaded and store these rows instead."""
+        return self._write_bronze(rows, "overwrite")
+
+    def _write_bronze(self, rows: DataFrame, mode: str) -> int:
+        """The rebalance groups each month's rows into files of the advisory size
+        and splits a month that is too large for one task."""
         by_name = rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE.fields])
-        laid_out = by_name.withColumn(MONTH_KEY, month_key()).hint("rebalance", MONTH_KEY)
-        return self._write(laid_out, BRONZE_TABLE, "append", [MONTH_KEY])
+        laid_out = by_name.withColumn(MONTH_KEY, _month_key("order_date")).hint("rebalance", MONTH_KEY)
+        return self._write(laid_out, BRONZE_TABLE, mode, [MONTH_KEY])
 
     def _bronze_stored(self) -> DataFrame:
         return self.spark.read.schema(_BRONZE_STORED).parquet(self.path(BRONZE_TABLE))

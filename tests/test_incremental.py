@@ -46,11 +46,22 @@ def test_load_steps(lake, batch, bronze_rows):
     assert load_bronze(lake, shuffled) == 1
     stored = lake.bronze().where(f"order_date = DATE '{D[4]}'").first()
     assert (stored["order_id"], stored["city"], stored["quantity"]) == (f"ORD-{D[4]}", "Austin", 1)
-    assert load_bronze(lake, batch(D[4]), incremental=False) == 1  # repeats
+    assert load_bronze(lake, batch(D[4]), "append") == 1  # repeats
     assert _dates(lake.bronze()) == sorted(str(d) for d in [*D[:5], D[4]])
     assert watermark(lake.bronze_newest_month()).first()["watermark"] == D[4]
 
 
+def test_replace_drops_what_was_there(lake, batch):
+    assert load_bronze(lake, batch(D[0], D[5]), "replace") == 2
+    assert load_bronze(lake, batch(D[1]), "replace") == 1
+    assert _dates(lake.bronze()) == [str(D[1])]
+
+
+def test_unknown_mode_is_refused(lake, batch):
+    with pytest.raises(ValueError, match="merge"):
+        load_bronze(lake, batch(D[0]), "merge")
+
+
 def test_first_load_takes_rows_without_a_date(lake, batch):
     assert load_bronze(lake, batch(D[0], None)) == 2
     assert load_bronze(lake, batch(D[1], None)) == 1

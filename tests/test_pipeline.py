@@ -2,6 +2,7 @@
 
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -11,8 +12,10 @@ from orderloom.operators.cleaning import clean_orders
 from orderloom.operators.quality import QualityGateError
 from orderloom.operators.staging import stg_orders
 from orderloom.plans import pipeline
+from orderloom.plans.report_book import report_book
 from orderloom.schema import ACCEPTED_CATEGORIES, BRONZE
 from orderloom.sources.lake import Lake
+from orderloom.sources.sizes import shuffle_partitions, stored_bytes
 from orderloom.sources.star_orders import raw_orders
 from orderloom.streaming.bronze_stream import checkpoint_folder, load_new_files
 
@@ -59,6 +62,7 @@ def test_tables_equal_the_lazy_queries(spark, source, first_run):
     _same_rows(lake.table("gold_daily_sales"), gold.daily_sales(silver))
     _same_rows(lake.table("gold_category_metrics"), gold.category_metrics(silver))
     _same_rows(lake.table("gold_customer_segments"), gold.customer_segments(silver, AS_OF))
+    _same_rows(lake.table("gold_customer_spend_tiers"), gold.customer_spend_tiers(silver))
     _same_rows(lake.table("gold_city_metrics"), gold.city_metrics(silver))
     _same_rows(lake.table("mart_daily_sales"), marts.daily_sales(staging))
     _same_rows(lake.table("mart_category_metrics"), marts.category_metrics(staging))
@@ -105,6 +109,26 @@ def test_summary(spark, first_run):
     assert rows["silver_orders"] == ("SILVER", result.rows["silver_orders"])
 
 
+def test_reports_over_stored_tables(spark, first_run):
+    base, result = first_run
+    book = report_book(Lake(spark, base))
+    for title in ("category performance", "category chart", "segment revenue share", "revenue by week", "city rankings"):
+        assert sum(r["total_revenue"] for r in book[title].collect()) == result.total_revenue, title
+    assert sum(r["quarterly_revenue"] for r in book["revenue by quarter"].collect()) == result.total_revenue
+    assert sum(r["segment_revenue"] for r in book["segment summary"].collect()) == result.total_revenue
+    assert sum(r["revenue"] for r in book["top categories"].collect()) == result.total_revenue
+
+
+def test_sizes(spark, first_run):
+    base, _ = first_run
+    size = stored_bytes(spark, f"{base}/silver_orders")
+    assert size == sum(f.stat().st_size for f in Path(base, "silver_orders").rglob("*.parquet")) > 0
+    assert stored_bytes(spark, f"{base}/nothing_here") == 0
+    assert shuffle_partitions(0, at_least=8) == 8
+    assert shuffle_partitions((128 << 20) * 50 + 1, at_least=8) == 51
+    assert shuffle_partitions(10**14, at_least=200) == 100_000
+
+
 def test_gate_stops_on_a_value_outside_the_list(spark, source, tmp_path):
     base = str(tmp_path / "lake")
     with pytest.raises(QualityGateError, match="accepted_values"):
@@ -116,7 +140,7 @@ def test_gate_stops_on_repeated_orders(spark, source, tmp_path):
     base = str(tmp_path / "lake")
     pipeline.run(spark, source, base, as_of=AS_OF, categories=PART_TYPES)
     with pytest.raises(QualityGateError, match="unique"):
-        pipeline.run(spark, source, base, incremental=False, as_of=AS_OF, categories=PART_TYPES)
+        pipeline.run(spark, source, base, load="append", as_of=AS_OF, categories=PART_TYPES)
 
 
 def test_command_line(spark, bronze_rows, tmp_path, capsys):
@@ -128,9 +152,12 @@ def test_command_line(spark, bronze_rows, tmp_path, capsys):
     source = str(tmp_path / "raw")
     bronze_rows(*rows).write.parquet(source)
     arguments = ["--source", source, "--base", str(tmp_path / "lake"), "--as-of", "2024-02-01"]
-    assert pipeline.main(arguments) == 0
+    assert pipeline.main([*arguments, "--reports"]) == 0
+    printed = capsys.readouterr().out
+    assert "loaded 11 rows" in printed and "segment summary" in printed
+    assert pipeline.main([*arguments, "--load", "replace"]) == 0
     assert "loaded 11 rows" in capsys.readouterr().out
-    assert pipeline.main([*arguments, "--append-all"]) == 1  # every order id now repeats
+    assert pipeline.main([*arguments, "--load", "append"]) == 1  # every order id now repeats
     assert "unique" in capsys.readouterr().err
 
 

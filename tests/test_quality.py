@@ -98,6 +98,13 @@ def test_reconciliation_sees_stale_gold(spark):
     assert {r["check_name"] for r in two.collect() if not r["passed"]} == {"cities_match_silver"}
 
 
+def test_fixed_counts(spark):
+    categories = spark.sql("SELECT * FROM VALUES ('a'), ('b') AS t(category)")
+    segments = spark.sql("SELECT * FROM VALUES ('VIP'), ('New'), ('New') AS t(customer_segment)")
+    got = {r["check_name"]: tuple(r)[1:] for r in quality.fixed_counts(categories, segments, expected_segments=2).collect()}
+    assert got == {"category_count": (2, 9, False), "segment_count": (2, 2, True)}
+
+
 def test_gate(table):
     good = quality.scalar_checks(table, {"rows": ("count(*)", 3000)})
     assert len(quality.gate(good)) == 1

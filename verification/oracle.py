@@ -323,6 +323,10 @@ def build() -> dict[str, str]:
         "dq_expectations": _expectations(dirty=True, clean=False),
         "dq_expectations_silver": _expectations(dirty=True, clean=True),
         "dq_reconciliation": _reconciliation(),
+        "dq_fixed_counts": f"""{ctes(True)} SELECT check_name, got, expected, got = expected AS passed FROM (
+            SELECT 'category_count' AS check_name, count(*) AS got, CAST(9 AS BIGINT) AS expected
+            FROM (SELECT category FROM silver GROUP BY category)
+            UNION ALL SELECT 'segment_count', count(DISTINCT customer_segment), CAST(4 AS BIGINT) FROM ({_CUSTOMER_TABLE}))""",
         "dq_total_revenue": f"{ctes(True)} SELECT {REVENUE} FROM silver",
         "dq_not_null": _not_null(NOT_NULL),
         "dq_unique": _unique(UNIQUE),
