@@ -5,6 +5,8 @@ import re
 import pytest
 
 import __spark_entry__ as contract
+from orderloom.operators.cleaning import clean_orders
+from orderloom.schema import BRONZE
 from orderloom.sources.star_orders import StarOrders
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -72,10 +74,22 @@ def test_scan_reads_needed_columns_only(plans):
     assert "ReadSchema: struct<l_shipdate:timestamp_ntz>" in plans["incremental_watermark"]
 
 
+def test_cleaning_filters_reach_the_bronze_scan(spark, tmp_path):
+    StarOrders(spark, SF_DIR, dirty=True).orders().write.parquet(str(tmp_path / "bronze"))
+    plan = _plan(clean_orders(spark.read.schema(BRONZE).parquet(str(tmp_path / "bronze"))))
+    assert "GreaterThan(unit_price,0.00)" in plan and "GreaterThan(quantity,0)" in plan
+    assert "Exchange" not in plan
+
+
+def test_watermark_filter_is_below_the_look_ups(plans):
+    plan = plans["incremental_new_rows"]
+    assert plan.index("SortMergeJoin") < plan.index("Subquery")
+
+
 def test_hot_look_up_key_is_split(spark, tmp_path):
     """A third of all lines point at one part; the join must not put them in one task."""
     lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
-    many = lines.crossJoin(spark.range(40)).selectExpr(
+    many = lines.selectExpr("*", "explode(sequence(1, 40)) AS id").selectExpr(
         "* EXCEPT (l_partkey, id)", "CASE WHEN pmod(hash(l_orderkey, id), 3) = 0 THEN 7L ELSE l_partkey END AS l_partkey"
     )
     many.repartition(16).write.parquet(str(tmp_path / "lineitem.parquet"))
