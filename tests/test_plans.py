@@ -16,9 +16,12 @@ QUERIES = contract.queries()
 @pytest.fixture(scope="module", autouse=True)
 def no_broadcast(spark):
     """Plan as for tables too large to broadcast."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.maxMetadataStringLength": "10000"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     yield
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for key in settings:
+        spark.conf.unset(key)
 
 
 def _plan(frame) -> str:
