@@ -158,33 +158,50 @@ def unaccepted_values(table: DataFrame, column: str, accepted: Iterable[str]) ->
     return table.where(f"{column} NOT IN ({values})").groupBy(column).agg(F.expr("count(*) AS occurrences"))
 
 
-def _count_failures(failing: DataFrame, column: str) -> DataFrame:
-    return failing.agg(F.expr("count(*) AS failures")).selectExpr(f"{_text(column)} AS column_name", "failures")
+def _failing_values(test: ColumnTest) -> str:
+    """Number of distinct values outside a test's list, as an aggregate."""
+    values = ", ".join(_text(value) for value in test.accepted)
+    return f"count(DISTINCT CASE WHEN {test.column} NOT IN ({values}) THEN {test.column} END)"
 
 
 def run_column_tests(tables: Mapping[str, DataFrame], tests: Iterable[ColumnTest]) -> DataFrame:
-    """One row per declared test over the named tables."""
-    tests = list(tests)
-    not_null: dict[str, list[str]] = {}
-    results = []
+    """One row per declared test over the named tables.
+
+    Models given as the same frame are tested together: one scan for all their
+    ``not_null`` and ``accepted_values`` tests, one shuffle per unique column.
+    """
+    # frame -> (frame, {aggregate: tests it answers}, {unique column: tests})
+    frames: dict[int, tuple[DataFrame, dict[str, list], dict[str, list]]] = {}
     for t in tests:
         table = tables[t.model]
+        _, scanned, unique = frames.setdefault(id(table), (table, {}, {}))
         if t.test == "not_null":
-            not_null.setdefault(t.model, []).append(t.column)
-        elif t.test == "unique":
-            results.append((t.test, t.model, _count_failures(duplicate_keys(table, t.column), t.column)))
+            scanned.setdefault(f"count_if({t.column} IS NULL)", []).append(t)
         elif t.test == "accepted_values":
-            failing = unaccepted_values(table, t.column, t.accepted)
-            results.append((t.test, t.model, _count_failures(failing, t.column)))
+            scanned.setdefault(_failing_values(t), []).append(t)
+        elif t.test == "unique":
+            unique.setdefault(t.column, []).append(t)
         else:
             raise ValueError(f"unknown column test {t.test!r}")
-    for model, columns in not_null.items():
-        results.append(("not_null", model, null_counts(tables[model], columns)))
-    return union_all(
-        failures.selectExpr(
-            f"{_text(test)} AS test", f"{_text(model)} AS model", "column_name", "failures", "failures = 0 AS passed"
-        )
-        for test, model, failures in results
+    results = []
+    for table, scanned, unique in frames.values():
+        if scanned:
+            results.append(_one_row_per_test(table, scanned))
+        for column, answered in unique.items():
+            results.append(_one_row_per_test(duplicate_keys(table, column), {"count(*)": answered}))
+    return union_all(results)
+
+
+def _one_row_per_test(table: DataFrame, aggregates: Mapping[str, list[ColumnTest]]) -> DataFrame:
+    counted = table.agg(*[F.expr(f"{sql} AS v{i}") for i, sql in enumerate(aggregates)])
+    rows = [
+        f"{_text(t.test)}, {_text(t.model)}, {_text(t.column)}, v{i}"
+        for i, answered in enumerate(aggregates.values())
+        for t in answered
+    ]
+    columns = "test, model, column_name, failures"
+    return counted.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS ({columns})").selectExpr(
+        "*", "failures = 0 AS passed"
     )
 
 

@@ -73,6 +73,13 @@ def test_checks_of_one_table_share_a_scan(plans):
     assert plans["report_segment_revenue_share"].count("lineitem.parquet") == 1
 
 
+def test_column_tests_share_scans_between_silver_and_staging(plans):
+    # Staging, daily, category, customers and city: one scan each.
+    assert plans["dq_not_null"].count("lineitem.parquet") == 5
+    # order_id for two models, order_sk, and one key per mart.
+    assert plans["dq_unique"].count("lineitem.parquet") == 6
+
+
 def test_scan_reads_needed_columns_only(plans):
     assert "ReadSchema: struct<l_shipdate:timestamp_ntz>" in plans["incremental_watermark"]
 

@@ -49,6 +49,16 @@ def test_every_test_reports_a_row(table):
     }
 
 
+def test_models_of_one_frame_share_the_work(table):
+    tests = [ColumnTest(kind, model, "k") for model in ("a", "b") for kind in ("not_null", "unique")]
+    tests.append(ColumnTest("accepted_values", "b", "state", ("fine",)))
+    got = quality.run_column_tests({"a": table, "b": table}, tests)
+    assert {(r["test"], r["model"], r["failures"]) for r in got.collect()} == {
+        ("not_null", "a", 1), ("not_null", "b", 1), ("unique", "a", 1), ("unique", "b", 1), ("accepted_values", "b", 1)
+    }
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 2
+
+
 def test_values_with_quotes(spark):
     odd = spark.sql("SELECT \"it's\" AS v")
     assert quality.unaccepted_values(odd, "v", ["it's"]).count() == 0
