@@ -8,7 +8,9 @@ year and month columns.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
+from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +36,8 @@ class Lake:
     spark: SparkSession
     base: str
 
+    PARTITIONED: ClassVar[tuple[str, ...]] = (BRONZE_TABLE, SILVER_TABLE)
+
     def path(self, name: str) -> str:
         return f"{self.base.rstrip('/')}/{name}"
 
@@ -99,12 +103,12 @@ class Lake:
             return self.silver()
         return self.spark.read.parquet(self.path(name))
 
-    def register_views(self, names: list[str]) -> None:
+    def register_views(self, names: Iterable[str]) -> None:
         """Make the tables queryable by name in ``spark.sql``."""
         for name in names:
             self.table(name).createOrReplaceTempView(name)
 
-    def unregister_views(self, names: list[str]) -> None:
+    def unregister_views(self, names: Iterable[str]) -> None:
         for name in names:
             self.spark.catalog.dropTempView(name)
 

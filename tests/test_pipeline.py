@@ -11,7 +11,7 @@ from orderloom.operators import gold, marts
 from orderloom.operators.cleaning import clean_orders
 from orderloom.operators.quality import QualityGateError
 from orderloom.operators.staging import stg_orders
-from orderloom.plans import pipeline
+from orderloom.plans import names, pipeline
 from orderloom.plans.report_book import report_book
 from orderloom.schema import ACCEPTED_CATEGORIES, BRONZE
 from orderloom.sources.lake import Lake
@@ -91,15 +91,31 @@ def test_second_run_changes_nothing(spark, source, first_run):
 
 def test_views_answer_sql_by_table_name(spark, first_run):
     lake = Lake(spark, first_run[0])
-    names = ["silver_orders", "gold_category_metrics"]
-    lake.register_views(names)
+    names.register_views(lake)
     try:
+        assert spark.sql("SELECT count(DISTINCT order_sk) AS n FROM stg_orders").first()["n"] == lake.silver().count()
         got = spark.sql("SELECT COUNT(*) AS n FROM SILVER_ORDERS WHERE STATUS = 'cancelled'").first()["n"]
         assert got == 0
         assert spark.sql("SELECT * FROM GOLD_CATEGORY_METRICS").count() == 6
     finally:
-        lake.unregister_views(names)
-    assert not any(t.name in names for t in spark.catalog.listTables())
+        names.unregister_views(lake)
+    assert not {t.name for t in spark.catalog.listTables()} & {*names.STORED, names.STAGING}
+
+
+def test_catalog_tables_come_and_go_without_the_files(spark, first_run):
+    base, result = first_run
+    lake = Lake(spark, base)
+    names.publish(lake, "shop_test")
+    try:
+        names.publish(lake, "shop_test")  # again, over the old entries
+        for name in ("bronze_orders", "silver_orders", "mart_city_metrics"):
+            assert spark.table(f"shop_test.{name}").count() == lake.table(name).count() > 0
+        by_month = "SELECT count(*) AS n FROM shop_test.silver_orders WHERE order_year = 1998 AND order_month = 5"
+        assert spark.sql(by_month).first()["n"] == lake.silver().where("order_year = 1998 AND order_month = 5").count() > 0
+    finally:
+        names.withdraw(lake, "shop_test")
+        spark.sql("DROP DATABASE shop_test")
+    assert lake.silver().count() == result.rows["silver_orders"]
 
 
 def test_summary(spark, first_run):
