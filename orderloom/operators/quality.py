@@ -50,17 +50,20 @@ def scalar_checks(table: DataFrame, checks: Mapping[str, tuple[str, int]]) -> Da
     )
 
 
-def order_expectations(orders: DataFrame) -> DataFrame:
-    """Row-level promises of silver, each a count of offending rows."""
+def order_expectations(orders: DataFrame, strict: bool = False) -> DataFrame:
+    """Row-level promises of silver, each a count of offending rows.
+
+    ``strict`` also refuses prices and totals of exactly zero.
+    """
     offending = {
         "no_negative_price": "unit_price < 0",
         "no_zero_quantity": "quantity = 0",
         "no_missing_customer": "customer_id IS NULL",
         "no_cancelled_order": f"status = {_text(CANCELLED)}",
         "no_negative_total": "total_amount < 0",
-        "price_above_zero": "unit_price <= 0",
-        "total_above_zero": "total_amount <= 0",
     }
+    if strict:
+        offending |= {"price_above_zero": "unit_price <= 0", "total_above_zero": "total_amount <= 0"}
     return scalar_checks(orders, {name: (f"count_if({rule})", 0) for name, rule in offending.items()})
 
 

@@ -57,7 +57,7 @@ def test_flags_are_never_null(silver):
 
 
 def test_missing_customer_is_kept_and_reported(faulty):
-    checks = {r["check_name"]: r for r in quality.order_expectations(cleaning.clean_orders(faulty)).collect()}
+    checks = {r["check_name"]: r for r in quality.order_expectations(cleaning.clean_orders(faulty), strict=True).collect()}
     assert (checks["no_missing_customer"]["got"], checks["no_missing_customer"]["passed"]) == (1, False)
     assert all(r["passed"] for name, r in checks.items() if name != "no_missing_customer")
 

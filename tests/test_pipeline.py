@@ -50,7 +50,7 @@ def test_counts(spark, source, first_run):
     for name, rows in result.rows.items():
         assert lake.table(name).count() == rows > 0, name
     assert len(result.column_tests) == 27
-    assert len(result.checks) == 10
+    assert len(result.checks) == 8
     assert all(r["passed"] for r in result.column_tests + result.checks)
 
 
@@ -145,6 +145,16 @@ def test_sizes(spark, first_run):
     assert shuffle_partitions(10**14, at_least=200) == 100_000
 
 
+def test_empty_input(spark, source, tmp_path):
+    """Every stage copes with no rows; only the segment check objects."""
+    base = str(tmp_path / "lake")
+    with pytest.raises(QualityGateError, match="all_segments_present") as failure:
+        pipeline.run(spark, source.where("false"), base, as_of=AS_OF, categories=PART_TYPES)
+    assert len(failure.value.failed) == 1
+    result = pipeline.run(spark, source.where("false"), base, as_of=AS_OF, expected_segments=0)
+    assert set(result.rows.values()) == {0} and result.total_revenue is None
+
+
 def test_gate_stops_on_a_value_outside_the_list(spark, source, tmp_path):
     base = str(tmp_path / "lake")
     with pytest.raises(QualityGateError, match="accepted_values"):

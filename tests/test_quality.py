@@ -93,6 +93,13 @@ def test_scalar_checks_take_any_expected_value_and_fail_on_null(table):
     }
 
 
+def test_zero_totals_fail_the_strict_form_only(spark):
+    free = spark.sql("SELECT 1.00BD AS unit_price, 1 AS quantity, 'c' AS customer_id, 'shipped' AS status, 0.00BD AS total_amount")
+    assert all(r["passed"] for r in quality.order_expectations(free).collect())
+    failed = {r["check_name"] for r in quality.order_expectations(free, strict=True).collect() if not r["passed"]}
+    assert failed == {"total_above_zero"}
+
+
 def test_reconciliation_sees_stale_gold(spark):
     silver = spark.sql("SELECT * FROM VALUES ('a', 'x'), ('b', 'x'), ('b', NULL) AS t(category, city)")
     categories = spark.sql("SELECT * FROM VALUES ('a'), ('b') AS t(category)")
