@@ -5,12 +5,13 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from verification import oracle
 from verification.compare import connect, differences
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+SQL = oracle.build()
+QUERIES = {name: query for name, query in contract.queries().items() if name in SQL}
 
 
 @pytest.fixture(scope="module")
