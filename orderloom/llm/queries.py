@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bin_packing, chat_format, mixing, quality_classifier, secret_scan, simhash
+from orderloom.llm import (
+    bin_packing,
+    chat_format,
+    html_extract,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    simhash,
+    token_counts,
+    topk_search,
+)
 from orderloom.llm.common import read
 
 # Fixed value: the conversation that the contract adds, full of the template's own marks.
@@ -42,10 +53,31 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op4_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_packing.pack_documents(read(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document before and after three edits at places drawn from its id.
+
+    A sentence goes in, eight characters go out, and a stretch is replaced by the text's
+    own beginning. With a second count of the edited text from scratch, by the tests.
+    """
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    place = lambda n: F.pmod(F.xxhash64(F.lit(n), "doc_id"), F.length("text") + 1)
+    edits = F.array(
+        F.struct(place(1).alias("start"), F.lit(0).alias("deleted"), F.lit(" An added sentence.").alias("inserted")),
+        F.struct(place(2).alias("start"), F.lit(8).alias("deleted"), F.lit("").alias("inserted")),
+        F.struct(place(3).alias("start"), F.lit(40).alias("deleted"), F.substring("text", 1, 25).alias("inserted")),
+    )
+    return token_counts.count_after_edits(docs.withColumn("edits", edits))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
@@ -71,14 +103,31 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return topk_search.top_k(vectors, topk_search.every_twentieth(vectors))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality_rules.judged(docs, quality_rules.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "op1_chat_format": op1_chat_format,
-        "op2_quality_classifier": op2_quality_classifier,
-        "op4_bin_packing": op4_bin_packing,
-        "op6_simhash": op6_simhash,
-        "op7_mixing": op7_mixing,
-        "op8_secret_scan": op8_secret_scan,
+        query.__name__: query
+        for query in (
+            op1_chat_format,
+            op2_quality_classifier,
+            op3_html_extract,
+            op4_bin_packing,
+            op5_token_counts,
+            op6_simhash,
+            op7_mixing,
+            op8_secret_scan,
+            op9_topk_search,
+            op10_quality_rules,
+        )
     }
 
 
