@@ -10,20 +10,37 @@ Rounding is half away from zero.
 
 from __future__ import annotations
 
-# Below this amount a double holds cents with room to spare, so the fast path
-# is exact. Larger amounts (table totals, not order lines) go through decimals.
-_DOUBLE_IS_EXACT = "2e13D"
+# Below this many units a double holds whole units with room to spare, so the fast
+# path is exact. Larger amounts (table totals, not order lines) go through decimals.
+_DOUBLE_IS_EXACT = 2e15
 
+_MICROS_PER_CENT = 10_000
 
-def to_cents(amount: str) -> str:
-    """Amount with two decimal places to BIGINT cents, exactly."""
+
+def _to_units(amount: str, per_one: int) -> str:
+    """Amount to BIGINT units, rounded where it is finer than one; NaN is NULL.
+
+    Both branches round, so a double and a decimal of the same digits agree.
+    """
+    double = f"CAST({amount} AS DOUBLE)"
     return (
-        f"CASE WHEN abs(CAST({amount} AS DOUBLE)) <= {_DOUBLE_IS_EXACT}"
-        f" THEN CAST(rint(CAST({amount} AS DOUBLE) * 100) AS BIGINT)"
-        f" ELSE CAST({amount} * 100 AS BIGINT) END"
+        f"CASE WHEN abs({double}) <= {_DOUBLE_IS_EXACT / per_one}D"
+        f" THEN CAST(rint({double} * {per_one}) AS BIGINT)"
+        f" WHEN NOT isnan({double})"
+        f" THEN CAST(round(CAST({amount} AS DECIMAL(38, 8)) * {per_one}) AS BIGINT) END"
     )
 
 
+def to_cents(amount: str) -> str:
+    """Amount with two decimal places to BIGINT cents, exactly; NaN is NULL."""
+    return _to_units(amount, 100)
+
+
+def price_times(price: str, quantity: str) -> str:
+    """Cents of price * quantity, rounded once; prices count to six places."""
+    return divide_half_up(f"({_to_units(price, 100 * _MICROS_PER_CENT)}) * {quantity}", str(_MICROS_PER_CENT))
+
+
 def from_cents(cents: str) -> str:
     """BIGINT cents to the stored money type."""
     return f"CAST(({cents}) * 0.01BD AS DECIMAL(18, 2))"

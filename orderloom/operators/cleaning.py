@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.calendar import day_name, is_weekend, period_parts
-from orderloom.functions.money import divide_half_up, from_cents, to_cents
+from orderloom.functions.money import divide_half_up, from_cents, price_times, to_cents
 from orderloom.schema import BRONZE, CANCELLED, NO_RATING, NO_RETURN, RETURNED
 
 
@@ -35,10 +35,14 @@ def fill_missing(orders: DataFrame) -> DataFrame:
 
 
 def add_amounts(orders: DataFrame) -> DataFrame:
-    """gross, discount, net and total amount, worked out in whole cents."""
+    """gross, discount, net and total amount, worked out in whole cents.
+
+    The price is multiplied before it is rounded. A NaN price or shipping cost counts
+    as missing: the amounts that need it are NULL.
+    """
     return orders.selectExpr(
         "*",
-        f"{to_cents('unit_price')} * quantity AS _gross",
+        f"{price_times('unit_price', 'quantity')} AS _gross",
         f"{divide_half_up('_gross * discount_pct', '100')} AS _discount",
         f"{from_cents('_gross')} AS gross_amount",
         f"{from_cents('_discount')} AS discount_amount",
@@ -75,16 +79,38 @@ def clean_orders(bronze: DataFrame) -> DataFrame:
     )
 
 
+def by_bronze_names(orders: DataFrame) -> DataFrame:
+    """The columns of bronze, found by name in any order and case, with their own types.
+
+    A column that bronze doesn't have is an error, since its values would be lost. One
+    that bronze has and the batch doesn't is NULL.
+    """
+    given = {name.lower(): name for name in orders.columns}
+    unknown = sorted(set(given) - set(BRONZE.fieldNames()))
+    if unknown or len(given) < len(orders.columns):
+        raise ValueError(f"columns that bronze does not have, or repeated ones: {unknown or orders.columns}")
+    return orders.selectExpr(
+        *[
+            f"`{given[f.name]}` AS {f.name}" if f.name in given else f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in BRONZE.fields
+        ]
+    )
+
+
 def as_bronze(orders: DataFrame) -> DataFrame:
-    """Any order frame in the bronze layout: columns by name in any order and
-    case, NaN as NULL where the stored type has no NaN."""
-    given = {name.lower(): dtype for name, dtype in orders.dtypes}
+    """Any order frame in the bronze layout (see ``by_bronze_names``), NaN as NULL where
+    the stored type has no NaN."""
+    orders = by_bronze_names(orders)
+    given = dict(orders.dtypes)
     columns = []
     for field in BRONZE.fields:
         stored = field.dataType.simpleString()
         value = field.name
-        if given.get(value) in ("double", "float") and stored != "double":
+        if given[value] in ("double", "float") and stored != "double":
             value = f"nanvl({value}, NULL)"
+            if given[field.name] == "float" and stored.startswith("decimal"):
+                # The digits a float was written with, not those of its binary value.
+                value = f"CAST({value} AS STRING)"
         columns.append(f"CAST({value} AS {stored}) AS {field.name}")
     return orders.selectExpr(*columns)
 

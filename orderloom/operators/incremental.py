@@ -29,15 +29,24 @@ def rows_after(batch: DataFrame, last_loaded: date | None) -> DataFrame:
 def new_rows(batch: DataFrame, loaded: DataFrame) -> DataFrame:
     """Batch rows above the watermark of ``loaded``, as one lazy plan.
 
-    The watermark is a scalar subquery: one value, computed once, no join.
+    The watermark is a scalar subquery: one value, computed once, no join. It is not
+    known when the scan is planned, so no filter is pushed down; the job that loads
+    takes ``rows_after`` with a literal.
     """
     last_loaded = watermark(loaded).scalar()
     return batch.where(last_loaded.isNull() | (F.col("order_date") > last_loaded))
 
 
 def append_by_name(loaded: DataFrame, batch: DataFrame) -> DataFrame:
-    """The table after an incremental append, columns matched by name."""
-    return loaded.unionByName(new_rows(batch, loaded))
+    """The table after an incremental append, columns matched by name.
+
+    A column of the batch that the table doesn't have is an error; one that it lacks is
+    NULL.
+    """
+    known = {name.lower() for name in loaded.columns}
+    if unknown := sorted(name for name in batch.columns if name.lower() not in known):
+        raise ValueError(f"columns that the table does not have: {unknown}")
+    return loaded.unionByName(new_rows(batch, loaded), allowMissingColumns=True)
 
 
 LOAD_MODES = ("incremental", "append", "replace")
@@ -57,6 +66,5 @@ def load_bronze(lake: Lake, batch: DataFrame, mode: str = "incremental") -> int:
         return lake.replace_bronze(batch)
     lake.ensure_bronze()
     if mode == "incremental":
-        last_loaded = watermark(lake.bronze_newest_month()).first()["watermark"]
-        batch = rows_after(batch, last_loaded)
+        batch = rows_after(batch, lake.bronze_watermark())
     return lake.append_bronze(batch)

@@ -50,23 +50,42 @@ def scalar_checks(table: DataFrame, checks: Mapping[str, tuple[str, int]]) -> Da
     )
 
 
+_OFFENDING = {
+    "no_negative_price": "unit_price < 0",
+    "no_zero_quantity": "quantity = 0",
+    "no_missing_customer": "customer_id IS NULL",
+    "no_cancelled_order": f"status = {_text(CANCELLED)}",
+    "no_negative_total": "total_amount < 0",
+}
+
+
 def order_expectations(orders: DataFrame, strict: bool = False) -> DataFrame:
     """Row-level promises of silver, each a count of offending rows.
 
     ``strict`` also refuses prices and totals of exactly zero.
     """
-    offending = {
-        "no_negative_price": "unit_price < 0",
-        "no_zero_quantity": "quantity = 0",
-        "no_missing_customer": "customer_id IS NULL",
-        "no_cancelled_order": f"status = {_text(CANCELLED)}",
-        "no_negative_total": "total_amount < 0",
-    }
+    offending = dict(_OFFENDING)
     if strict:
         offending |= {"price_above_zero": "unit_price <= 0", "total_above_zero": "total_amount <= 0"}
     return scalar_checks(orders, {name: (f"count_if({rule})", 0) for name, rule in offending.items()})
 
 
+def orders_profile(orders: DataFrame, not_null: Iterable[str]) -> DataFrame:
+    """Offending rows and NULLs per category, city and status, in one scan.
+
+    Row-level promises, NULL counts, accepted statuses and distinct categories and
+    cities all follow from this table, which combines on the map side.
+    """
+    counts = [F.expr(f"count_if({rule}) AS {name}") for name, rule in _OFFENDING.items()]
+    nulls = [F.expr(f"count_if({c} IS NULL) AS null_{c}") for c in dict.fromkeys(not_null)]
+    return orders.groupBy("category", "city", "status").agg(F.expr("count(*) AS orders"), *counts, *nulls)
+
+
+def profiled_expectations(profile: DataFrame) -> DataFrame:
+    """``order_expectations`` from a profile."""
+    return scalar_checks(profile, {name: (f"coalesce(sum({name}), 0)", 0) for name in _OFFENDING})
+
+
 def reconciliation(
     silver: DataFrame,
     gold_categories: DataFrame,
@@ -80,7 +99,10 @@ def reconciliation(
     Both sides are one-row aggregates; they meet in a union grouped by check
     name, so no table is joined to another.
     """
-    in_silver = silver.agg(F.expr("count(DISTINCT category) AS v0"), F.expr("count(DISTINCT city) AS v1")).selectExpr(
+    # The pairs are few, so two distinct counts over them cost nothing; over silver itself
+    # they would expand every row.
+    pairs = silver.groupBy("category", "city").count()
+    in_silver = pairs.agg(F.expr("count(DISTINCT category) AS v0"), F.expr("count(DISTINCT city) AS v1")).selectExpr(
         "stack(2, 'categories_match_silver', v0, 'cities_match_silver', v1) AS (check_name, expected)"
     )
 
@@ -167,23 +189,33 @@ def _failing_values(test: ColumnTest) -> str:
     return f"count(DISTINCT CASE WHEN {test.column} NOT IN ({values}) THEN {test.column} END)"
 
 
-def run_column_tests(tables: Mapping[str, DataFrame], tests: Iterable[ColumnTest]) -> DataFrame:
+#: Keys that a view computes from another column alone: they repeat where that one does.
+KEY_COMES_FROM = {("stg_orders", "order_sk"): "order_id"}
+
+
+def run_column_tests(
+    tables: Mapping[str, DataFrame], tests: Iterable[ColumnTest], profiles: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
     """One row per declared test over the named tables.
 
     Models given as the same frame are tested together: one scan for all their
-    ``not_null`` and ``accepted_values`` tests, one shuffle per unique column.
+    ``not_null`` and ``accepted_values`` tests, one shuffle per unique column. A model
+    with a profile (``orders_profile``) is scanned for its unique columns only.
     """
+    profiles = profiles or {}
     # frame -> (frame, {aggregate: tests it answers}, {unique column: tests})
     frames: dict[int, tuple[DataFrame, dict[str, list], dict[str, list]]] = {}
     for t in tests:
-        table = tables[t.model]
+        profiled = t.model in profiles and t.test != "unique"
+        table = profiles[t.model] if profiled else tables[t.model]
         _, scanned, unique = frames.setdefault(id(table), (table, {}, {}))
         if t.test == "not_null":
-            scanned.setdefault(f"count_if({t.column} IS NULL)", []).append(t)
+            nulls = f"coalesce(sum(null_{t.column}), 0)" if profiled else f"count_if({t.column} IS NULL)"
+            scanned.setdefault(nulls, []).append(t)
         elif t.test == "accepted_values":
             scanned.setdefault(_failing_values(t), []).append(t)
         elif t.test == "unique":
-            unique.setdefault(t.column, []).append(t)
+            unique.setdefault(KEY_COMES_FROM.get((t.model, t.column), t.column), []).append(t)
         else:
             raise ValueError(f"unknown column test {t.test!r}")
     results = []

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.calendar import week_label
 from orderloom.functions.money import from_cents, mean_2dp, mean_money, percent_2dp, sum_money, to_cents
-from orderloom.schema import SEGMENTS
 
 
 def top_categories(silver: DataFrame) -> DataFrame:
@@ -84,22 +83,21 @@ def weekly_revenue(gold_daily: DataFrame) -> DataFrame:
 def segment_revenue_share(spend_tiers: DataFrame) -> DataFrame:
     """Customers, revenue and share of all revenue per segment: the donut feed.
 
-    The segments are a fixed list, so one global aggregate holds each segment's
-    figures and the total they are measured against; unpivoting it gives the
-    rows. The customers are read once, and there is no join or global window.
+    Whatever segments there are, a NULL one included. One more aggregate over these few
+    rows holds them together with their total, so the customers are read once and there
+    is no join or global window.
     """
     cents = to_cents("lifetime_value")
-    figures = [F.expr(f"sum({cents}) AS all_cents")]
-    for i, segment in enumerate(SEGMENTS):
-        here = f"FILTER (WHERE customer_segment = '{segment}')"
-        figures += [F.expr(f"count(*) {here} AS n{i}"), F.expr(f"sum({cents}) {here} AS s{i}")]
-    stacked = ", ".join(f"'{segment}', n{i}, s{i}" for i, segment in enumerate(SEGMENTS))
     # In decimals: ten thousand times a grand total can outgrow a BIGINT.
     share = percent_2dp("CAST(cents AS DECIMAL(22, 0))", "CAST(all_cents AS DECIMAL(22, 0))")
     return (
-        spend_tiers.agg(*figures)
-        .selectExpr("all_cents", f"stack({len(SEGMENTS)}, {stacked}) AS (customer_segment, customers, cents)")
-        .where("customers > 0")
+        spend_tiers.groupBy("customer_segment")
+        .agg(F.expr("count(*) AS customers"), F.expr(f"sum({cents}) AS cents"))
+        .agg(
+            F.expr("sum(cents) AS all_cents"),
+            F.expr("collect_list(struct(customer_segment, customers, cents)) AS segments"),
+        )
+        .selectExpr("all_cents", "inline(segments)")
         .selectExpr(
             "customer_segment",
             "customers",
@@ -115,7 +113,12 @@ def layer_row_counts(tables: Iterable[tuple[str, str, DataFrame, str]]) -> DataF
     counted = [
         frame.groupBy()
         .agg(F.expr("count(*) AS row_count"))
-        .selectExpr(f"'{layer}' AS layer", f"'{name}' AS table_name", "row_count", f"'{description}' AS description")
+        .select(
+            F.lit(layer).alias("layer"),
+            F.lit(name).alias("table_name"),
+            "row_count",
+            F.lit(description).alias("description"),
+        )
         for layer, name, frame, description in tables
     ]
     return reduce(DataFrame.unionByName, counted)

@@ -4,26 +4,33 @@ Each stage writes its table and the next one reads it back, so a lost executor
 costs the tasks it ran and never an earlier stage. Silver is scanned once per
 roll-up with only the columns that needs; marts and gold tables beyond that are
 column selections of stored roll-ups and scan nothing large.
+
+Bronze only grows and cleaning is row by row, so silver is rebuilt for the months
+whose bronze files changed since the last finished build, which the folder listing
+tells; daily sales likewise. A run that finds no change rewrites neither silver nor
+the roll-ups, only what counts days to today. ``replace`` and ``rebuild`` rebuild all.
 """
 
 from __future__ import annotations
 
 import argparse
 import sys
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderloom.operators import gold, marts, quality
 from orderloom.operators.cleaning import as_bronze, clean_orders
 from orderloom.operators.incremental import LOAD_MODES, load_bronze
 from orderloom.operators.reports import layer_row_counts
 from orderloom.operators.staging import stg_orders
-from orderloom.plans.column_tests import all_tests
+from orderloom.plans.column_tests import NOT_NULL, all_tests
 from orderloom.plans.report_book import report_book
-from orderloom.schema import ACCEPTED_CATEGORIES, BRONZE, SEGMENTS
+from orderloom.schema import ACCEPTED_CATEGORIES, SEGMENTS
 from orderloom.session import build_session
 from orderloom.sources.lake import BRONZE_TABLE, SILVER_TABLE, Lake
 from orderloom.sources.sizes import shuffle_partitions, stored_bytes
@@ -40,6 +47,8 @@ TABLES = {
 MARTS = ("mart_daily_sales", "mart_category_metrics", "mart_customer_segments", "mart_city_metrics")
 # All measures per customer; the mart and both gold customer tables select from it.
 CUSTOMER_ROLLUP = "customer_rollup"
+# What row-level checks of silver need, added up per category, city and status.
+PROFILE = "silver_profile"
 
 # The roll-ups are independent, so their jobs are submitted together: one's last
 # tasks do not leave the cluster idle before the next one starts.
@@ -56,8 +65,8 @@ class PipelineResult:
 
 
 def read_orders(spark: SparkSession, path: str) -> DataFrame:
-    """Raw orders stored as Parquet, read with the declared layout."""
-    return spark.read.schema(BRONZE).parquet(path)
+    """Raw orders stored as Parquet in types of their own, in the bronze layout."""
+    return as_bronze(spark.read.parquet(path))
 
 
 def build_silver(lake: Lake) -> int:
@@ -71,28 +80,56 @@ def _replace_all(lake: Lake, frames: dict[str, DataFrame]) -> dict[str, int]:
         return {name: job.result() for name, job in pending.items()}
 
 
-def build_marts(lake: Lake, as_of: date) -> dict[str, int]:
+def _daily_sales(lake: Lake, months: Iterable[str] | None) -> DataFrame:
+    """All days, or the stored ones with those of some months worked out again."""
+    if months is None:
+        return marts.daily_sales(stg_orders(lake.silver()))
+    stored = lake.table("mart_daily_sales")
+    kept = stored.where(~lake.in_months(F.expr("order_year * 100 + order_month"), months))
+    fresh = marts.daily_sales(stg_orders(lake.silver_of_months(months)))
+    return kept.union(fresh.select(*stored.columns))
+
+
+def _with_recency(customers: DataFrame, as_of: date) -> DataFrame:
+    """Recency counted to another day than when the roll-up was stored."""
+    return customers.withColumn("recency_days", F.expr(f"datediff(DATE '{as_of}', last_order_date)"))
+
+
+def build_marts(lake: Lake, as_of: date, months: Iterable[str] | None = None) -> dict[str, int]:
+    """The roll-ups of silver, and what its checks need; ``months`` names those that changed."""
     staging = stg_orders(lake.silver())
     rows = _replace_all(
         lake,
         {
             CUSTOMER_ROLLUP: marts.customer_rollup(staging, as_of),
-            "mart_daily_sales": marts.daily_sales(staging),
+            "mart_daily_sales": _daily_sales(lake, months),
             "mart_category_metrics": marts.category_metrics(staging),
             "mart_city_metrics": marts.city_metrics(staging),
+            PROFILE: quality.orders_profile(staging, NOT_NULL[SILVER_TABLE] + NOT_NULL["stg_orders"]),
         },
     )
+    del rows[PROFILE]
+    return rows | build_customer_marts(lake, as_of)
+
+
+def build_customer_marts(lake: Lake, as_of: date) -> dict[str, int]:
+    """The customer mart from the stored roll-up, with recency counted to ``as_of``."""
     name = "mart_customer_segments"
-    rows[name] = lake.replace(name, marts.customer_segments_columns(lake.table(CUSTOMER_ROLLUP)))
-    return rows
+    customers = _with_recency(lake.table(CUSTOMER_ROLLUP), as_of)
+    return {name: lake.replace(name, marts.customer_segments_columns(customers))}
+
 
+def build_gold_segments(lake: Lake, as_of: date) -> dict[str, int]:
+    name = "gold_customer_segments"
+    customers = _with_recency(lake.table(CUSTOMER_ROLLUP), as_of)
+    return {name: lake.replace(name, gold.customer_segments_columns(customers))}
 
-def build_gold(lake: Lake) -> dict[str, int]:
+
+def build_gold(lake: Lake, as_of: date) -> dict[str, int]:
     customers = lake.table(CUSTOMER_ROLLUP)
-    return _replace_all(
+    return build_gold_segments(lake, as_of) | _replace_all(
         lake,
         {
-            "gold_customer_segments": gold.customer_segments_columns(customers),
             "gold_customer_spend_tiers": gold.customer_spend_tiers_columns(customers),
             "gold_daily_sales": gold.daily_sales_columns(lake.table("mart_daily_sales")),
             "gold_category_metrics": gold.category_metrics_columns(lake.table("mart_category_metrics")),
@@ -102,20 +139,22 @@ def build_gold(lake: Lake) -> dict[str, int]:
 
 
 def column_test_results(lake: Lake, categories: tuple[str, ...] = ACCEPTED_CATEGORIES) -> DataFrame:
+    """All column tests. Silver is read for its keys only; the rest is in its profile."""
     # Staging has every silver column, so one frame serves both models.
     staging = stg_orders(lake.silver())
     tables = {SILVER_TABLE: staging, "stg_orders": staging}
     tables.update({name: lake.table(name) for name in MARTS})
-    return quality.run_column_tests(tables, all_tests(categories))
+    profiles = dict.fromkeys((SILVER_TABLE, "stg_orders"), lake.table(PROFILE))
+    return quality.run_column_tests(tables, all_tests(categories), profiles)
 
 
 def check_results(lake: Lake, expected_segments: int = len(SEGMENTS)) -> DataFrame:
-    silver = lake.silver()
+    profile = lake.table(PROFILE)
     return quality.union_all(
         [
-            quality.order_expectations(silver),
+            quality.profiled_expectations(profile),
             quality.reconciliation(
-                silver,
+                profile,
                 lake.table("gold_category_metrics"),
                 lake.table("gold_city_metrics"),
                 lake.table("gold_customer_segments"),
@@ -132,58 +171,151 @@ def summary(lake: Lake) -> DataFrame:
     )
 
 
+def build_layers(lake: Lake, as_of: date, rebuild: bool = False) -> dict[str, int]:
+    """Bring silver, marts and gold in step with bronze; returns all row counts."""
+    months, state = lake.bronze_months(), lake.state()
+    if rebuild or state is None or state["version"] != str(lake.version(BRONZE_TABLE)):
+        changed = None
+    else:
+        changed = [month for month, mark in months.items() if state["months"].get(month) != mark]
+    if changed == []:
+        rows = state["rows"]
+        if state["as_of"] != as_of:
+            rows = rows | build_customer_marts(lake, as_of) | build_gold_segments(lake, as_of)
+    else:
+        if changed is None:
+            rows = {SILVER_TABLE: build_silver(lake)}
+        else:
+            lake.replace_silver_months(clean_orders(lake.bronze_of_months(changed)))
+            rows = {SILVER_TABLE: lake.silver().count()}
+        rows |= build_marts(lake, as_of, changed)
+        rows |= build_gold(lake, as_of)
+    if changed != [] or state["as_of"] != as_of:
+        lake.save_state(months, rows, as_of)
+    return rows
+
+
+STAGES = ("bronze", "silver", "marts", "gold", "tests", "checks")
+
+
 def run(
     spark: SparkSession,
-    source: DataFrame,
+    source: DataFrame | None,
     base: str,
     load: str = "incremental",
     as_of: date | None = None,
     categories: tuple[str, ...] = ACCEPTED_CATEGORIES,
     expected_segments: int = len(SEGMENTS),
+    rebuild: bool = False,
+    database: str | None = None,
+    partitions: int | None = None,
 ) -> PipelineResult:
-    """Load a batch and rebuild everything above bronze under ``base``.
+    """Load a batch and bring everything above bronze in step under ``base``.
 
-    Raises ``QualityGateError`` when a column test or check fails; the tables
-    are left in place for inspection.
+    ``rebuild`` makes all tables anew. ``database`` keeps catalog tables pointed at the
+    new versions. ``partitions`` sets the session's shuffle partitions. Raises
+    ``QualityGateError`` when a column test or check fails; the tables are left in place
+    for inspection.
     """
+    if partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     # One date for all tables, also when the run passes midnight.
     as_of = as_of or spark.sql("SELECT current_date() AS today").first()["today"]
     lake = Lake(spark, base)
     result = PipelineResult()
     result.rows_loaded = load_bronze(lake, as_bronze(source), load)
-    result.rows[SILVER_TABLE] = build_silver(lake)
-    result.rows.update(build_marts(lake, as_of))
-    result.rows.update(build_gold(lake))
+    result.rows = build_layers(lake, as_of, rebuild)
+    if database:
+        from orderloom.plans import names
+
+        names.publish(lake, database)
     result.column_tests = quality.gate(column_test_results(lake, categories))
     result.checks = quality.gate(check_results(lake, expected_segments))
     result.total_revenue = quality.total_revenue(lake.table("gold_category_metrics")).first()["total_revenue"]
     return result
 
 
+def run_stage(
+    spark: SparkSession,
+    stage: str,
+    base: str,
+    source: DataFrame | None = None,
+    load: str = "incremental",
+    as_of: date | None = None,
+    categories: tuple[str, ...] = ACCEPTED_CATEGORIES,
+    expected_segments: int = len(SEGMENTS),
+) -> dict[str, int]:
+    """One stage alone over the stored tables; returns rows per table, or checks passed.
+
+    Silver, marts and gold are rebuilt in full here. What they were built from isn't
+    recorded, so the next whole run brings up to date whatever its own record lacks.
+    """
+    lake = Lake(spark, base)
+    as_of = as_of or spark.sql("SELECT current_date() AS today").first()["today"]
+    if stage == "bronze":
+        return {BRONZE_TABLE: load_bronze(lake, as_bronze(source), load)}
+    if stage == "silver":
+        return {SILVER_TABLE: build_silver(lake)}
+    if stage == "marts":
+        return build_marts(lake, as_of)
+    if stage == "gold":
+        return build_gold(lake, as_of)
+    if stage == "tests":
+        return {"column_tests": len(quality.gate(column_test_results(lake, categories)))}
+    if stage == "checks":
+        return {"checks": len(quality.gate(check_results(lake, expected_segments)))}
+    raise ValueError(f"stage {stage!r} is none of {', '.join(STAGES)}")
+
+
+def store_reports(lake: Lake) -> dict[str, int]:
+    """Write every report to a table of its own; returns paths and row counts."""
+    stored = {}
+    for title, frame in report_book(lake).items():
+        name = "report_" + title.replace(" ", "_")
+        rows = lake.replace(name, frame)
+        stored[lake.path(name)] = rows
+    return stored
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description="Load a batch of orders and rebuild the tables above it.")
-    parser.add_argument("--source", required=True, help="Parquet folder of raw orders")
+    parser.add_argument("--source", help="Parquet folder of raw orders (for the bronze stage and the whole run)")
     parser.add_argument("--base", required=True, help="folder that holds the tables")
+    parser.add_argument("--stage", choices=(*STAGES, "all"), default="all", help="one stage alone, or all")
     parser.add_argument("--load", choices=LOAD_MODES, default="incremental", help="how the batch enters bronze")
+    parser.add_argument("--rebuild", action="store_true", help="make silver and all above it anew")
     parser.add_argument("--as-of", type=date.fromisoformat, help="day recency counts to (today)")
-    parser.add_argument("--reports", action="store_true", help="print the reports as well")
+    parser.add_argument("--category", action="append", help="an accepted category; repeat (the declared list)")
+    parser.add_argument("--segments", type=int, default=len(SEGMENTS), help="number of segments that must be present")
+    parser.add_argument("--publish", metavar="DATABASE", help="keep catalog tables of this database current")
+    parser.add_argument("--reports", action="store_true", help="store the reports as well")
     args = parser.parse_args(argv)
+    if not args.source and args.stage in ("all", "bronze"):
+        parser.error("--source is needed to load bronze")
+    categories = tuple(args.category or ACCEPTED_CATEGORIES)
     spark = build_session("orderloom-pipeline")
     lake = Lake(spark, args.base)
-    size = stored_bytes(spark, args.source) + stored_bytes(spark, lake.path(BRONZE_TABLE))
+    size = stored_bytes(spark, lake.path(BRONZE_TABLE)) + (stored_bytes(spark, args.source) if args.source else 0)
     partitions = shuffle_partitions(size, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    source = read_orders(spark, args.source) if args.source else None
     try:
-        result = run(spark, read_orders(spark, args.source), args.base, args.load, args.as_of)
+        if args.stage != "all":
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            done = run_stage(spark, args.stage, args.base, source, args.load, args.as_of, categories, args.segments)
+            for name, rows in done.items():
+                print(f"{name}: {rows}")
+            return 0
+        result = run(
+            spark, source, args.base, args.load, args.as_of, categories, args.segments, args.rebuild, args.publish, partitions
+        )
     except quality.QualityGateError as failure:
         print(f"quality gate: {failure}", file=sys.stderr)
         return 1
     print(f"loaded {result.rows_loaded} rows, total revenue {result.total_revenue}")
-    summary(lake).show(truncate=False)
+    summary(lake).show(len(TABLES), truncate=False)
     if args.reports:
-        for title, frame in report_book(lake).items():
-            print(title)
-            frame.show(60, truncate=False)
+        for path, rows in store_reports(lake).items():
+            print(f"{path}: {rows} rows")
     return 0
 
 

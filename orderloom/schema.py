@@ -15,6 +15,8 @@ from pyspark.sql.types import (
 
 # Money is stored as an exact decimal with two places; see functions/money.py.
 MONEY = DecimalType(18, 2)
+# A price keeps finer places: amounts are rounded once, after multiplying.
+PRICE = DecimalType(18, 6)
 
 BRONZE = StructType(
     [
@@ -24,7 +26,7 @@ BRONZE = StructType(
         StructField("category", StringType()),
         StructField("order_date", DateType()),
         StructField("quantity", IntegerType()),
-        StructField("unit_price", MONEY),
+        StructField("unit_price", PRICE),
         StructField("discount_pct", IntegerType()),
         StructField("shipping_cost", MONEY),
         StructField("customer_rating", DoubleType()),

@@ -4,23 +4,36 @@ The base path plays the part of a schema name: tests use their own. Bronze is
 laid out by ``order_ym`` (year * 100 + month of the order date) so that the
 watermark reads the newest month only; silver keeps that clustering by its own
 year and month columns.
+
+A table is a folder of versions. A replacement is written to a new version, which
+counts from the moment its job has left the success marker: a writer lost midway
+leaves the old version in use, and readers see either one whole. The version
+before stays for readers at work; older ones go.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from datetime import date
 from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from orderloom.operators.cleaning import as_bronze
 from orderloom.schema import BRONZE, SILVER
+from orderloom.sources.files import Folder
 
 BRONZE_TABLE = "bronze_orders"
 SILVER_TABLE = "silver_orders"
 MONTH_KEY = "order_ym"
+STATE_TABLE = "silver_state"
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
+COMPLETE = "_SUCCESS"
+
+_STATE = "version string, months map<string, string>, rows map<string, bigint>, as_of date"
 
 _BRONZE_STORED = StructType(BRONZE.fields + [StructField(MONTH_KEY, IntegerType())])
 
@@ -37,32 +50,68 @@ class Lake:
     base: str
 
     PARTITIONED: ClassVar[tuple[str, ...]] = (BRONZE_TABLE, SILVER_TABLE)
+    SILVER_PARTITIONS: ClassVar[list[str]] = ["order_year", "order_month"]
 
-    def path(self, name: str) -> str:
+    def folder(self, name: str) -> str:
         return f"{self.base.rstrip('/')}/{name}"
 
+    def _versions(self, name: str) -> list[int]:
+        """Numbers of all versions, complete or not, rising."""
+        return sorted(int(v[1:]) for v in Folder(self.spark, self.folder(name)).folders() if v[1:].isdigit())
+
+    def version(self, name: str) -> int:
+        """The version in use; 0 if there is none yet."""
+        folder = Folder(self.spark, self.folder(name))
+        return next((v for v in reversed(self._versions(name)) if folder.has(f"v{v}/{COMPLETE}")), 0)
+
+    def path(self, name: str) -> str:
+        """Where the version in use is, or the first one will be."""
+        return f"{self.folder(name)}/v{max(self.version(name), 1)}"
+
     # -- bronze ---------------------------------------------------------
 
     def ensure_bronze(self) -> None:
         """Create an empty bronze table unless there is one."""
         empty = self.spark.createDataFrame([], _BRONZE_STORED)
-        empty.write.mode("ignore").partitionBy(MONTH_KEY).parquet(self.path(BRONZE_TABLE))
+        if not self.version(BRONZE_TABLE):
+            empty.write.mode("append").partitionBy(MONTH_KEY).parquet(self.path(BRONZE_TABLE))
 
     def bronze(self) -> DataFrame:
         return self._bronze_stored().select(*BRONZE.fieldNames())
 
-    def bronze_newest_month(self) -> DataFrame:
-        """The bronze rows of the newest month: where the highest order date is.
+    def bronze_months(self) -> dict[str, str]:
+        """What is stored per month: its partition value and a mark that changes with its files.
 
-        Finding the month touches the partition column only; the outer filter
-        then prunes every other month's files.
+        From the folder listing alone.
         """
-        stored = self._bronze_stored()
-        newest = self._bronze_stored().agg(F.max(MONTH_KEY)).scalar()
-        return stored.where(F.col(MONTH_KEY) == newest).select(*BRONZE.fieldNames())
+        folder = Folder(self.spark, self.path(BRONZE_TABLE))
+        found = [name for name in folder.folders() if name.startswith(f"{MONTH_KEY}=")]
+        return {name.partition("=")[2]: folder.content(name) for name in found}
+
+    def bronze_of_months(self, months: Iterable[str]) -> DataFrame:
+        """The bronze rows of some months; other months' files are pruned."""
+        return self._bronze_stored().where(self.in_months(F.col(MONTH_KEY), months)).select(*BRONZE.fieldNames())
+
+    @staticmethod
+    def in_months(key: Column, months: Iterable[str]) -> Column:
+        dated = [int(m) for m in months if m != NO_MONTH]
+        inside = key.isin(dated) if dated else F.lit(False)
+        return inside | key.isNull() if NO_MONTH in months else inside
+
+    def bronze_watermark(self) -> date | None:
+        """The highest stored order date; None if no row has one.
+
+        Months come from the folder listing; the newest one that holds a date is the
+        only one that is read.
+        """
+        for month in sorted((m for m in self.bronze_months() if m != NO_MONTH), key=int, reverse=True):
+            found = self.bronze_of_months([month]).agg(F.max("order_date")).first()[0]
+            if found is not None:
+                return found
+        return None
 
     def append_bronze(self, rows: DataFrame) -> int:
-        """Append rows, matching columns by name; returns how many."""
+        """Append rows to the version in use, matching columns by name; returns how many."""
         return self._write_bronze(rows, "append")
 
     def replace_bronze(self, rows: DataFrame) -> int:
@@ -72,8 +121,7 @@ class Lake:
     def _write_bronze(self, rows: DataFrame, mode: str) -> int:
         """The rebalance groups each month's rows into files of the advisory size
         and splits a month that is too large for one task."""
-        by_name = rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE.fields])
-        laid_out = by_name.withColumn(MONTH_KEY, _month_key("order_date")).hint("rebalance", MONTH_KEY)
+        laid_out = as_bronze(rows).withColumn(MONTH_KEY, _month_key("order_date")).hint("rebalance", MONTH_KEY)
         return self._write(laid_out, BRONZE_TABLE, mode, [MONTH_KEY])
 
     def _bronze_stored(self) -> DataFrame:
@@ -84,7 +132,26 @@ class Lake:
     def replace_silver(self, rows: DataFrame) -> int:
         """Full reload. No shuffle: bronze files hold one month each, so a task
         writes few partitions."""
-        return self._write(rows.select(*SILVER.fieldNames()), SILVER_TABLE, "overwrite", ["order_year", "order_month"])
+        return self._write(rows.select(*SILVER.fieldNames()), SILVER_TABLE, "overwrite", self.SILVER_PARTITIONS)
+
+    def replace_silver_months(self, rows: DataFrame) -> None:
+        """Reload the months that ``rows`` belong to, in the version in use; the files
+        of other months stay as they are."""
+        writer = rows.select(*SILVER.fieldNames()).write.mode("overwrite").partitionBy(*self.SILVER_PARTITIONS)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(SILVER_TABLE))
+
+    def silver_of_months(self, months: Iterable[str]) -> DataFrame:
+        return self.silver().where(self.in_months(F.expr("order_year * 100 + order_month"), months))
+
+    def state(self) -> dict | None:
+        """What the last finished build of silver and its roll-ups was made from."""
+        if not self.version(STATE_TABLE):
+            return None
+        return self.spark.read.schema(_STATE).parquet(self.path(STATE_TABLE)).first().asDict()
+
+    def save_state(self, months: dict[str, str], rows: dict[str, int], as_of: date) -> None:
+        row = (str(self.version(BRONZE_TABLE)), months, rows, as_of)
+        self.replace(STATE_TABLE, self.spark.createDataFrame([row], _STATE))
 
     def silver(self) -> DataFrame:
         stored = self.spark.read.schema(SILVER).parquet(self.path(SILVER_TABLE))
@@ -118,9 +185,22 @@ class Lake:
         # The count is taken by the write itself, in its last stage, where each
         # partition is counted once however often its task is retried.
         written = Observation(f"rows_{name}")
-        writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+        writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        # "static" so that an overwrite always clears the whole table.
-        writer.option("partitionOverwriteMode", "static").parquet(self.path(name))
+        if mode == "append":
+            writer.parquet(self.path(name))
+        else:
+            number = max(self._versions(name), default=0) + 1
+            writer.parquet(f"{self.folder(name)}/v{number}")
+            self._remove_before(name, number)
         return written.get["rows"]
+
+    def _remove_before(self, name: str, number: int) -> None:
+        """Versions other than ``number`` and the complete one before it."""
+        folder = Folder(self.spark, self.folder(name))
+        older = [v for v in self._versions(name) if v < number]
+        kept = next((v for v in reversed(older) if folder.has(f"v{v}/{COMPLETE}")), None)
+        for v in older:
+            if v != kept:
+                folder.remove(f"v{v}")

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 # A reducer's share of a shuffle about as wide as its input.
 _BYTES_PER_PARTITION = 128 << 20
-_MOST_PARTITIONS = 100_000
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
@@ -28,4 +27,4 @@ def shuffle_partitions(input_bytes: int, at_least: int) -> int:
     Adaptive execution merges partitions that turn out small but cannot add any,
     so a shuffle has to start with enough of them.
     """
-    return min(_MOST_PARTITIONS, max(at_least, -(-input_bytes // _BYTES_PER_PARTITION)))
+    return max(at_least, -(-input_bytes // _BYTES_PER_PARTITION))

@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from orderloom.operators.incremental import load_bronze
 from orderloom.schema import BRONZE
+from orderloom.sources.files import Folder
 from orderloom.sources.lake import Lake
 
 
@@ -22,14 +25,40 @@ def checkpoint_folder(spark: SparkSession, lake: Lake) -> str:
     one (a subfolder per lake), else beside the tables."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        return lake.path("_bronze_stream")
+        return lake.folder("_bronze_stream")
     return f"{shared.rstrip('/')}/bronze_stream_{hashlib.md5(lake.base.encode()).hexdigest()}"
 
 
-def load_new_files(lake: Lake, landing: str, checkpoint: str | None = None) -> StreamingQuery:
+def landing_schema(spark: SparkSession, landing: str) -> StructType:
+    """The layout of the files that are there; bronze's if there are none yet."""
+    if not Folder(spark, landing).has(""):
+        return BRONZE
+    try:
+        return spark.read.parquet(landing).schema
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return BRONZE
+        raise
+
+
+def load_new_files(
+    lake: Lake,
+    landing: str,
+    checkpoint: str | None = None,
+    load: str = "incremental",
+    schema: StructType | None = None,
+    partitions: int | None = None,
+) -> StreamingQuery:
     """Start the stream over ``landing``; await the returned query.
 
-    A micro-batch repeated after a failure finds its own rows at or below the
+    ``load`` is ``incremental`` (rows above the watermark, as in the batch load) or
+    ``append``: all rows of each new file, also those of days that bronze holds
+    already. The stream knows which files it has taken, so ``append`` suits files that
+    share a day; only a micro-batch that failed between its write and its commit is
+    taken again. ``schema`` is the files' own layout, by default that of the files
+    there. ``partitions`` sets the session's shuffle partitions for the batches.
+
+    With ``incremental``, a micro-batch repeated after a failure finds its own rows at or below the
     watermark and adds nothing, so each file counts once. All files present at
     the start form one batch: the watermark must not rise between files that
     arrive together and hold the same day.
@@ -37,10 +66,12 @@ def load_new_files(lake: Lake, landing: str, checkpoint: str | None = None) -> S
     spark = lake.spark
 
     def append(batch: DataFrame, _batch_id: int) -> None:
-        load_bronze(lake, batch)
+        if partitions:
+            batch.sparkSession.conf.set("spark.sql.shuffle.partitions", partitions)
+        load_bronze(lake, batch, load)
 
     return (
-        spark.readStream.schema(BRONZE)
+        spark.readStream.schema(schema or landing_schema(spark, landing))
         .parquet(landing)
         .writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint or checkpoint_folder(spark, lake))

@@ -217,3 +217,28 @@ def test_totals_far_beyond_double_precision(spark):
 def test_layer_row_counts(silver):
     got = reports.layer_row_counts([("A", "t", silver, "all"), ("B", "u", silver.where("false"), "none")])
     assert [tuple(r) for r in got.orderBy("layer").collect()] == [("A", "t", 240, "all"), ("B", "u", 0, "none")]
+
+
+def test_revenue_share_covers_every_segment(spark):
+    rows = [("Gold", "100.00"), ("VIP", "50.00"), (None, "50.00"), ("VIP", "0.00")]
+    tiers = spark.createDataFrame(rows, "customer_segment string, amount string").selectExpr(
+        "customer_segment", "CAST(amount AS DECIMAL(18, 2)) AS lifetime_value"
+    )
+    got = {r["customer_segment"]: (r["customers"], r["revenue_share_pct"]) for r in reports.segment_revenue_share(tiers).collect()}
+    assert got == {"Gold": (1, 50.0), "VIP": (2, 25.0), None: (1, 25.0)}
+    assert reports.segment_revenue_share(tiers.where("false")).count() == 0
+
+
+def test_quarters_and_weeks_come_in_order(spark):
+    days = spark.range(0, 900, 7).selectExpr(
+        "date_add(DATE '2020-11-02', CAST(id AS INT)) AS sale_date", "CAST(1 AS DECIMAL(18, 2)) AS total_revenue", "1L AS total_orders"
+    ).selectExpr("*", "year(sale_date) AS order_year", "quarter(sale_date) AS order_quarter").orderBy("total_orders", "order_quarter")
+    weeks = [r["week"] for r in reports.weekly_revenue(days).collect()]
+    quarters = [(r["order_year"], r["order_quarter"]) for r in reports.quarterly_revenue(days).collect()]
+    assert weeks == sorted(weeks) and len(weeks) == 129
+    assert quarters == sorted(quarters) and len(quarters) == 11
+
+
+def test_layer_counts_take_any_text(spark):
+    row = reports.layer_row_counts([("GOLD's", "t", spark.range(3), "it's \\ 'quoted'")]).first()
+    assert tuple(row) == ("GOLD's", "t", 3, "it's \\ 'quoted'")

@@ -6,9 +6,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from orderloom.functions.money import to_cents
 from orderloom.operators import cleaning, quality
+from orderloom.operators.cleaning import as_bronze, clean_orders
+from orderloom.operators.incremental import load_bronze
 from orderloom.operators.staging import stg_orders
 from orderloom.schema import BRONZE, SILVER
+from orderloom.sources.lake import Lake
 from tests.conftest import VALID_ORDER
 
 FAULTS = {
@@ -160,3 +164,27 @@ def test_staging_is_silver_plus_key(faulty):
     staged = stg_orders(silver)
     assert staged.columns == ["order_sk", *SILVER.fieldNames()]
     assert staged.where("order_id = 'c1'").first()["order_sk"] == "a9f7e97965d6cf799a529102a973b8b9"
+
+
+@pytest.mark.parametrize("price_type", ["DECIMAL(18, 6)", "DOUBLE", "DECIMAL(10, 3)"])
+@pytest.mark.parametrize("price, quantity, gross", [("1.005", 3, "3.02"), ("0.004", 1, "0.00"), ("0.005", 1, "0.01"), ("19.99", 3, "59.97")])
+def test_a_price_finer_than_a_cent_is_multiplied_first(spark, tmp_path, bronze_rows, price_type, price, quantity, gross):
+    raw = bronze_rows({"quantity": quantity}).withColumn("unit_price", F.expr(f"CAST({price}BD AS {price_type})"))
+    direct = clean_orders(raw).first()
+    lake = Lake(spark, str(tmp_path / "lake"))
+    load_bronze(lake, as_bronze(raw))
+    stored = clean_orders(lake.bronze()).first()
+    assert direct["gross_amount"] == stored["gross_amount"] == Decimal(gross)
+
+
+def test_nan_money_is_missing(bronze_rows):
+    raw = bronze_rows({}).withColumn("shipping_cost", F.expr("CAST('NaN' AS DOUBLE)")).withColumn("unit_price", F.expr("10.0D"))
+    row = clean_orders(raw).first()
+    assert row["gross_amount"] == Decimal("10.00") and row["total_amount"] is None
+
+
+@pytest.mark.parametrize("kind", ["DOUBLE", "DECIMAL(18, 2)"])
+@pytest.mark.parametrize("amount", ["19999999999999.56", "20000000000000.56", "2000000000000.01", "-20000000000000.56"])
+def test_cents_on_both_sides_of_the_double_bound(spark, kind, amount):
+    cents = spark.range(1).selectExpr(f"CAST({amount}BD AS {kind}) AS x").selectExpr(f"{to_cents('x')} AS c").first()["c"]
+    assert cents == int(Decimal(amount) * 100)

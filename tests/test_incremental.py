@@ -1,4 +1,5 @@
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 
@@ -27,7 +28,7 @@ def _dates(frame):
 def test_watermark_of_an_empty_table_is_null(lake):
     lake.ensure_bronze()
     assert watermark(lake.bronze()).first()["watermark"] is None
-    assert watermark(lake.bronze_newest_month()).first()["watermark"] is None
+    assert lake.bronze_watermark() is None
 
 
 def test_ensure_keeps_an_existing_table(lake, batch):
@@ -48,7 +49,19 @@ def test_load_steps(lake, batch, bronze_rows):
     assert (stored["order_id"], stored["city"], stored["quantity"]) == (f"ORD-{D[4]}", "Austin", 1)
     assert load_bronze(lake, batch(D[4]), "append") == 1  # repeats
     assert _dates(lake.bronze()) == sorted(str(d) for d in [*D[:5], D[4]])
-    assert watermark(lake.bronze_newest_month()).first()["watermark"] == D[4]
+    assert lake.bronze_watermark() == D[4]
+
+
+def test_unknown_and_absent_columns(lake, batch, spark):
+    load_bronze(lake, batch(D[0]))
+    with pytest.raises(ValueError, match="coupon"):
+        load_bronze(lake, batch(D[1]).selectExpr("*", "'x' AS coupon"))
+    with pytest.raises(ValueError, match="coupon"):
+        append_by_name(lake.bronze(), batch(D[1]).selectExpr("*", "'x' AS coupon"))
+    assert load_bronze(lake, batch(D[1]).drop("city", "quantity")) == 1
+    stored = lake.bronze().where(f"order_date = DATE '{D[1]}'").first()
+    assert (stored["order_id"], stored["city"], stored["quantity"]) == (f"ORD-{D[1]}", None, None)
+    assert append_by_name(lake.bronze(), batch(D[2]).drop("city")).where("city IS NULL").count() == 2
 
 
 def test_replace_drops_what_was_there(lake, batch):
@@ -72,12 +85,30 @@ def test_table_with_only_undated_rows_has_no_watermark(lake, batch):
     assert load_bronze(lake, batch(D[0])) == 1
 
 
-def test_newest_month_reads_no_other_month(lake, batch):
-    load_bronze(lake, batch(*D))
-    frame = lake.bronze_newest_month()
+def test_the_watermark_reads_the_newest_month_alone(lake, batch):
+    load_bronze(lake, batch(*D, None))
+    assert sorted(lake.bronze_months()) == ["202401", "202402", "__HIVE_DEFAULT_PARTITION__"]
+    frame = lake.bronze_of_months(["202402"])
     assert {r["order_date"].month for r in frame.collect()} == {2}
     plan = frame._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(order_ym" in plan
+    assert "PartitionFilters: [isnotnull(order_ym" in plan and "202402" in plan
+    assert lake.bronze_watermark() == D[5]
+
+
+def test_a_failed_replacement_leaves_the_old_table(spark, lake, batch):
+    load_bronze(lake, batch(D[0]), "replace")
+    broken = batch(D[1]).selectExpr("* EXCEPT (order_id)", "raise_error('lost') AS order_id")
+    with pytest.raises(Exception, match="lost"):
+        load_bronze(lake, broken.selectExpr("* EXCEPT (order_id)", "CAST(order_id AS STRING) AS order_id"), "replace")
+    assert _dates(lake.bronze()) == [str(D[0])]
+    assert load_bronze(lake, batch(D[2]), "replace") == 1
+    assert _dates(lake.bronze()) == [str(D[2])]
+
+
+def test_old_versions_go(lake, batch):
+    for day in D[:4]:
+        load_bronze(lake, batch(day), "replace")
+    assert len(lake._versions("bronze_orders")) == 2
 
 
 def test_stored_layout_is_the_declared_one(lake, batch):
@@ -114,7 +145,7 @@ def test_hot_day_is_split_into_several_files(spark, bronze_rows, tmp_path):
         assert load_bronze(lake, rows.repartition(8)) == 200000
     finally:
         spark.conf.unset(size)
-    assert len(list((tmp_path / "hot" / "bronze_orders" / "order_ym=202401").glob("*.parquet"))) > 3
+    assert len(list((Path(lake.path("bronze_orders")) / "order_ym=202401").glob("*.parquet"))) > 3
 
 
 def _random_id():

@@ -89,6 +89,119 @@ def test_second_run_changes_nothing(spark, source, first_run):
     assert again.rows == result.rows and again.total_revenue == result.total_revenue
 
 
+def _files(lake, name):
+    return {str(f): f.stat().st_mtime_ns for f in Path(lake.path(name)).rglob("*.parquet")}
+
+
+def test_nothing_new_rewrites_nothing(spark, source, first_run):
+    lake = Lake(spark, first_run[0])
+    before = {name: _files(lake, name) for name in ("silver_orders", "mart_daily_sales", "customer_rollup", "gold_city_metrics")}
+    pipeline.run(spark, source, first_run[0], as_of=AS_OF, categories=PART_TYPES)
+    assert {name: _files(lake, name) for name in before} == before
+
+
+def test_another_day_moves_recency_alone(spark, source, tmp_path):
+    base = str(tmp_path / "lake")
+    pipeline.run(spark, source, base, as_of=AS_OF, categories=PART_TYPES)
+    lake = Lake(spark, base)
+    silver = _files(lake, "silver_orders")
+    later = date(2002, 1, 11)
+    pipeline.run(spark, source, base, as_of=later, categories=PART_TYPES)
+    assert _files(lake, "silver_orders") == silver
+    _same_rows(lake.table("gold_customer_segments"), gold.customer_segments(lake.silver(), later))
+    _same_rows(lake.table("mart_customer_segments"), marts.customer_segments(stg_orders(lake.silver()), later))
+
+
+def test_a_new_month_touches_its_own_files(spark, source, tmp_path):
+    """Loaded in two steps, with a new month and more of an old one: as if loaded at once."""
+    base, whole = str(tmp_path / "lake"), str(tmp_path / "whole")
+    cut = "order_date < DATE '2001-06-16'"
+    pipeline.run(spark, source.where(cut), base, as_of=AS_OF, categories=PART_TYPES)
+    lake = Lake(spark, base)
+    before = _files(lake, "silver_orders")
+    second = pipeline.run(spark, source, base, as_of=AS_OF, categories=PART_TYPES)
+    after = _files(lake, "silver_orders")
+    june = "order_year=2001/order_month=6/"
+    old = {f: t for f, t in before.items() if june not in f}
+    assert old and old.items() <= after.items()
+    assert any(f not in before for f in after if june in f)
+    at_once = pipeline.run(spark, source, whole, as_of=AS_OF, categories=PART_TYPES)
+    assert second.rows == at_once.rows and second.total_revenue == at_once.total_revenue
+    for name in [n for n in at_once.rows if n != "bronze_orders"]:
+        _same_rows(lake.table(name), Lake(spark, whole).table(name))
+
+
+def test_stages_alone(spark, source, tmp_path):
+    base = str(tmp_path / "lake")
+    done = {}
+    for stage in pipeline.STAGES:
+        done |= pipeline.run_stage(spark, stage, base, source, as_of=AS_OF, categories=PART_TYPES)
+    assert done["bronze_orders"] == source.count() and done["column_tests"] == 27 and done["checks"] == 8
+    again = pipeline.run(spark, source, base, as_of=AS_OF, categories=PART_TYPES)
+    assert again.rows_loaded == 0 and again.rows.items() <= done.items()
+    with pytest.raises(ValueError, match="dance"):
+        pipeline.run_stage(spark, "dance", base)
+
+
+def test_published_tables_stay_current(spark, source, tmp_path):
+    base = str(tmp_path / "lake")
+    try:
+        for condition in ("order_date < DATE '2000-01-01'", "true"):
+            part = source.where(condition)
+            pipeline.run(spark, part, base, as_of=AS_OF, categories=PART_TYPES, database="shop_live")
+            assert spark.table("shop_live.bronze_orders").count() == part.count()
+            assert spark.table("shop_live.silver_orders").count() == Lake(spark, base).silver().count()
+    finally:
+        names.withdraw(Lake(spark, base), "shop_live")
+        spark.sql("DROP DATABASE shop_live")
+
+
+def test_raw_types_of_their_own(spark, source, tmp_path):
+    """Doubles, floats, wide integers and timestamps load as the declared types do."""
+    plain, typed = str(tmp_path / "plain"), str(tmp_path / "typed")
+    few = source.where("order_date >= DATE '2001-01-01'")
+    few.write.parquet(plain)
+    few.selectExpr(
+        "* EXCEPT (order_date, quantity, unit_price, discount_pct, shipping_cost)",
+        "CAST(order_date AS TIMESTAMP) AS ORDER_DATE",
+        "CAST(quantity AS BIGINT) AS quantity",
+        "CAST(unit_price AS DOUBLE) AS unit_price",
+        "CAST(discount_pct AS BIGINT) AS discount_pct",
+        "CAST(shipping_cost AS FLOAT) AS shipping_cost",
+    ).write.parquet(typed)
+    lakes = {}
+    for path in (plain, typed):
+        base = f"{path}-lake"
+        result = pipeline.run(spark, pipeline.read_orders(spark, path), base, as_of=AS_OF, categories=PART_TYPES, expected_segments=3)
+        lakes[path] = Lake(spark, base)
+        streamed = Lake(spark, f"{path}-stream")
+        assert load_new_files(streamed, path, f"{path}-progress").awaitTermination(120)
+        _same_rows(streamed.bronze(), lakes[path].bronze())
+        assert result.rows_loaded == few.count()
+    _same_rows(lakes[plain].silver(), lakes[typed].silver())
+
+
+def test_long_reports_come_out_whole(spark, bronze_rows, tmp_path, capsys):
+    days = bronze_rows(*[{"customer_id": f"CUST-{c}", "unit_price": Decimal(p)} for c, p in enumerate(("450.00", "350.00", "20.00"))]).selectExpr(
+        "* EXCEPT (order_id, order_date)", "explode(sequence(0, 499)) AS week"
+    ).selectExpr("* EXCEPT (week)", "uuid() AS order_id", "date_add(DATE '2010-01-04', 7 * week) AS order_date")
+    base = str(tmp_path / "lake")
+    days.write.parquet(str(tmp_path / "raw"))
+    assert pipeline.main(["--source", str(tmp_path / "raw"), "--base", base, "--as-of", "2024-02-01", "--reports", "--segments", "1"]) == 0
+    assert "revenue_by_week" in capsys.readouterr().out
+    weeks = Lake(spark, base).table("report_revenue_by_week").collect()
+    assert len(weeks) == 500 and [w["week"] for w in weeks] == sorted(w["week"] for w in weeks)
+
+
+def test_categories_and_segments_from_the_command_line(spark, bronze_rows, tmp_path, capsys):
+    bronze_rows({"category": "Garden tools"}).write.parquet(str(tmp_path / "raw"))
+    arguments = ["--source", str(tmp_path / "raw"), "--base", str(tmp_path / "lake"), "--as-of", "2024-02-01", "--segments", "1"]
+    assert pipeline.main(arguments) == 1
+    assert pipeline.main([*arguments, "--category", "Garden tools"]) == 0
+    assert pipeline.main(["--stage", "checks", "--base", str(tmp_path / "lake"), "--segments", "1"]) == 0
+    assert "checks: 8" in capsys.readouterr().out
+
+
 def test_views_answer_sql_by_table_name(spark, first_run):
     lake = Lake(spark, first_run[0])
     names.register_views(lake)
@@ -137,12 +250,13 @@ def test_reports_over_stored_tables(spark, first_run):
 
 def test_sizes(spark, first_run):
     base, _ = first_run
-    size = stored_bytes(spark, f"{base}/silver_orders")
-    assert size == sum(f.stat().st_size for f in Path(base, "silver_orders").rglob("*.parquet")) > 0
+    silver = Lake(spark, base).path("silver_orders")
+    size = stored_bytes(spark, silver)
+    assert size == sum(f.stat().st_size for f in Path(silver).rglob("*.parquet")) > 0
     assert stored_bytes(spark, f"{base}/nothing_here") == 0
     assert shuffle_partitions(0, at_least=8) == 8
     assert shuffle_partitions((128 << 20) * 50 + 1, at_least=8) == 51
-    assert shuffle_partitions(10**14, at_least=200) == 100_000
+    assert shuffle_partitions(10**14, at_least=200) == 745_059
 
 
 def test_empty_input(spark, source, tmp_path):
@@ -162,6 +276,13 @@ def test_gate_stops_on_a_value_outside_the_list(spark, source, tmp_path):
     assert Lake(spark, base).table("mart_category_metrics").count() == 6  # left for inspection
 
 
+def test_tests_and_checks_read_silver_once(spark, first_run):
+    """For the unique keys; everything else is in its profile."""
+    lake = Lake(spark, first_run[0])
+    plans = [f._jdf.queryExecution().executedPlan().toString() for f in (pipeline.column_test_results(lake, PART_TYPES), pipeline.check_results(lake))]
+    assert sum(p.count("FileScan parquet") and p.count("silver_orders/") for p in plans) == 1
+
+
 def test_gate_stops_on_repeated_orders(spark, source, tmp_path):
     base = str(tmp_path / "lake")
     pipeline.run(spark, source, base, as_of=AS_OF, categories=PART_TYPES)
@@ -180,7 +301,7 @@ def test_command_line(spark, bronze_rows, tmp_path, capsys):
     arguments = ["--source", source, "--base", str(tmp_path / "lake"), "--as-of", "2024-02-01"]
     assert pipeline.main([*arguments, "--reports"]) == 0
     printed = capsys.readouterr().out
-    assert "loaded 11 rows" in printed and "segment summary" in printed
+    assert "loaded 11 rows" in printed and "report_segment_summary/v1: 4 rows" in printed
     assert pipeline.main([*arguments, "--load", "replace"]) == 0
     assert "loaded 11 rows" in capsys.readouterr().out
     assert pipeline.main([*arguments, "--load", "append"]) == 1  # every order id now repeats
@@ -214,6 +335,14 @@ def test_stream_loads_each_file_once(spark, source, tmp_path):
     _same_rows(lake.bronze(), source)
 
 
+def test_stream_keeps_files_of_one_day(spark, bronze_rows, tmp_path):
+    lake, landing = Lake(spark, str(tmp_path / "lake")), str(tmp_path / "landing")
+    for n in (1, 2):
+        bronze_rows({"order_id": f"ORD-{n}"}).selectExpr("* EXCEPT (order_id)", f"'ORD-{n}' AS order_id").write.mode("append").parquet(landing)
+        assert load_new_files(lake, landing, str(tmp_path / "progress"), load="append").awaitTermination(120)
+    assert sorted(r["order_id"] for r in lake.bronze().collect()) == ["ORD-1", "ORD-2"]
+
+
 def test_stream_progress_folder(spark):
     """In the cluster's shared folder, one per lake; beside the tables if there is none."""
 
