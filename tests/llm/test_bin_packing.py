@@ -1,0 +1,129 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from orderloom.llm import bin_packing, queries
+from orderloom.llm.tokens import encoding, token_ids, vocabulary_path
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json"))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=60))
+def test_ids_are_those_of_the_tokenizers_library(text):
+    library = Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json")) if not hasattr(test_ids_are_those_of_the_tokenizers_library, "t") else test_ids_are_those_of_the_tokenizers_library.t
+    test_ids_are_those_of_the_tokenizers_library.t = library
+    assert token_ids(text) == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", ["", "a<|endoftext|> b", "<|endoftext|><|endoftext|>", "it's  we'll\t\n x ", "x" * 5000, " " * 300, "é𝔘中  x"])
+def test_special_cases_of_ids(tokenizer, text):
+    assert token_ids(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("n, pieces", [(1, [(0, 1)]), (8, [(0, 8)]), (9, [(0, 1), (1, 8)]), (16, [(0, 8), (8, 8)]), (21, [(0, 5), (5, 8), (13, 8)])])
+def test_only_the_first_piece_is_short(n, pieces):
+    assert bin_packing.piece_bounds(n, 8) == pieces
+
+
+def best_sum(room, counts):
+    sums = {0}
+    for length, n in counts.items():
+        sums = {s + k * length for s in sums for k in range(n + 1) if s + k * length <= room}
+    return max(sums)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 60), st.dictionaries(st.integers(1, 40), st.integers(0, 6), max_size=6))
+def test_fullest_combination(room, counts):
+    chosen = bin_packing.fullest(room, counts)
+    assert all(n <= counts[length] for length, n in chosen)
+    assert sum(length * n for length, n in chosen) == best_sum(room, counts)
+
+
+def _bins(histogram, capacity):
+    plan = bin_packing.plan_bins(histogram, capacity)
+    fill = {}
+    for i, (position, per_bin, first, _, length) in enumerate(plan.runs):
+        end = plan.runs[i + 1][0] if i + 1 < len(plan.runs) else sum(histogram.values())
+        for at in range(position, end):
+            b = first + (at - position) // per_bin
+            fill[b] = fill.get(b, 0) + length
+    return plan, fill
+
+
+def test_plans_fill_bins_close_to_the_least_number():
+    rng = random.Random(5)
+    histogram = {}
+    for _ in range(5000):
+        length = min(1024, int(rng.lognormvariate(5, 1)) + 1)
+        histogram[length] = histogram.get(length, 0) + 1
+    plan, fill = _bins(histogram, 1024)
+    assert len(fill) == plan.bins and max(fill.values()) <= 1024
+    least = -(-sum(length * n for length, n in histogram.items()) // 1024)
+    assert plan.bins <= least * 1.01 + 1
+
+
+def test_the_plan_does_not_grow_with_the_counts():
+    plan, _ = bin_packing.plan_bins({700: 10**9, 324: 10**9, 100: 7}), None
+    assert plan.bins == 10**9 + 1 and len(plan.runs) < 10
+
+
+def _packed(spark, documents, texts):
+    return bin_packing.pack(bin_packing.tokenized_pieces(documents(*[(i, t, "s") for i, t in enumerate(texts)])))
+
+
+def test_packed_sequences_hold_every_token_once(spark, documents):
+    rng = random.Random(1)
+    texts = [None, "", "word " * 3000, *(" ".join(rng.choices(["alpha", "beta", "x", "é"], k=rng.randint(1, 900))) for _ in range(60))]
+    packed = _packed(spark, documents, texts)
+    rows = packed.collect()
+    whole = {i: [*encoding().encode_ordinary(t or ""), 2] for i, t in enumerate(texts)}
+    for i, ids in whole.items():
+        mine = sorted((r for r in rows if r["doc_id"] == i), key=lambda r: r["piece"])
+        assert [r["piece"] for r in mine] == list(range(len(mine)))
+        assert np.concatenate([np.frombuffer(r["ids"], "<u4") for r in mine]).tolist() == ids
+        assert mine[0]["start"] == 0 and all(r["length"] == 1024 for r in mine[1:])
+    sequences = {r["sequence_id"]: r["ids"] for r in bin_packing.packed_sequences(packed).collect()}
+    for r in rows:
+        assert sequences[r["sequence_id"]][4 * r["offset"] : 4 * (r["offset"] + r["length"])] == r["ids"]
+    assert max(map(len, sequences.values())) <= 4096
+    assert sum(map(len, sequences.values())) == 4 * sum(map(len, whole.values()))
+
+
+def test_edge_rows(spark, documents, with_clashes):
+    docs = with_clashes(documents((None, None, None), (1, "same", "s"), (1, "same", "s")))
+    rows = bin_packing.pack_documents(docs).collect()
+    assert sorted((r["doc_id"] or 0, r["length"]) for r in rows) == [(0, 1), (1, 2), (1, 2)]
+    assert len({(r["sequence_id"], r["offset"]) for r in rows}) == 3
+    assert bin_packing.pack_documents(docs.where("false")).count() == 0
+
+
+def test_query_equals_brute_force(spark, tokenizer):
+    sf = "/root/testdata/sf0.001"
+    rows = {}
+    for r in queries.op4_bin_packing(spark, sf).collect():
+        rows.setdefault(r["doc_id"], []).append(r)
+    fill = {}
+    for d in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        ids = np.array([*tokenizer.encode(d["text"] or "", add_special_tokens=False).ids, 2], "<u4")
+        at = 0
+        for r in sorted(rows[d["doc_id"]], key=lambda r: r["piece"]):
+            assert r["start"] == at and r["ids_crc32"] == zlib.crc32(ids[at : at + r["length"]].tobytes())
+            at += r["length"]
+            fill.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        assert at == len(ids)
+    for places in fill.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 1024

@@ -1,0 +1,67 @@
+import html
+import re
+
+import pytest
+
+from orderloom.llm import html_extract, queries
+
+
+@pytest.fixture(scope="module")
+def tree():
+    return html_extract.train()
+
+
+LONG = "a sentence of running text that goes on for quite a while and says very little " * 3
+
+PAGES = {
+    "": "",
+    "plain &amp; simple": "plain & simple",
+    "<p>a<p>b": "a\nb",
+    "<article><h1>Head</h1><p>One&nbsp;two\n  <b>bold</b>text <i>x</i></p></article>": "Head\nOne two boldtext x",
+    "<nav><ul><li><a href=/>Home</a><li>Plain</ul></nav><article><p>Text.</p></article><footer>&copy; us</footer>": "Text.",
+    '<body><header><h1>Site</h1></header><main><article><header><h1>Head</h1></header><p>Short.</p></article></main>': "Head\nShort.",
+    '<article><p>One.</p><div class="ad">Buy this now</div><p>Two.</p></article>': "One.\nTwo.",
+    f'<article><p>One.</p></article><section class="comments"><p>{LONG}</p></section>': "One.",
+    f'<div class="cookie-notice"><p>{LONG}</p></div><article><p>One.</p></article>': "One.",
+    f"<article><p>One.</p></article><aside><p>{LONG}</p></aside>": "One.",
+    "<article><p>One.</p><form><p>Your name</p><button>Send</button></form></article>": "One.",
+    "<script>var t='</p><p>no';</script><style>p{}</style><article><p>One.<!-- no --></p></article>": "One.",
+    "<article><p>One.</p><p>cut off": "One.\ncut off",
+    "<article><ul><li>a<li>b</ul><table><tr><td>c<td>d</table><pre>x =\n 1</pre></article>": "a\nb\nc\nd\nx = 1",
+    "<article><p>5 < 6 &lt; 7</p></article>": "5 < 6 < 7",
+    "<article><p hidden>no</p><p>yes</p></article>": "yes",
+}
+
+
+@pytest.mark.parametrize("page", PAGES)
+def test_pages(tree, page):
+    assert html_extract.main_text(page, tree) == PAGES[page]
+
+
+def test_tree_agrees_with_its_table(tree):
+    right = total = 0
+    for page in html_extract.examples():
+        found = html_extract.blocks(page)
+        kept = tree.judge(html_extract.block_features(found))
+        right += sum(bool(k) == (b.marks[-1] == "1") for k, b in zip(kept, found, strict=True))
+        total += len(found)
+    assert right / total > 0.95 and len(html_extract.SIDE_FRAGMENTS) + len(html_extract.TEXT_FRAGMENTS) < 200
+
+
+def test_query_keeps_whole_articles(spark):
+    sf = "/root/testdata/sf0.01"
+    got = {r["page_id"]: r for r in queries.op3_html_extract(spark, sf).collect()}
+    rows = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    assert set(got) == {r["page_id"] for r in rows}
+    for r in rows:
+        article = re.search(r"<article>(.*?)(?:</article>|\Z)", r["html"], re.S)[1]
+        parts = (" ".join(html.unescape(re.sub("<[^>]*>", " ", p)).split()) for p in re.split("</?(?:p|h1)>", article))
+        assert got[r["page_id"]]["text"] == "\n".join(p for p in parts if p)
+        assert got[r["page_id"]]["n_chars"] == len(got[r["page_id"]]["text"]) and got[r["page_id"]]["url"] == r["url"]
+
+
+def test_edge_rows(spark, with_clashes):
+    pages = spark.createDataFrame([(None, None, None), (1, "u", ""), (1, "u", ""), (2, "u", "<div>" * 500 + "deep"), (3, "u", "<p>" + "word " * 200_000)], "page_id bigint, url string, html string")
+    rows = html_extract.extract(with_clashes(pages)).collect()
+    assert sorted(len(r["text"]) for r in rows) == [0, 0, 0, 4, 999_999]
+    assert html_extract.extract(pages.where("false")).count() == 0
