@@ -81,33 +81,34 @@ def _ball(value: Column) -> Column:
     return F.array_compact(F.array(value, *flips))
 
 
-def _meeting(fps: DataFrame, bits: int) -> DataFrame:
-    """Links as stars around each value within one bit (two bits), or plain neighbours (one bit)."""
-    bits = [F.lit(1 << i if i < 63 else -(1 << 63)).cast("bigint") for i in range(64)]
-    near = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(b) for b in bits])
+def _ones() -> list[Column]:
+    return [F.lit(1 << i if i < 63 else -(1 << 63)).cast("bigint") for i in range(64)]
+
+
+def _meeting(fps: DataFrame) -> DataFrame:
+    """Links at two bits or fewer, as stars around each value within one bit."""
+    near = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(one) for one in _ones()])
     shared = fps.select("fp", F.explode(near).alias("value")).groupBy("value").agg(F.collect_list("fp").alias("fps"))
     stars = shared.where(F.size("fps") > 1).select(F.array_min("fps").alias("a"), F.explode("fps").alias("b"))
-    # With fewer bits, fingerprints that share a value need not be linked: check each against the value itself.
-    return stars.where("a != b") if bits == 2 else _neighbours(fps, bits)
+    return stars.where("a != b")
 
 
-def _neighbours(fps: DataFrame, bits: int) -> DataFrame:
+def _neighbours(fps: DataFrame) -> DataFrame:
     """Links at one bit: the fingerprints that are another's with one bit set."""
-    if bits == 0:
-        return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where("a != b")
-    ones = [F.lit(1 << i if i < 63 else -(1 << 63)).cast("bigint") for i in range(64)]
-    up = F.array_compact(F.array(*[F.when(F.col("fp").bitwiseAND(b) == 0, F.col("fp").bitwiseOR(b)) for b in ones]))
-    return fps.select(F.col("fp").alias("a"), F.explode(up).alias("fp")).join(fps, "fp").select("a", F.col("fp").alias("b"))
+    fp = F.col("fp")
+    up = F.array_compact(F.array(*[F.when(fp.bitwiseAND(one) == 0, fp.bitwiseOR(one)) for one in _ones()]))
+    pairs = fps.select(fp.alias("a"), F.explode(up).alias("fp")).join(fps, "fp")
+    return pairs.select("a", fp.alias("b"))
 
 
 def links(fps: DataFrame, bits: int = BITS, bucket: int = BUCKET) -> DataFrame:
     """Pairs (a, b) that connect all fingerprints of ``fps`` at ``bits`` or fewer.
 
     Column fp, without repeats. Every link is kept in effect: two linked fingerprints
-    are a pair, or are joined by pairs. ``bits`` is at most 2.
+    are a pair, or are joined by pairs. ``bits`` is 1 or 2.
     """
-    if bits > 2:
-        raise ValueError("crowded buckets are linked exactly up to 2 bits")
+    if bits not in (1, 2):
+        raise ValueError("crowded buckets are linked exactly at 1 or 2 bits")
     fp = F.col("fp")
     table = fps.select(
         "fp", F.posexplode(F.array(*_segments(fp))).alias("segment", "value")
@@ -126,7 +127,7 @@ def links(fps: DataFrame, bits: int = BITS, bucket: int = BUCKET) -> DataFrame:
         .select("a", "b")
     )
     dense = probes.join(crowded, keys, "left_semi").select("fp").distinct()
-    return found.union(_meeting(dense, bits)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return found.union(_meeting(dense) if bits == 2 else _neighbours(dense)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _labelled(docs: DataFrame, shingle: int, bits: int, bucket: int) -> tuple[DataFrame, DataFrame]:
