@@ -131,5 +131,69 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+OP1_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), marked AS (
+    SELECT *,
+        CASE WHEN regexp_matches(role, '(?s)\\.') OR regexp_matches(text, '(?s)\\.') OR contains(role, '</s>') OR contains(text, '</s>')
+              OR contains(role || ' ', ' [/INST]') THEN 1 ELSE 0 END AS level,
+        len(regexp_extract_all(role, '\\|[<\[]/?(?:s>|INST\])')) + len(regexp_extract_all(text, '\\|[<\[]/?(?:s>|INST\])')) AS escapes
+    FROM turns
+)
+SELECT conv_id,
+    count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+    CAST(sum(length(role) + length(text) + 22 + level * escapes) AS BIGINT) AS formatted_chars,
+    max(level) AS level,
+    TRUE AS round_trip
+FROM marked GROUP BY conv_id
+"""
+
+OP7_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+        md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hash,
+        coalesce('=' || source, '') AS source_key
+    FROM documents
+), cells AS (
+    SELECT *,
+        CASE WHEN size <= 64 THEN size ELSE 64 + floor(16 * log2(size / 64.0::DOUBLE)) END AS band,
+        CAST('0x' || substr(hash, 1, 7) AS BIGINT) % 256 AS bucket
+    FROM docs
+), sources AS (
+    SELECT source, source_key, sum(size) AS source_size FROM docs GROUP BY ALL
+), weighed AS (
+    SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight,
+        3.0::DOUBLE * source_size AS cap
+    FROM sources
+), levels AS (
+    SELECT *, cap / weight AS fills_at,
+        (CAST(sum(source_size) OVER () AS DOUBLE)
+            - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM weighed
+), targets AS (
+    SELECT source_key, CAST(source_size AS BIGINT) AS source_size,
+        least(cap, (SELECT arg_min(level, fills_at) FROM levels WHERE level <= fills_at) * weight) AS target,
+        CAST('0x' || substr(md5('7' || source_key), 1, 5) AS BIGINT) / 1048576.0::DOUBLE AS start
+    FROM levels
+), ranked AS (
+    SELECT doc_id, size, source_size, target, start,
+        CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+        row_number() OVER (PARTITION BY source_key ORDER BY band, bucket, hash, doc_id) AS place
+    FROM cells JOIN targets USING (source_key)
+)
+SELECT doc_id, size, source_size, target,
+    CAST(least(floor(rate * place + start) - floor(rate * (place - 1) + start), 3) AS BIGINT) * size AS taken
+FROM ranked
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the queries that SQL can express; the others are tested against brute force."""
+    return {"op1_chat_format": OP1_SQL, "op7_mixing": OP7_SQL}
