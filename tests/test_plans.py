@@ -79,7 +79,9 @@ def test_column_tests_share_scans_between_silver_and_staging(plans):
     assert plans["dq_not_null"].count("lineitem.parquet") == 5
     # order_id for two models and the key made from it, and one key per mart.
     assert plans["dq_unique"].count("lineitem.parquet") == 5
-    assert "Expand" not in plans["dq_reconciliation"].split("lineitem.parquet")[0]
+    # The distinct counts expand pairs that are grouped already, not silver's rows.
+    expanded = plans["dq_reconciliation"].split("Expand")[1].split("lineitem.parquet")[0]
+    assert "HashAggregate(keys=[category" in expanded
 
 
 def test_scan_reads_needed_columns_only(plans):
