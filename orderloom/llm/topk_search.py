@@ -8,7 +8,8 @@ r bits in them, so all codes within 4 r + s bits are known and verified. A query
 finished when its k-th best distance lies within that bound; the others go on with the
 next segment or radius (Norouzi et al., 2012).
 
-A code pair may match in several segments. It is taken only in the segment where its
+A query that holds k + 1 codes takes no candidate beyond the farthest of them, so what
+verification lets through stays near the answer's own size. A code pair may match in several segments. It is taken only in the segment where its
 distance is least (the first of those), so no step finds it twice. Equal codes are one
 entry with their k + 1 smallest ids, which is all that a result can need: a code shared
 by a third of all vectors costs one row. The best entries are kept by a ranked filter
@@ -81,24 +82,27 @@ def _steps() -> list[tuple[int, list[int]]]:
 
 
 def _found(queries: DataFrame, table: DataFrame, radius: int, segments: list[int]) -> DataFrame:
-    """(query, code, distance, n_ids, least_id) of code pairs first found in this step."""
+    """(query, code, distance, n_ids, least_id) of code pairs first found in this step.
+
+    ``queries`` has code and bound, the distance up to which candidates matter.
+    """
     own = F.explode(
         F.array(*[F.struct(F.lit(s).alias("segment"), _segment(F.col("code"), s).alias("value")) for s in segments])
     )
-    probes = queries.select(F.col("code").alias("query"), own.alias("own")).select(
-        "query", "own.segment", F.col("own.value"), F.explode(_masks(radius)).alias("mask")
+    probes = queries.select(F.col("code").alias("query"), "bound", own.alias("own")).select(
+        "query", "bound", "own.segment", F.col("own.value"), F.explode(_masks(radius)).alias("mask")
     )
-    probes = probes.select("query", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
+    probes = probes.select("query", "bound", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
     entries = table.select("*", own.alias("own")).select("code", "n_ids", "least_id", "own.segment", "own.value")
-    first = F.lit(True)
+    apart = F.col("query").bitwiseXOR(F.col("code"))
+    wanted = F.bit_count(apart) <= F.col("bound")
     for s in range(SEGMENTS):
-        apart = F.bit_count(_segment(F.col("_apart"), s))
-        first = first & F.when(F.col("segment") > s, apart > radius).otherwise(apart >= radius)
+        here = F.bit_count(_segment(apart, s))
+        wanted = wanted & F.when(F.col("segment") > s, here > radius).otherwise(here >= radius)
     return (
         probes.join(entries, ["segment", "value"])
-        .withColumn("_apart", F.col("query").bitwiseXOR(F.col("code")))
-        .where(first)
-        .select("query", "code", F.bit_count("_apart").alias("distance"), "n_ids", "least_id")
+        .where(wanted)
+        .select("query", "code", F.bit_count(apart).alias("distance"), "n_ids", "least_id")
     )
 
 
@@ -119,16 +123,23 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, seed: int = SEED)
         members.groupBy("code").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     )
     entries = table.select("code", F.size("ids").alias("n_ids"), F.col("ids")[0].alias("least_id"))
-    active = asked.select("code").distinct()
+    active = asked.select("code").distinct().withColumn("bound", F.lit(64))
     near: DataFrame | None = None
     order = Window.partitionBy("query").orderBy("distance", "least_id")
     for radius, segments in _steps():
         found = _found(active, entries, radius, segments)
         pool = found if near is None else near.union(found)
         near = checkpointed(pool.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k + 1).drop("_n"))
-        known = near.where(F.col("distance") <= SEGMENTS * radius + segments[-1])
-        finished = known.groupBy("query").agg(F.sum("n_ids").alias("n")).where(F.col("n") >= k + 1)
-        active = checkpointed(active.join(finished.select(F.col("query").alias("code")), "code", "left_anti"))
+        known = SEGMENTS * radius + segments[-1]
+        so_far = near.groupBy(F.col("query").alias("code")).agg(
+            F.sum(F.when(F.col("distance") <= known, F.col("n_ids"))).alias("n_known"),
+            F.when(F.count(F.lit(1)) > k, F.max("distance")).alias("least_bound"),
+        )
+        active = checkpointed(
+            active.join(so_far, "code", "left")
+            .where(F.coalesce("n_known", F.lit(0)) <= k)
+            .select("code", F.coalesce("least_bound", "bound").alias("bound"))
+        )
         if active.isEmpty():
             break
     rank = Window.partitionBy("query_id").orderBy("distance", "neighbour_id")
