@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEPTH = 6
+DEPTH = 9
 PAGES_PER_BATCH = 512
 
 # HTML's element kinds.
@@ -49,6 +49,7 @@ ENDS_PARAGRAPH = BLOCK_TAGS - {"body", "head", "html", "caption", "tbody", "td",
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ROLE = re.compile(r"(?:^|\s)role\s*=\s*[\"']?([a-z]+)", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _NAME_WORD = re.compile(r"[a-z]+")
 
@@ -59,6 +60,7 @@ class Block:
     words: int
     link_words: int
     heading: bool
+    in_article: bool
     in_content: bool
     side_tags: int
     side_names: int
@@ -73,6 +75,7 @@ class Block:
 @dataclass
 class _Open:
     tag: str
+    article: bool
     content: bool
     side_tag: bool
     side_name: bool
@@ -80,14 +83,15 @@ class _Open:
     mark: str = ""
 
 
-def _opened(tag: str, attributes: str, in_content: bool) -> _Open:
+def _opened(tag: str, attributes: str, in_article: bool) -> _Open:
     names = {w for groups in _NAMES.findall(attributes) for w in _NAME_WORD.findall("".join(groups).lower())}
     # A header inside the article is its own headline; elsewhere it is the site's.
-    side_tag = tag in SIDE_TAGS or tag == "header" and not in_content
+    side_tag = tag in SIDE_TAGS or tag == "header" and not in_article
     side_name = bool(names & SIDE_NAMES) and tag not in ("body", "html")
     return _Open(
         tag,
-        tag in CONTENT_TAGS or bool(names & CONTENT_NAMES) and not side_name and tag in ("div", "section", "td"),
+        tag in CONTENT_TAGS or "main" in _ROLE.findall(attributes),
+        bool(names & CONTENT_NAMES) and not side_name and tag in ("div", "section", "td"),
         side_tag,
         side_name,
         tag in SKIPPED_TAGS or bool(attributes) and bool(_HIDDEN.search(attributes)),
@@ -112,6 +116,7 @@ def blocks(page: str) -> list[Block]:
                     len(text.split()),
                     len(" ".join(linked).split()),
                     any(re.fullmatch("h[1-6]", o.tag) for o in stack),
+                    any(o.article for o in stack),
                     any(o.content for o in stack),
                     sum(o.side_tag for o in stack),
                     sum(o.side_name for o in stack),
@@ -160,7 +165,7 @@ def blocks(page: str) -> list[Block]:
                         break
             if tag in ("li", "option", "dt", "dd", "tr", "td", "th") and stack and stack[-1].tag == tag:
                 stack.pop()
-            stack.append(_opened(tag, match[3] or "", any(o.content for o in stack)))
+            stack.append(_opened(tag, match[3] or "", any(o.article for o in stack)))
         match = _TOKEN.search(page, at)
     say(page[at:])
     flush()
@@ -171,14 +176,14 @@ def block_features(found: list[Block]) -> np.ndarray:
     """A row per block: its own and its neighbours' word count and link density, and its marks."""
     words = np.array([0, *(b.words for b in found), 0], dtype=np.float64)
     density = np.array([0, *(b.link_density for b in found), 0], dtype=np.float64)
-    about = any(b.in_content for b in found)
+    has_article = any(b.in_article for b in found)
     own = np.array(
         [
-            (b.heading, b.in_content, b.side_tags > 0, b.side_names > 0, b.in_list, about)
+            (b.heading, b.in_article, b.in_content, b.side_tags > 0, b.side_names > 0, b.in_list, has_article)
             for b in found
         ],
         dtype=np.float64,
-    ).reshape(-1, 6)
+    ).reshape(-1, 7)
     near = [a[i : i + len(found)] for a in (words, density) for i in (1, 0, 2)]
     return np.column_stack([*near, own])
 
@@ -205,10 +210,19 @@ TEXT_FRAGMENTS = (
     f'<p data-y="1">{LONG} <a href="/j">with a link</a></p><ul><li data-y="1">{SHORT}</li><li data-y="1">{LONG}</li></ul>',
     f'<p data-y="1"><a href="/k">Linked words</a></p><blockquote data-y="1">{LONG}</blockquote><pre data-y="1">x = 1</pre>',
 )
+#: Beside an article element, text without any mark isn't the article's.
+UNMARKED_FRAGMENTS = (
+    f'<div data-y="0"><p>{SHORT}</p><p>{LONG}</p></div>',
+    f'<p data-y="0">{LONG}</p>',
+    f'<div data-y="0"><h2>More</h2>{SHORT}</div>',
+    f'<div class="text" data-y="0"><p>{SHORT}</p></div>',
+)
 #: Without an article element, only running text and its headings are told from the rest.
 LOOSE_FRAGMENTS = (
     f'<div><h2 data-y="1">Part</h2><p data-y="1">{LONG}</p><p data-y="1">{LONG}</p><p data-y="1">{SHORT}</p><p data-y="1">{LONG}</p></div>',
     f'<div><p data-y="1">{LONG}</p><p data-y="1">{SHORT}</p></div>',
+    f'<div><p data-y="1">{LONG}</p><ul><li data-y="1">{SHORT}</li><li data-y="1">{LONG}</li></ul></div>',
+    f'<div class="content"><p data-y="1">{LONG}</p><p data-y="1"><a href="/l">Linked words</a></p></div>',
 )
 
 
@@ -221,6 +235,10 @@ def examples() -> list[str]:
             pages += [f"<body>{side}{article}</body>", f"<body>{article}{side}</body>"]
             if "class=" in side or side.startswith(("<nav", "<aside", "<form", "<footer")):
                 pages.append(f"<body><article>{text}{side}{text}</article></body>")
+    for text in TEXT_FRAGMENTS:
+        for side in UNMARKED_FRAGMENTS:
+            pages += [f"<body>{side}<article>{text}</article></body>", f"<body><main>{text}</main>{side}</body>"]
+    for side in SIDE_FRAGMENTS:
         for text in LOOSE_FRAGMENTS:
             pages += [f"<body>{side}{text}</body>", f"<body>{text}{side}</body>"]
     return pages

@@ -29,6 +29,10 @@ PAGES = {
     "<article><p>One.</p><p>cut off": "One.\ncut off",
     "<article><ul><li>a<li>b</ul><table><tr><td>c<td>d</table><pre>x =\n 1</pre></article>": "a\nb\nc\nd\nx = 1",
     "<article><p>5 < 6 &lt; 7</p></article>": "5 < 6 < 7",
+    "<div>A line above</div><main><p>One.</p></main><div class=text><p>A line below</p></div>": "One.",
+    "<div class=content><p>One.</p><p>Two <a href=/x>with links</a></p></div><div><a href=/y>More</a> <a href=/z>Most</a></div>": "One.\nTwo with links",
+    f"<div><p>{LONG}</p><ul><li>one thing</li><li>another</li></ul><ul><li><a href=/a>Go on</a></li></ul></div>": f"{LONG.strip()}\none thing\nanother",
+    '<div role="main"><p>One.</p></div><p>beside it</p>': "One.",
     "<article><p hidden>no</p><p>yes</p></article>": "yes",
 }
 
