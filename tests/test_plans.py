@@ -134,3 +134,9 @@ def test_a_missing_look_up_row_loses_no_order(spark, tmp_path):
     orders = StarOrders(spark, str(tmp_path)).orders()
     assert orders.count() == spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
     assert orders.where("category IS NULL").count() > 0
+
+
+@pytest.mark.parametrize("table, key", [("orders", "o_orderkey"), ("customer", "c_custkey"), ("nation", "n_nationkey"), ("part", "p_partkey")])
+def test_look_up_keys_are_unique(spark, table, key):
+    keys = spark.read.parquet(f"{SF_DIR}/{table}.parquet").select(key)
+    assert keys.count() == keys.distinct().count() == keys.dropna().count()
