@@ -6,10 +6,10 @@ offset per source crosses integers, and each crossing emits the document once.
 Since the running sum never strays more than one copy from its expectation, the
 words taken miss the target by about one document's size.
 
-The running sum is worked out in two levels, so that no task holds a whole source:
+The running sum is worked out in levels, so that no task holds a whole source:
 documents are counted by (source, size band, hash bucket), those counts are summed
-up in order within each source, and ranks inside one such cell come from a window
-over the cell. The number of cells of a source is bounded by ``BUCKETS`` and the
+up over a source's bands and a band's buckets, and ranks inside one such cell come
+from a window over the cell. The number of cells of a source is bounded by ``BUCKETS`` and the
 number of bands, whatever the data. A source, a size or a text that holds a third
 of all rows is spread over its buckets.
 """
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import WORD, text_of
+from orderloom.llm.common import WORD, checkpointed, text_of
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_COPIES = 3
@@ -118,8 +118,11 @@ def mix(
         .withColumn("_bucket", (F.conv(F.substring("_hash", 1, 7), 16, 10).cast("long") % buckets).cast("int"))
     )
     cell = ["_key", "_band", "_bucket"]
-    cells = rows.groupBy(*cell).agg(
-        F.count(F.lit(1)).alias("_rows"), F.sum("size").alias("_size"), F.first("source").alias("source")
+    # Three small tables follow from the cells: kept, so that texts are counted once for them.
+    cells = checkpointed(
+        rows.groupBy(*cell).agg(
+            F.count(F.lit(1)).alias("_rows"), F.sum("size").alias("_size"), F.first("source").alias("source")
+        )
     )
     targets = source_targets(
         cells.groupBy("_key").agg(F.first("source").alias("source"), F.sum("_size").alias("source_size")),
@@ -128,11 +131,21 @@ def mix(
     ).select(
         F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("_key"), "source_size", "target"
     )
-    earlier = Window.partitionBy("_key").orderBy("_band", "_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (
-        cells.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    # Rows before a cell: those of the source's smaller bands, and of the band's earlier buckets.
+    rows_before = lambda window: F.coalesce(
+        F.sum("_rows").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    bands = (
+        cells.groupBy("_key", "_band")
+        .agg(F.sum("_rows").alias("_rows"))
+        .select("_key", "_band", rows_before(Window.partitionBy("_key").orderBy("_band")).alias("_smaller"))
         .join(targets, "_key")
-        .select(*cell, "_before", "source_size", "target")
+    )
+    in_band = rows_before(Window.partitionBy("_key", "_band").orderBy("_bucket"))
+    placed = (
+        cells.select(*cell, in_band.alias("_earlier"))
+        .join(bands, ["_key", "_band"])
+        .select(*cell, (F.col("_smaller") + F.col("_earlier")).alias("_before"), "source_size", "target")
     )
     within = Window.partitionBy(*cell).orderBy("_hash", "_id", "_text_hash")
     rank = F.col("_before") + F.row_number().over(within)
