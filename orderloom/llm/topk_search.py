@@ -32,8 +32,9 @@ K = 10
 SEED = 17
 SEGMENTS = 4
 SEGMENT_BITS = 16
-#: A query's look-ups per step, above which a step takes one segment.
+#: A query's look-ups, and those of all queries, above which a step takes one segment.
 PROBES_AT_ONCE = 4000
+STEP_PROBES = 300_000
 EVERY = 20
 
 
@@ -66,22 +67,28 @@ def _segment(code: Column, number: int) -> Column:
     return F.shiftrightunsigned(code, SEGMENT_BITS * number).bitwiseAND(F.lit((1 << SEGMENT_BITS) - 1)).cast("int")
 
 
-def _masks(radius: int) -> Column:
-    """All values of a segment with ``radius`` bits set, as a constant array."""
-    values = (sum(1 << bit for bit in chosen) for chosen in combinations(range(SEGMENT_BITS), radius))
+def _masks(radii: list[int]) -> Column:
+    """All values of a segment with as many bits set as one of ``radii``, as a constant array."""
+    values = (sum(1 << bit for bit in chosen) for r in radii for chosen in combinations(range(SEGMENT_BITS), r))
     return F.expr(f"array({', '.join(map(str, values))})")
 
 
-def _steps() -> list[tuple[int, list[int]]]:
-    """(radius, segments) in search order: all segments at once while balls are small."""
-    steps: list[tuple[int, list[int]]] = []
-    for radius in range(SEGMENT_BITS + 1):
-        whole = SEGMENTS * comb(SEGMENT_BITS, radius) <= PROBES_AT_ONCE
-        steps += [(radius, list(range(SEGMENTS)))] if whole else [(radius, [s]) for s in range(SEGMENTS)]
-    return steps
+def next_step(radius: int, segment: int, n_queries: int) -> tuple[list[int], list[int]]:
+    """(radii, segments) to search next, from a position in the order of radius, then segment.
+
+    All segments at once while a query's balls are small or its like are few; several
+    radii at once while all that is few.
+    """
+    look_ups = lambda r: SEGMENTS * comb(SEGMENT_BITS, r)
+    if segment or look_ups(radius) > PROBES_AT_ONCE and n_queries * look_ups(radius) > STEP_PROBES:
+        return [radius], [segment]
+    radii = [radius]
+    while radii[-1] < SEGMENT_BITS and n_queries * sum(map(look_ups, [*radii, radii[-1] + 1])) <= STEP_PROBES:
+        radii.append(radii[-1] + 1)
+    return radii, list(range(SEGMENTS))
 
 
-def _found(queries: DataFrame, table: DataFrame, radius: int, segments: list[int]) -> DataFrame:
+def _found(queries: DataFrame, table: DataFrame, radii: list[int], segments: list[int]) -> DataFrame:
     """(query, code, distance, n_ids, least_id) of code pairs first found in this step.
 
     ``queries`` has code and bound, the distance up to which candidates matter.
@@ -90,17 +97,20 @@ def _found(queries: DataFrame, table: DataFrame, radius: int, segments: list[int
         F.array(*[F.struct(F.lit(s).alias("segment"), _segment(F.col("code"), s).alias("value")) for s in segments])
     )
     probes = queries.select(F.col("code").alias("query"), "bound", own.alias("own")).select(
-        "query", "bound", "own.segment", F.col("own.value"), F.explode(_masks(radius)).alias("mask")
+        "query", "bound", "own.segment", F.col("own.value"), F.explode(_masks(radii)).alias("mask")
+    )
+    probes = probes.select(
+        "query", "bound", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"), F.bit_count("mask").alias("radius")
     )
-    probes = probes.select("query", "bound", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
     entries = table.select("*", own.alias("own")).select("code", "n_ids", "least_id", "own.segment", "own.value")
     apart = F.col("query").bitwiseXOR(F.col("code"))
     wanted = F.bit_count(apart) <= F.col("bound")
     for s in range(SEGMENTS):
         here = F.bit_count(_segment(apart, s))
-        wanted = wanted & F.when(F.col("segment") > s, here > radius).otherwise(here >= radius)
+        wanted = wanted & F.when(F.col("segment") > s, here > F.col("radius")).otherwise(here >= F.col("radius"))
+    # Merged, never broadcast: look-ups compress so well that their measured size misleads.
     return (
-        probes.join(entries, ["segment", "value"])
+        probes.join(entries.hint("merge"), ["segment", "value"])
         .where(wanted)
         .select("query", "code", F.bit_count(apart).alias("distance"), "n_ids", "least_id")
     )
@@ -126,11 +136,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, seed: int = SEED)
     active = asked.select("code").distinct().withColumn("bound", F.lit(64))
     near: DataFrame | None = None
     order = Window.partitionBy("query").orderBy("distance", "least_id")
-    for radius, segments in _steps():
-        found = _found(active, entries, radius, segments)
+    radius, segment, n_active = 0, 0, active.count()
+    while n_active and radius <= SEGMENT_BITS:
+        radii, segments = next_step(radius, segment, n_active)
+        found = _found(active, entries, radii, segments)
         pool = found if near is None else near.union(found)
         near = checkpointed(pool.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k + 1).drop("_n"))
-        known = SEGMENTS * radius + segments[-1]
+        known = SEGMENTS * radii[-1] + segments[-1]
         so_far = near.groupBy(F.col("query").alias("code")).agg(
             F.sum(F.when(F.col("distance") <= known, F.col("n_ids"))).alias("n_known"),
             F.when(F.count(F.lit(1)) > k, F.max("distance")).alias("least_bound"),
@@ -140,8 +152,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, seed: int = SEED)
             .where(F.coalesce("n_known", F.lit(0)) <= k)
             .select("code", F.coalesce("least_bound", "bound").alias("bound"))
         )
-        if active.isEmpty():
-            break
+        radius, segment = divmod(known + 1, SEGMENTS)
+        n_active = active.count()
+    if near is None:
+        near = _found(active, entries, [0], [0])
     rank = Window.partitionBy("query_id").orderBy("distance", "neighbour_id")
     return (
         asked.select(F.col("vec_id").alias("query_id"), F.col("code").alias("query"))

@@ -60,8 +60,23 @@ def test_query_equals_brute_force(spark):
     assert {q: sorted(v) for q, v in got.items()} == brute(rows, asked, topk_search.K)
 
 
-def test_codes_need_vectors_of_one_size_only_among_themselves():
+def test_steps_go_through_all_radii_and_segments():
     assert topk_search.directions(3).shape == (3, 64)
-    assert (topk_search.directions(3) == topk_search.directions(3)).all()
-    assert len(topk_search._steps()) > 10
-    assert pytest.approx(topk_search._steps()[0][0]) == 0
+    for n in (1, 400, 10**9):
+        at, seen = (0, 0), []
+        while at[0] <= 16:
+            radii, segments = topk_search.next_step(*at, n)
+            seen += [(r, s) for r in radii for s in segments]
+            at = divmod(4 * radii[-1] + segments[-1] + 1, 4)
+        assert seen == [(r, s) for r in range(17) for s in range(4)]
+    assert topk_search.next_step(0, 0, 1) == (list(range(17)), [0, 1, 2, 3])
+    assert topk_search.next_step(6, 2, 10**6) == ([6], [2])
+
+
+@pytest.mark.parametrize("step", [0, 40_000])
+def test_small_and_large_steps_agree(spark, monkeypatch, step):
+    monkeypatch.setattr(topk_search, "STEP_PROBES", step)
+    random = np.random.default_rng(9)
+    rows = [(i, v) for i, v in enumerate(random.normal(0, 1, (4, 8))[random.integers(0, 4, 200)] + random.normal(0, 0.2, (200, 8)))]
+    asked = [0, 60, 199]
+    assert _search(spark, rows, asked, 5) == brute(rows, asked, 5)
