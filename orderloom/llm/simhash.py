@@ -163,7 +163,11 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -
     A row without a doc_id stays only where its group has none; of several such rows,
     or of rows that repeat a doc_id, the one of the smallest text hash, once.
     """
-    marked, labels = _labelled(docs, shingle, bits, BUCKET)
+    return first_of_groups(docs, *_labelled(docs, shingle, bits, BUCKET))
+
+
+def first_of_groups(docs: DataFrame, marked: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``representatives`` by rows (doc_id, fp, text_hash) and (fp, component)."""
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), "text_hash")
     per_fp = marked.groupBy("fp").agg(F.min(first).alias("first")).join(labels, "fp")
     chosen = per_fp.groupBy("component").agg(F.min("first").alias("first"))
