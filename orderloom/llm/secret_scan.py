@@ -80,7 +80,9 @@ def _scopes(spans: Column) -> Column:
 
 
 def _within(spans: Column, scopes: Column) -> Column:
-    return F.filter(spans, lambda s: F.array_contains(scopes, F.floor(s["start"] / F.lit(SCOPE))))
+    """Spans that one of ``scopes`` sees."""
+    block = lambda s: F.floor(s["start"] / F.lit(SCOPE))
+    return F.filter(spans, lambda s: F.arrays_overlap(scopes, F.array(block(s) - 1, block(s), block(s) + 1)))
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:

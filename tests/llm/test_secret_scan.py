@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from hypothesis import HealthCheck, given, settings
@@ -59,6 +60,36 @@ def test_weak_parts_are_reported_only_together(documents):
     assert [k for k, *_ in got[5][1]] == ["linked_id"] and [k for k, *_ in got[5][0]] == ["assign"]
 
 
+def test_linking_does_not_depend_on_where_a_credential_lies(documents):
+    whole = f"{WEAK_ID} {'x ' * 60}{PLACE} {'x ' * 46}{WEAK_SECRET}"
+    got = _scan(documents, *["\n" * shift + whole for shift in range(420)])
+    for shift in range(420):
+        assert [(k, a - shift) for k, a, _ in got[shift][1]] == [("linked_id", 0), ("linked_secret", len(whole) - len(WEAK_SECRET))], shift
+
+
+def test_linked_parts_equal_brute_force(documents):
+    rng = random.Random(3)
+    parts = {"linked_id": WEAK_ID, "linked_secret": WEAK_SECRET, "place": PLACE}
+    texts, places = [], []
+    for _ in range(150):
+        text, found = "", []
+        for _ in range(rng.randint(2, 7)):
+            text += "\n" * rng.choice((1, 40, 150, 199, 300, 700))
+            kind = rng.choice(list(parts))
+            found.append((kind, len(text), len(text) + len(parts[kind])))
+            text += parts[kind]
+        texts.append(text)
+        places.append(found)
+    got = _scan(documents, *texts)
+    for i, found in enumerate(places):
+        kept = set()
+        for scope in range(-1, len(texts[i]) // 200 + 2):
+            seen = [p for p in found if abs(p[1] // 200 - scope) <= 1]
+            if {kind for kind, *_ in seen} == set(parts):
+                kept |= {p for p in seen if p[0] != "place"}
+        assert got[i][1] == sorted(kept, key=lambda p: p[1]), texts[i]
+
+
 def test_edge_rows(spark, documents, with_clashes):
     docs = with_clashes(documents((None, None, None), (1, "", "s"), (1, "token=abcdef", "s"), (1, "token=abcdef", "s"), (2, "token=abcdef " * 3000, "s")))
     rows = secret_scan.find_secrets(docs).collect()
