@@ -43,14 +43,15 @@ SIDE_NAMES = frozenset(
     "skip social sponsor sponsored subscribe subscription toolbar widget alert dialog complementary contentinfo "
     "discussion toc tracking search".split()
 )
+#: Of these, what names a headline where it stands inside the article.
+HEADER_NAMES = frozenset(("header",))
 CONTENT_NAMES = frozenset("article content post story entry main body text".split())
 #: Openings that end an unclosed paragraph.
 ENDS_PARAGRAPH = BLOCK_TAGS - {"body", "head", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_ROLE = re.compile(r"(?:^|\s)role\s*=\s*[\"']?([a-z]+)", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'=<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _NAME_WORD = re.compile(r"[a-z]+")
 
 
@@ -84,17 +85,26 @@ class _Open:
 
 
 def _opened(tag: str, attributes: str, in_article: bool) -> _Open:
-    names = {w for groups in _NAMES.findall(attributes) for w in _NAME_WORD.findall("".join(groups).lower())}
+    # Values are read with their names: a word in a title or a class isn't an attribute.
+    values: dict[str, str] = {}
+    for name, *value in _ATTRIBUTE.findall(attributes):
+        values.setdefault(name.lower(), "".join(value))
+    names = {w for name in ("class", "id", "role") for w in _NAME_WORD.findall(values.get(name, "").lower())}
+    hidden = (
+        "hidden" in values
+        or values.get("aria-hidden", "").strip().lower() == "true"
+        or bool(_NO_DISPLAY.search(values.get("style", "")))
+    )
     # A header inside the article is its own headline; elsewhere it is the site's.
     side_tag = tag in SIDE_TAGS or tag == "header" and not in_article
-    side_name = bool(names & SIDE_NAMES) and tag not in ("body", "html")
+    side_name = bool(names & (SIDE_NAMES - HEADER_NAMES if in_article else SIDE_NAMES)) and tag not in ("body", "html")
     return _Open(
         tag,
-        tag in CONTENT_TAGS or "main" in _ROLE.findall(attributes),
+        tag in CONTENT_TAGS or "main" in values.get("role", "").lower().split(),
         bool(names & CONTENT_NAMES) and not side_name and tag in ("div", "section", "td"),
         side_tag,
         side_name,
-        tag in SKIPPED_TAGS or bool(attributes) and bool(_HIDDEN.search(attributes)),
+        tag in SKIPPED_TAGS or hidden,
         m[1] if (m := re.search(r"data-y=\"(\d)\"", attributes)) else "",
     )
 
@@ -209,6 +219,7 @@ TEXT_FRAGMENTS = (
     f'<h1 data-y="1">A headline</h1><p data-y="1">{SHORT}</p><h2 data-y="1">Part</h2><p data-y="1">Word.</p>',
     f'<p data-y="1">{LONG} <a href="/j">with a link</a></p><ul><li data-y="1">{SHORT}</li><li data-y="1">{LONG}</li></ul>',
     f'<p data-y="1"><a href="/k">Linked words</a></p><blockquote data-y="1">{LONG}</blockquote><pre data-y="1">x = 1</pre>',
+    f'<header class="entry-header" data-y="1"><h1>A headline</h1><p>{SHORT}</p></header><p data-y="1">{LONG}</p><h2 class="section-header" data-y="1">Part</h2><p data-y="1">{LONG}</p>',
 )
 #: Beside an article element, text without any mark isn't the article's.
 UNMARKED_FRAGMENTS = (

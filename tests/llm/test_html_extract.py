@@ -69,3 +69,28 @@ def test_edge_rows(spark, with_clashes):
     rows = html_extract.extract(with_clashes(pages)).collect()
     assert sorted(len(r["text"]) for r in rows) == [0, 0, 0, 4, 999_999]
     assert html_extract.extract(pages.where("false")).count() == 0
+
+
+LONG_TEXT = "Running text of the article that says a thing or two about the matter at hand. " * 4
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<p><a title="the hidden cost" href="/a">linked words</a> in a line of text</p>',
+        '<p class="wide hidden md:block">shown on wide screens</p>',
+        "<p data-note='x hidden y' title=\"aria-hidden=true display:none\">a line of text</p>",
+        '<header class="entry-header"><h1>The headline</h1></header>',
+        '<h2 class="section-header">A part of it</h2>',
+    ],
+)
+def test_article_text_with_telling_words_in_attributes_stays(part):
+    page = f'<body><div class="site-header"><p>The site</p></div><article>{part}<p>{LONG_TEXT}</p></article></body>'
+    kept = html_extract.main_text(page, html_extract.train())
+    assert " ".join(re.sub("<[^>]*>", "", part).split()) in kept and "The site" not in kept
+
+
+@pytest.mark.parametrize("attribute", ["hidden", "HIDDEN=''", "aria-hidden = 'true'", 'style="color:red; display : none"', "aria-hidden=true class=x"])
+def test_hidden_elements_go(attribute):
+    page = f"<body><article><p {attribute}>unseen</p><p>{LONG_TEXT}</p></article></body>"
+    assert "unseen" not in html_extract.main_text(page, html_extract.train())
