@@ -1,0 +1,90 @@
+"""The source divergence audit against plain counting."""
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from orderloom.llm import source_divergence as sd
+
+DOCS = "doc_id bigint, text string, lang string, source string"
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def plain(rows, min_docs, top):
+    docs = [(lang or "", source or "", [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in TERM.findall(text or "")]) for _, text, lang, source in rows]
+    out = set()
+    for lang in {d[0] for d in docs}:
+        own = [d for d in docs if d[0] == lang]
+        held = Counter(t for _, _, terms in own for t in set(terms))
+        kept = [t for t, n in held.items() if n >= min_docs]
+
+        def rates(n):
+            below = sum(n[t] for t in kept) + 5 * len(kept)
+            return {t: 1 + 10**9 * (n[t] + 5) // below for t in kept}
+
+        counts = {s: Counter(t for _, z, terms in own if z == s for t in terms) for s in {d[1] for d in own}}
+        p, q = {s: rates(n) for s, n in counts.items()}, rates(sum(counts.values(), Counter()))
+        for s in counts:
+            pairs = [(z, sum(abs(p[s][t] - p[z][t]) for t in kept)) for z in counts if z != s]
+            terms = [(t, p[s][t] - q[t]) for t in kept if counts[s][t] and p[s][t] > q[t]]
+            for part, found in (("pair", pairs), ("term", terms)):
+                ranked = sorted(found, key=lambda f: (-f[1], f[0].encode()))[: top if part == "term" else None]
+                out |= {(lang, s, part, item, value, rank) for rank, (item, value) in enumerate(ranked, 1)}
+    return out
+
+
+def audit(spark, rows, min_docs=2, top=3, **settings):
+    frame = rows if not isinstance(rows, list) else spark.createDataFrame(rows, DOCS)
+    found = [tuple(r) for r in sd.divergence(frame, min_docs, top, **settings).collect()]
+    assert len(found) == len(set(found))
+    return set(found)
+
+
+def made_up(n, n_sources, seed=3):
+    dice = np.random.default_rng(seed)
+    words = [f"w{chr(97 + i % 26)}{'é' * (i // 26)}" for i in range(90)]
+    return [
+        (i, " ".join(dice.choice(words, 1 + int(dice.integers(40)), p=None) if i % 5 else dice.choice(words[:9], 30)), f"l{i % 3}", f"s{dice.integers(n_sources)}")
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("block_terms", [7, 512])
+def test_against_plain_counting(spark, block_terms):
+    rows = made_up(300, 6)
+    assert audit(spark, rows, 5, 4, block_terms=block_terms) == plain(rows, 5, 4)
+
+
+def test_several_tiles_of_sources(spark):
+    rows = made_up(900, 75)
+    assert audit(spark, rows, 5, 4, block_terms=40) == plain(rows, 5, 4)
+
+
+def test_odd_rows(spark, with_clashes):
+    rows = [
+        (1, None, None, None), (1, "A b-c B9é", None, "x"), (None, "a É b", "", "x"), (2, "a b " * 200_000, "", "y"),
+        (3, "", "de", "z"), (4, "alone", "fr", "z"), (5, "  ", "de", "w"), (5, "  ", "de", "w"), (6, "a\x00b_c", "", None),
+    ]
+    frame = with_clashes(spark.createDataFrame(rows, DOCS)).selectExpr("*", "1 AS term", "2 AS n", "3 AS block", "4 AS rank")
+    found = audit(spark, frame)
+    assert found == plain(rows, 2, 3)
+    assert {r for r in found if r[0] == "de"} == {("de", "w", "pair", "z", 0, 1), ("de", "z", "pair", "w", 0, 1)}
+
+
+def test_empty_table(spark):
+    assert audit(spark, []) == set()
+
+
+def test_rates_of_large_counts_are_exact(spark):
+    n, total, terms = 3 * 10**14 + 1, 7 * 10**15, 10**7
+    frame = spark.createDataFrame([(n, total, terms)], "n bigint, total bigint, v bigint")
+    assert frame.select(sd.rate("n", "total", "v")).first()[0] == 1 + 10**9 * (n + 5) // (total + 5 * terms)
+
+
+def test_flushed_counts_add_up(spark, monkeypatch):
+    rows = made_up(120, 3)
+    whole = {tuple(r) for r in sd.term_counts(spark.createDataFrame(rows, DOCS)).collect()}
+    monkeypatch.setattr(sd, "HELD_AT_MOST", 50)
+    assert {tuple(r) for r in sd.term_counts(spark.createDataFrame(rows, DOCS)).collect()} == whole
