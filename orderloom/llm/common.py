@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+    """``df`` written as Parquet in the checkpoint folder and read again, so that its size is known."""
+    path = f"{checkpoint_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path, partitionBy=partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text_of(column: str = "text") -> Column:
     """The text, a null one as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

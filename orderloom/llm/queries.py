@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from orderloom.llm import (
     bin_packing,
     chat_format,
+    conversation_repair,
     html_extract,
     mixing,
     quality_classifier,
     quality_rules,
     secret_scan,
     simhash,
+    source_divergence,
     token_counts,
     topk_search,
+    web_archive,
 )
 from orderloom.llm.common import read
 
@@ -113,6 +116,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(docs, quality_rules.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def op11_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packages = web_archive.write_archives(read(spark, sf_dir, "pages"))
+    found = web_archive.read_records(web_archive.read_index(packages), payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(read(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_repair.damaged(read(spark, sf_dir, "conversations"))
+    return conversation_repair.report(conversation_repair.repair(turns, F.col("dropped")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         query.__name__: query
@@ -127,6 +145,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_secret_scan,
             op9_topk_search,
             op10_quality_rules,
+            op11_web_archive,
+            op12_source_divergence,
+            op13_conversation_repair,
         )
     }
 
@@ -193,7 +214,63 @@ SELECT doc_id, size, source_size, target,
 FROM ranked
 """
 
+OP11_SQL = r"""
+WITH payloads AS (
+    SELECT page_id, url, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+), answered AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload) AS response FROM payloads
+)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+    array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((CAST('0x' || substr(hex, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31), 1)), '') AS payload_digest,
+    CASE WHEN coalesce(page_id, response - 1) != response THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN coalesce(page_id, response - 1) != response THEN response END AS refers_to,
+    url
+FROM answered
+"""
+
+OP12_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), groups AS (
+    SELECT DISTINCT lang, source FROM docs
+), used AS (
+    SELECT id, lang, source, unnest(terms) AS term FROM docs
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM used GROUP BY ALL
+), kept AS (
+    SELECT lang, term, count(*) AS lang_n FROM used GROUP BY ALL HAVING count(DISTINCT id) >= 30
+), langs AS (
+    SELECT lang, count(*) AS v, sum(lang_n) AS total FROM kept GROUP BY ALL
+), totals AS (
+    SELECT lang, source, sum(n) AS total FROM counts JOIN kept USING (lang, term) GROUP BY ALL
+), rates AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+        1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(t.total, 0) + 5 * l.v) AS p,
+        1 + (1000000000::HUGEINT * (k.lang_n + 5)) // (l.total + 5 * l.v) AS q
+    FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+    LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+    LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source != b.source
+    LEFT JOIN rates x ON x.lang = a.lang AND x.source = a.source
+    LEFT JOIN rates y ON y.lang = a.lang AND y.source = b.source AND y.term = x.term
+    GROUP BY ALL
+    UNION ALL
+    SELECT lang, source, 'term', term, p - q FROM rates WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM found
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR place <= 50
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express; the others are tested against brute force."""
-    return {"op1_chat_format": OP1_SQL, "op7_mixing": OP7_SQL}
+    return {"op1_chat_format": OP1_SQL, "op7_mixing": OP7_SQL, "op11_web_archive": OP11_SQL, "op12_source_divergence": OP12_SQL}

@@ -11,7 +11,7 @@ DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 def test_registered():
     names = set(contract.queries())
     assert set(queries.queries()) | {"pipeline"} <= names
-    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 14)]
     assert set(queries.oracle_sql()) <= names
 
 
