@@ -6,6 +6,7 @@ loaded, and neither is a row without a date once the table holds any date.
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -52,19 +53,26 @@ def append_by_name(loaded: DataFrame, batch: DataFrame) -> DataFrame:
 LOAD_MODES = ("incremental", "append", "replace")
 
 
-def load_bronze(lake: Lake, batch: DataFrame, mode: str = "incremental") -> int:
+def load_bronze(lake: Lake, batch: DataFrame, mode: str = "incremental", batch_id: str | None = None) -> int:
     """Load a batch into bronze and return the number of rows written.
 
     ``incremental`` appends the rows above the watermark. The watermark is read
     before the write starts, so the table is never read while it grows, and
     loading the same batch again adds nothing. ``append`` adds the whole batch
     as it is, repeats included. ``replace`` drops what was there first.
+
+    A batch counts whole or not at all. ``batch_id`` (letters, digits, ``_`` and ``-``)
+    names it: a batch of that name that bronze holds already adds nothing in the first
+    two modes, so a load can be repeated after a failure whatever had become of it.
     """
     if mode not in LOAD_MODES:
         raise ValueError(f"load mode {mode!r} is none of {', '.join(LOAD_MODES)}")
+    if batch_id is not None and not re.fullmatch(r"[\w-]+", batch_id, re.ASCII):
+        raise ValueError(f"batch id {batch_id!r} has other characters than letters, digits, _ and -")
     if mode == "replace":
-        return lake.replace_bronze(batch)
-    lake.ensure_bronze()
+        return lake.replace_bronze(batch, batch_id)
+    if batch_id is not None and lake.has_batch(batch_id):
+        return 0
     if mode == "incremental":
         batch = rows_after(batch, lake.bronze_watermark())
-    return lake.append_bronze(batch)
+    return lake.append_bronze(batch, batch_id)

@@ -18,7 +18,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.money import sum_money
@@ -70,15 +70,15 @@ def order_expectations(orders: DataFrame, strict: bool = False) -> DataFrame:
     return scalar_checks(orders, {name: (f"count_if({rule})", 0) for name, rule in offending.items()})
 
 
-def orders_profile(orders: DataFrame, not_null: Iterable[str]) -> DataFrame:
-    """Offending rows and NULLs per category, city and status, in one scan.
+def orders_profile(orders: DataFrame, not_null: Iterable[str], *more: Column) -> DataFrame:
+    """Offending rows and NULLs per category, city, status and ``more``, in one scan.
 
     Row-level promises, NULL counts, accepted statuses and distinct categories and
     cities all follow from this table, which combines on the map side.
     """
     counts = [F.expr(f"count_if({rule}) AS {name}") for name, rule in _OFFENDING.items()]
     nulls = [F.expr(f"count_if({c} IS NULL) AS null_{c}") for c in dict.fromkeys(not_null)]
-    return orders.groupBy("category", "city", "status").agg(F.expr("count(*) AS orders"), *counts, *nulls)
+    return orders.groupBy("category", "city", "status", *more).agg(F.expr("count(*) AS orders"), *counts, *nulls)
 
 
 def profiled_expectations(profile: DataFrame) -> DataFrame:
@@ -190,8 +190,16 @@ def _failing_values(test: ColumnTest) -> str:
     return f"count(DISTINCT CASE WHEN {test.column} NOT IN ({values}) THEN {test.column} END)"
 
 
-#: Keys that a view computes from another column alone: they repeat where that one does.
-KEY_COMES_FROM = {("stg_orders", "order_sk"): "order_id"}
+def repeated_keys(table: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """(column_name, failures): how many values repeat, per column that has such; NULLs are not keys.
+
+    All columns of a table take one scan and one shuffle: a row is a key per column, and
+    the keys are counted on the map side first.
+    """
+    keys = ", ".join(f"{_text(c)}, CAST({c} AS STRING)" for c in columns)
+    found = table.selectExpr(f"stack({len(list(columns))}, {keys}) AS (column_name, key)").where("key IS NOT NULL")
+    counted = found.groupBy("column_name", "key").agg(F.expr("count(*) AS occurrences")).where("occurrences > 1")
+    return counted.groupBy("column_name").agg(F.expr("count(*) AS failures"))
 
 
 def run_column_tests(
@@ -200,8 +208,9 @@ def run_column_tests(
     """One row per declared test over the named tables.
 
     Models given as the same frame are tested together: one scan for all their
-    ``not_null`` and ``accepted_values`` tests, one shuffle per unique column. A model
-    with a profile (``orders_profile``) is scanned for its unique columns only.
+    ``not_null`` and ``accepted_values`` tests, one scan and shuffle for all their unique
+    columns, each looked at by itself. A model with a profile (``orders_profile``) is
+    scanned for its unique columns only.
     """
     profiles = profiles or {}
     # frame -> (frame, {aggregate: tests it answers}, {unique column: tests})
@@ -216,15 +225,18 @@ def run_column_tests(
         elif t.test == "accepted_values":
             scanned.setdefault(_failing_values(t), []).append(t)
         elif t.test == "unique":
-            unique.setdefault(KEY_COMES_FROM.get((t.model, t.column), t.column), []).append(t)
+            unique.setdefault(t.column, []).append(t)
         else:
             raise ValueError(f"unknown column test {t.test!r}")
     results = []
     for table, scanned, unique in frames.values():
         if scanned:
             results.append(_one_row_per_test(table, scanned))
-        for column, answered in unique.items():
-            results.append(_one_row_per_test(duplicate_keys(table, column), {"count(*)": answered}))
+        if unique:
+            # Columns without a repeated value have no row.
+            of = lambda c: f"coalesce(max(CASE WHEN column_name = {_text(c)} THEN failures END), 0)"
+            repeated = repeated_keys(table, unique)
+            results.append(_one_row_per_test(repeated, {of(column): answered for column, answered in unique.items()}))
     return union_all(results)
 
 

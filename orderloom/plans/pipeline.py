@@ -1,38 +1,41 @@
 """The whole chain: bronze, silver, marts, gold, column tests, checks, gate.
 
 Each stage writes its table and the next one reads it back, so a lost executor
-costs the tasks it ran and never an earlier stage. Silver is scanned once per
-roll-up with only the columns that needs; marts and gold tables beyond that are
-column selections of stored roll-ups and scan nothing large.
+costs the tasks it ran and never an earlier stage. Marts and gold tables are merges
+and column selections of stored partial sums; they scan nothing large.
 
 Bronze only grows and cleaning is row by row, so silver is rebuilt for the months
-whose bronze files changed since the last finished build, which the folder listing
-tells; daily sales likewise. A run that finds no change rewrites neither silver nor
-the roll-ups, only what counts days to today. ``replace`` and ``rebuild`` rebuild all.
+whose bronze files have changed, which their listing tells. What is derived from silver
+month by month (partial sums, daily sales, the profile that checks read) remembers which
+build of silver each month was made from, and is brought up to date for the others:
+silver is read for changed months alone, whichever stage changed them. A run that finds
+no change rewrites nothing but what counts days to today. ``rebuild`` makes all anew.
 """
 
 from __future__ import annotations
 
 import argparse
 import sys
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.operators import gold, marts, quality
+from orderloom.operators import gold, marts, partials, quality
 from orderloom.operators.cleaning import as_bronze, clean_orders
 from orderloom.operators.incremental import LOAD_MODES, load_bronze
 from orderloom.operators.reports import layer_row_counts
 from orderloom.operators.staging import stg_orders
 from orderloom.plans.column_tests import NOT_NULL, all_tests
 from orderloom.plans.report_book import report_book
-from orderloom.schema import ACCEPTED_CATEGORIES, SEGMENTS
+from orderloom.schema import ACCEPTED_CATEGORIES, SEGMENTS, SILVER
 from orderloom.session import build_session
-from orderloom.sources.lake import BRONZE_TABLE, SILVER_TABLE, Lake
+from orderloom.sources.lake import BRONZE_TABLE, SILVER_TABLE, Lake, month_key
+from orderloom.sources.monthly import MONTH_KEY, MonthlyTable
 from orderloom.sources.sizes import shuffle_partitions, stored_bytes
 
 # table -> (layer, description)
@@ -47,7 +50,10 @@ TABLES = {
 MARTS = ("mart_daily_sales", "mart_category_metrics", "mart_customer_segments", "mart_city_metrics")
 # All measures per customer; the mart and both gold customer tables select from it.
 CUSTOMER_ROLLUP = "customer_rollup"
-# What row-level checks of silver need, added up per category, city and status.
+# Tables derived from silver month by month: exact partial sums, sales per day, and what
+# row-level checks need, added up per category, city and status.
+PARTIALS = "sales_partials"
+DAILY = "daily_rollup"
 PROFILE = "silver_profile"
 
 # The roll-ups are independent, so their jobs are submitted together: one's last
@@ -71,23 +77,61 @@ def read_orders(spark: SparkSession, path: str) -> DataFrame:
 
 def build_silver(lake: Lake) -> int:
     """Rebuild silver from all of bronze; returns its row count."""
-    return lake.replace_silver(clean_orders(lake.bronze()))
+    return lake.replace_silver(clean_orders(lake.bronze()), lake.bronze_marks())
 
 
-def _replace_all(lake: Lake, frames: dict[str, DataFrame]) -> dict[str, int]:
+def _at_once(tasks: dict[str, Callable[[], int]]) -> dict[str, int]:
     with ThreadPoolExecutor(JOBS_AT_ONCE) as jobs:
-        pending = {name: jobs.submit(lake.replace, name, frame) for name, frame in frames.items()}
+        pending = {name: jobs.submit(task) for name, task in tasks.items()}
         return {name: job.result() for name, job in pending.items()}
 
 
-def _daily_sales(lake: Lake, months: Iterable[str] | None) -> DataFrame:
-    """All days, or the stored ones with those of some months worked out again."""
-    if months is None:
-        return marts.daily_sales(stg_orders(lake.silver()))
-    stored = lake.table("mart_daily_sales")
-    kept = stored.where(~lake.in_months(F.expr("order_year * 100 + order_month"), months))
-    fresh = marts.daily_sales(stg_orders(lake.silver_of_months(months)))
-    return kept.union(fresh.select(*stored.columns))
+def _replace_all(lake: Lake, frames: dict[str, DataFrame]) -> dict[str, int]:
+    return _at_once({name: partial(lake.replace, name, frame) for name, frame in frames.items()})
+
+
+# -- derived from silver month by month ---------------------------------------
+
+
+def _daily(staging: DataFrame) -> DataFrame:
+    daily = marts.daily_sales(staging)
+    return daily.withColumn(MONTH_KEY, month_key("sale_date")).hint("rebalance", MONTH_KEY)
+
+
+def _profile(staging: DataFrame) -> DataFrame:
+    tested = NOT_NULL[SILVER_TABLE] + NOT_NULL["stg_orders"]
+    return quality.orders_profile(staging, tested, month_key("order_date")).hint("rebalance", MONTH_KEY)
+
+
+#: Table -> its rows, with the month's key, from the staging rows of some months.
+DERIVED: dict[str, Callable[[DataFrame], DataFrame]] = {
+    PARTIALS: partials.by_month,
+    DAILY: _daily,
+    PROFILE: _profile,
+}
+
+
+def derived(lake: Lake, name: str) -> MonthlyTable:
+    made = DERIVED[name](stg_orders(lake.spark.createDataFrame([], SILVER)))
+    return lake.monthly(name, made.drop(MONTH_KEY).schema)
+
+
+def refresh(lake: Lake, names: Iterable[str] = tuple(DERIVED), rebuild: bool = False) -> dict[str, list[str]]:
+    """Bring tables derived from silver in step with it; returns the months that each one made again.
+
+    A month is made again where silver has another build of it than the one it was
+    made from; only such months of silver are read.
+    """
+    silver = lake.silver_months
+    marks, done, tasks = silver.marks(), {}, {}
+    for name in names:
+        table = derived(lake, name)
+        done[name] = sorted(marks) if rebuild else table.stale(marks)
+        if done[name] or rebuild:
+            rows = DERIVED[name](stg_orders(silver.read(done[name])))
+            tasks[name] = partial(table.replace, rows, marks, None if rebuild else done[name])
+    _at_once(tasks)
+    return done
 
 
 def _with_recency(customers: DataFrame, as_of: date) -> DataFrame:
@@ -95,20 +139,19 @@ def _with_recency(customers: DataFrame, as_of: date) -> DataFrame:
     return customers.withColumn("recency_days", F.expr(f"datediff(DATE '{as_of}', last_order_date)"))
 
 
-def build_marts(lake: Lake, as_of: date, months: Iterable[str] | None = None) -> dict[str, int]:
-    """The roll-ups of silver, and what its checks need; ``months`` names those that changed."""
-    staging = stg_orders(lake.silver())
+def build_marts(lake: Lake, as_of: date, rebuild: bool = False) -> dict[str, int]:
+    """The roll-ups of silver, merged from the partial sums of its months."""
+    refresh(lake, rebuild=rebuild)
+    sums = derived(lake, PARTIALS).read()
     rows = _replace_all(
         lake,
         {
-            CUSTOMER_ROLLUP: marts.customer_rollup(staging, as_of),
-            "mart_daily_sales": _daily_sales(lake, months),
-            "mart_category_metrics": marts.category_metrics(staging),
-            "mart_city_metrics": marts.city_metrics(staging),
-            PROFILE: quality.orders_profile(staging, NOT_NULL[SILVER_TABLE] + NOT_NULL["stg_orders"]),
+            CUSTOMER_ROLLUP: partials.by_customer(sums, as_of),
+            "mart_daily_sales": derived(lake, DAILY).read(),
+            "mart_category_metrics": partials.by_category(sums),
+            "mart_city_metrics": partials.by_city(sums),
         },
     )
-    del rows[PROFILE]
     return rows | build_customer_marts(lake, as_of)
 
 
@@ -138,18 +181,24 @@ def build_gold(lake: Lake, as_of: date) -> dict[str, int]:
     )
 
 
+def fresh_profile(lake: Lake) -> DataFrame:
+    """The profile of silver as it is now."""
+    refresh(lake, [PROFILE])
+    return derived(lake, PROFILE).read()
+
+
 def column_test_results(lake: Lake, categories: tuple[str, ...] = ACCEPTED_CATEGORIES) -> DataFrame:
     """All column tests. Silver is read for its keys only; the rest is in its profile."""
     # Staging has every silver column, so one frame serves both models.
     staging = stg_orders(lake.silver())
     tables = {SILVER_TABLE: staging, "stg_orders": staging}
     tables.update({name: lake.table(name) for name in MARTS})
-    profiles = dict.fromkeys((SILVER_TABLE, "stg_orders"), lake.table(PROFILE))
+    profiles = dict.fromkeys((SILVER_TABLE, "stg_orders"), fresh_profile(lake))
     return quality.run_column_tests(tables, all_tests(categories), profiles)
 
 
 def check_results(lake: Lake, expected_segments: int = len(SEGMENTS)) -> DataFrame:
-    profile = lake.table(PROFILE)
+    profile = fresh_profile(lake)
     return quality.union_all(
         [
             quality.profiled_expectations(profile),
@@ -173,25 +222,19 @@ def summary(lake: Lake) -> DataFrame:
 
 def build_layers(lake: Lake, as_of: date, rebuild: bool = False) -> dict[str, int]:
     """Bring silver, marts and gold in step with bronze; returns all row counts."""
-    months, state = lake.bronze_months(), lake.state()
-    if rebuild or state is None or state["version"] != str(lake.version(BRONZE_TABLE)):
-        changed = None
-    else:
-        changed = [month for month, mark in months.items() if state["months"].get(month) != mark]
-    if changed == []:
-        rows = state["rows"]
-        if state["as_of"] != as_of:
-            rows = rows | build_customer_marts(lake, as_of) | build_gold_segments(lake, as_of)
+    marks, silver = lake.bronze_marks(), lake.silver_months
+    if rebuild or not silver.version():
+        build_silver(lake)
+    elif stale := silver.stale(marks):
+        lake.replace_silver(clean_orders(lake.bronze_of_months(stale)), marks, stale)
+    state = lake.state()
+    if rebuild or state is None or state["silver"] != silver.version():
+        rows = {SILVER_TABLE: lake.silver().count()} | build_marts(lake, as_of, rebuild) | build_gold(lake, as_of)
+    elif state["as_of"] != as_of:
+        rows = state["rows"] | build_customer_marts(lake, as_of) | build_gold_segments(lake, as_of)
     else:
-        if changed is None:
-            rows = {SILVER_TABLE: build_silver(lake)}
-        else:
-            lake.replace_silver_months(clean_orders(lake.bronze_of_months(changed)))
-            rows = {SILVER_TABLE: lake.silver().count()}
-        rows |= build_marts(lake, as_of, changed)
-        rows |= build_gold(lake, as_of)
-    if changed != [] or state["as_of"] != as_of:
-        lake.save_state(months, rows, as_of)
+        return state["rows"]
+    lake.save_state(rows, as_of)
     return rows
 
 
@@ -247,8 +290,8 @@ def run_stage(
 ) -> dict[str, int]:
     """One stage alone over the stored tables; returns rows per table, or checks passed.
 
-    Silver, marts and gold are rebuilt in full here. What they were built from isn't
-    recorded, so the next whole run brings up to date whatever its own record lacks.
+    Silver, marts and gold are rebuilt in full here. Tests and checks see silver as it
+    is, also where marts and gold are older.
     """
     lake = Lake(spark, base)
     as_of = as_of or spark.sql("SELECT current_date() AS today").first()["today"]
@@ -257,7 +300,7 @@ def run_stage(
     if stage == "silver":
         return {SILVER_TABLE: build_silver(lake)}
     if stage == "marts":
-        return build_marts(lake, as_of)
+        return build_marts(lake, as_of, rebuild=True)
     if stage == "gold":
         return build_gold(lake, as_of)
     if stage == "tests":

@@ -1,22 +1,24 @@
 """Stored layer tables: Parquet folders under one base path.
 
-The base path plays the part of a schema name: tests use their own. Bronze is
-laid out by ``order_ym`` (year * 100 + month of the order date) so that the
-watermark reads the newest month only; silver keeps that clustering by its own
-year and month columns.
-
-A table is a folder of versions. A replacement is written to a new version, which
-counts from the moment its job has left the success marker: a writer lost midway
-leaves the old version in use, and readers see either one whole. The version
-before stays for readers at work; older ones go.
+The base path plays the part of a schema name: tests use their own.
+
+Bronze is a folder of versions, one per ``replace``; a version is a folder of batches,
+one per load. A batch is written by one job, laid out by ``order_ym`` (year * 100 +
+month of the order date), and counts from the moment this job has left its success
+marker. The batch folders are the log of what was loaded: a batch that comes again
+under its id adds nothing, and what a lost attempt has left is written anew.
+
+Silver and what is derived from it month by month are ``MonthlyTable``s. All other
+tables are folders of versions too: a replacement is written to a new version, and
+readers see either one whole. The version before stays for readers at work.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import date
-from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,22 +26,21 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from orderloom.operators.cleaning import as_bronze
 from orderloom.schema import BRONZE, SILVER
-from orderloom.sources.files import Folder
+from orderloom.sources.files import COMPLETE, Folder, file_marks, parquet_files
+from orderloom.sources.monthly import MONTH_KEY, NO_MONTH, MonthlyTable, complete_folders
 
 BRONZE_TABLE = "bronze_orders"
 SILVER_TABLE = "silver_orders"
-MONTH_KEY = "order_ym"
-STATE_TABLE = "silver_state"
-NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
-COMPLETE = "_SUCCESS"
+BATCH_KEY = "batch"
+STATE_TABLE = "build_state"
 
-_STATE = "version string, months map<string, string>, rows map<string, bigint>, as_of date"
+_STATE = "silver int, rows map<string, bigint>, as_of date"
 
 _BRONZE_STORED = StructType(BRONZE.fields + [StructField(MONTH_KEY, IntegerType())])
 
 
-def _month_key(day: str) -> Column:
-    return F.expr(f"year({day}) * 100 + month({day})")
+def month_key(day: str) -> Column:
+    return F.expr(f"year({day}) * 100 + month({day})").alias(MONTH_KEY)
 
 
 @dataclass(frozen=True)
@@ -49,44 +50,52 @@ class Lake:
     spark: SparkSession
     base: str
 
-    PARTITIONED: ClassVar[tuple[str, ...]] = (BRONZE_TABLE, SILVER_TABLE)
-    SILVER_PARTITIONS: ClassVar[list[str]] = ["order_year", "order_month"]
-
     def folder(self, name: str) -> str:
         return f"{self.base.rstrip('/')}/{name}"
 
-    def _versions(self, name: str) -> list[int]:
-        """Numbers of all versions, complete or not, rising."""
-        return sorted(int(v[1:]) for v in Folder(self.spark, self.folder(name)).folders() if v[1:].isdigit())
-
     def version(self, name: str) -> int:
         """The version in use; 0 if there is none yet."""
-        folder = Folder(self.spark, self.folder(name))
-        return next((v for v in reversed(self._versions(name)) if folder.has(f"v{v}/{COMPLETE}")), 0)
+        return Folder(self.spark, self.folder(name)).latest()
 
     def path(self, name: str) -> str:
-        """Where the version in use is, or the first one will be."""
+        """Where the version in use is, or the first one will be; silver's whole folder."""
+        if name == SILVER_TABLE:
+            return self.folder(name)
         return f"{self.folder(name)}/v{max(self.version(name), 1)}"
 
     # -- bronze ---------------------------------------------------------
 
     def ensure_bronze(self) -> None:
         """Create an empty bronze table unless there is one."""
-        empty = self.spark.createDataFrame([], _BRONZE_STORED)
         if not self.version(BRONZE_TABLE):
-            empty.write.mode("append").partitionBy(MONTH_KEY).parquet(self.path(BRONZE_TABLE))
+            self._open_bronze(self.path(BRONZE_TABLE))
+
+    def _open_bronze(self, path: str) -> None:
+        """Leave the marker by which a version counts."""
+        self.spark.createDataFrame([], _BRONZE_STORED).write.mode("append").partitionBy(MONTH_KEY).parquet(path)
 
     def bronze(self) -> DataFrame:
         return self._bronze_stored().select(*BRONZE.fieldNames())
 
-    def bronze_months(self) -> dict[str, str]:
-        """What is stored per month: its partition value and a mark that changes with its files.
-
-        From the folder listing alone.
-        """
-        folder = Folder(self.spark, self.path(BRONZE_TABLE))
-        found = [name for name in folder.folders() if name.startswith(f"{MONTH_KEY}=")]
-        return {name.partition("=")[2]: folder.content(name) for name in found}
+    def bronze_batches(self) -> list[str]:
+        """Folders of the batches that were loaded whole."""
+        return complete_folders(self.spark, self.path(BRONZE_TABLE), f"{BATCH_KEY}=")
+
+    def bronze_months(self) -> list[str]:
+        """Partition values of the months that have rows, from the folder listing alone."""
+        batches = set(self.bronze_batches())
+        found = Folder(self.spark, self.path(BRONZE_TABLE)).matching(f"{BATCH_KEY}=*/{MONTH_KEY}=*")
+        months = (path.split("/") for path in found)
+        return sorted({month.partition("=")[2] for batch, month in months if batch in batches})
+
+    def bronze_marks(self) -> dict[str, str]:
+        """Per month a mark that changes with its files, from their listing alone."""
+        batches = [name.partition("=")[2] for name in self.bronze_batches()]
+        if not batches:
+            return {}
+        files = parquet_files(self.spark, self.path(BRONZE_TABLE))
+        batch = F.regexp_extract("path", f"/{BATCH_KEY}=([^/]+)/", 1)
+        return file_marks(files.where(batch.isin(batches)), f"regexp_extract(path, '/{MONTH_KEY}=([^/]+)/', 1)")
 
     def bronze_of_months(self, months: Iterable[str]) -> DataFrame:
         """The bronze rows of some months; other months' files are pruned."""
@@ -110,58 +119,82 @@ class Lake:
                 return found
         return None
 
-    def append_bronze(self, rows: DataFrame) -> int:
-        """Append rows to the version in use, matching columns by name; returns how many."""
-        return self._write_bronze(rows, "append")
+    def has_batch(self, batch_id: str) -> bool:
+        return Folder(self.spark, self.path(BRONZE_TABLE)).has(f"{BATCH_KEY}={batch_id}/{COMPLETE}")
 
-    def replace_bronze(self, rows: DataFrame) -> int:
-        """Drop what was loaded and store these rows instead."""
-        return self._write_bronze(rows, "overwrite")
+    def append_bronze(self, rows: DataFrame, batch_id: str | None = None) -> int:
+        """Add a batch, matching columns by name; returns how many rows.
 
-    def _write_bronze(self, rows: DataFrame, mode: str) -> int:
+        0 if a batch of this id was added already. Without an id it is a batch of its own.
+        """
+        self.ensure_bronze()
+        batch_id = batch_id or uuid.uuid4().hex
+        if self.has_batch(batch_id):
+            return 0
+        return self._write_batch(rows, f"{self.path(BRONZE_TABLE)}/{BATCH_KEY}={batch_id}")
+
+    def replace_bronze(self, rows: DataFrame, batch_id: str | None = None) -> int:
+        """Drop what was loaded and store these rows instead, as the first batch of a new version."""
+        folder = Folder(self.spark, self.folder(BRONZE_TABLE))
+        number = max(folder.versions(), default=0) + 1
+        path = f"{self.folder(BRONZE_TABLE)}/v{number}"
+        loaded = self._write_batch(rows, f"{path}/{BATCH_KEY}={batch_id or uuid.uuid4().hex}")
+        self._open_bronze(path)
+        folder.keep_from(number)
+        return loaded
+
+    def _write_batch(self, rows: DataFrame, path: str) -> int:
         """The rebalance groups each month's rows into files of the advisory size
         and splits a month that is too large for one task."""
-        laid_out = as_bronze(rows).withColumn(MONTH_KEY, _month_key("order_date")).hint("rebalance", MONTH_KEY)
-        return self._write(laid_out, BRONZE_TABLE, mode, [MONTH_KEY])
+        laid_out = as_bronze(rows).withColumn(MONTH_KEY, month_key("order_date")).hint("rebalance", MONTH_KEY)
+        return self._write(laid_out, path, [MONTH_KEY])
 
     def _bronze_stored(self) -> DataFrame:
-        return self.spark.read.schema(_BRONZE_STORED).parquet(self.path(BRONZE_TABLE))
+        path = self.path(BRONZE_TABLE)
+        batches = [f"{path}/{name}" for name in self.bronze_batches()]
+        if not batches:
+            return self.spark.createDataFrame([], _BRONZE_STORED)
+        return self.spark.read.schema(_BRONZE_STORED).option("basePath", path).parquet(*batches)
 
     # -- silver ---------------------------------------------------------
 
-    def replace_silver(self, rows: DataFrame) -> int:
-        """Full reload. No shuffle: bronze files hold one month each, so a task
-        writes few partitions."""
-        return self._write(rows.select(*SILVER.fieldNames()), SILVER_TABLE, "overwrite", self.SILVER_PARTITIONS)
+    def monthly(self, name: str, schema: StructType) -> MonthlyTable:
+        return MonthlyTable(self.spark, self.folder(name), schema)
+
+    @property
+    def silver_months(self) -> MonthlyTable:
+        return self.monthly(SILVER_TABLE, SILVER)
 
-    def replace_silver_months(self, rows: DataFrame) -> None:
-        """Reload the months that ``rows`` belong to, in the version in use; the files
-        of other months stay as they are."""
-        writer = rows.select(*SILVER.fieldNames()).write.mode("overwrite").partitionBy(*self.SILVER_PARTITIONS)
-        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(SILVER_TABLE))
+    def replace_silver(self, rows: DataFrame, marks: Mapping[str, str], months: Iterable[str] | None = None) -> int:
+        """Reload silver, or some of its months. No shuffle: bronze files hold one month
+        each, so a task writes few partitions. ``marks`` are those of bronze."""
+        return self.silver_months.replace(rows.withColumn(MONTH_KEY, month_key("order_date")), marks, months)
 
     def silver_of_months(self, months: Iterable[str]) -> DataFrame:
-        return self.silver().where(self.in_months(F.expr("order_year * 100 + order_month"), months))
+        return self.silver_months.read(months)
+
+    def silver(self) -> DataFrame:
+        return self.silver_months.read()
 
     def state(self) -> dict | None:
-        """What the last finished build of silver and its roll-ups was made from."""
+        """What the last finished build of the tables above silver was made from."""
         if not self.version(STATE_TABLE):
             return None
         return self.spark.read.schema(_STATE).parquet(self.path(STATE_TABLE)).first().asDict()
 
-    def save_state(self, months: dict[str, str], rows: dict[str, int], as_of: date) -> None:
-        row = (str(self.version(BRONZE_TABLE)), months, rows, as_of)
+    def save_state(self, rows: dict[str, int], as_of: date) -> None:
+        row = (self.silver_months.version(), rows, as_of)
         self.replace(STATE_TABLE, self.spark.createDataFrame([row], _STATE))
 
-    def silver(self) -> DataFrame:
-        stored = self.spark.read.schema(SILVER).parquet(self.path(SILVER_TABLE))
-        return stored.select(*SILVER.fieldNames())
-
     # -- aggregate tables -----------------------------------------------
 
     def replace(self, name: str, rows: DataFrame) -> int:
         """Drop and recreate a table from a query."""
-        return self._write(rows, name, "overwrite", [])
+        folder = Folder(self.spark, self.folder(name))
+        number = max(folder.versions(), default=0) + 1
+        written = self._write(rows, f"{self.folder(name)}/v{number}")
+        folder.keep_from(number)
+        return written
 
     def table(self, name: str) -> DataFrame:
         if name == BRONZE_TABLE:
@@ -181,26 +214,11 @@ class Lake:
 
     # -- writing --------------------------------------------------------
 
-    def _write(self, rows: DataFrame, name: str, mode: str, partition_by: list[str]) -> int:
+    def _write(self, rows: DataFrame, path: str, partition_by: Iterable[str] = ()) -> int:
         # The count is taken by the write itself, in its last stage, where each
-        # partition is counted once however often its task is retried.
-        written = Observation(f"rows_{name}")
-        writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        if mode == "append":
-            writer.parquet(self.path(name))
-        else:
-            number = max(self._versions(name), default=0) + 1
-            writer.parquet(f"{self.folder(name)}/v{number}")
-            self._remove_before(name, number)
+        # partition is counted once however often its task is retried. Files that a lost
+        # attempt has left in the folder go.
+        written = Observation("rows")
+        writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        writer.partitionBy(*partition_by).parquet(path)
         return written.get["rows"]
-
-    def _remove_before(self, name: str, number: int) -> None:
-        """Versions other than ``number`` and the complete one before it."""
-        folder = Folder(self.spark, self.folder(name))
-        older = [v for v in self._versions(name) if v < number]
-        kept = next((v for v in reversed(older) if folder.has(f"v{v}/{COMPLETE}")), None)
-        for v in older:
-            if v != kept:
-                folder.remove(f"v{v}")

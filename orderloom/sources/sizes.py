@@ -6,15 +6,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.sources.files import parquet_files
+
 # A reducer's share of a shuffle about as wide as its input.
 _BYTES_PER_PARTITION = 128 << 20
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Total file size under a folder, 0 if there is none. Lists, reads nothing."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     try:
-        return files.load(path).agg(F.expr("coalesce(sum(length), 0) AS total")).first()["total"]
+        return parquet_files(spark, path).agg(F.expr("coalesce(sum(length), 0) AS total")).first()["total"]
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return 0

@@ -8,6 +8,7 @@ be scheduled like the batch load.
 from __future__ import annotations
 
 import hashlib
+import json
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +42,11 @@ def landing_schema(spark: SparkSession, landing: str) -> StructType:
         raise
 
 
+def stream_id(spark: SparkSession, progress: str) -> str:
+    """The id that a stream keeps in its checkpoint; another one if the checkpoint is made anew."""
+    return json.loads(spark.read.text(f"{progress}/metadata").first()[0])["id"]
+
+
 def load_new_files(
     lake: Lake,
     landing: str,
@@ -53,28 +59,28 @@ def load_new_files(
 
     ``load`` is ``incremental`` (rows above the watermark, as in the batch load) or
     ``append``: all rows of each new file, also those of days that bronze holds
-    already. The stream knows which files it has taken, so ``append`` suits files that
-    share a day; only a micro-batch that failed between its write and its commit is
-    taken again. ``schema`` is the files' own layout, by default that of the files
-    there. ``partitions`` sets the session's shuffle partitions for the batches.
-
-    With ``incremental``, a micro-batch repeated after a failure finds its own rows at or below the
-    watermark and adds nothing, so each file counts once. All files present at
-    the start form one batch: the watermark must not rise between files that
-    arrive together and hold the same day.
+    already, which suits files that share a day. ``schema`` is the files' own layout, by
+    default that of the files there. ``partitions`` sets the session's shuffle partitions
+    for the batches.
+
+    A micro-batch is loaded under the stream's own id, which its checkpoint keeps, and its
+    number: one that is repeated after a failure adds nothing, in either mode, so each
+    file counts once. All files present at the start form one batch: the watermark must
+    not rise between files that arrive together and hold the same day.
     """
     spark = lake.spark
+    progress = checkpoint or checkpoint_folder(spark, lake)
 
-    def append(batch: DataFrame, _batch_id: int) -> None:
+    def append(batch: DataFrame, batch_id: int) -> None:
         if partitions:
             batch.sparkSession.conf.set("spark.sql.shuffle.partitions", partitions)
-        load_bronze(lake, batch, load)
+        load_bronze(lake, batch, load, f"{stream_id(spark, progress)}-{batch_id}")
 
     return (
         spark.readStream.schema(schema or landing_schema(spark, landing))
         .parquet(landing)
         .writeStream.foreachBatch(append)
-        .option("checkpointLocation", checkpoint or checkpoint_folder(spark, lake))
+        .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()
     )

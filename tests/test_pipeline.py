@@ -121,7 +121,7 @@ def test_a_new_month_touches_its_own_files(spark, source, tmp_path):
     before = _files(lake, "silver_orders")
     second = pipeline.run(spark, source, base, as_of=AS_OF, categories=PART_TYPES)
     after = _files(lake, "silver_orders")
-    june = "order_year=2001/order_month=6/"
+    june = "order_ym=200106/"
     old = {f: t for f, t in before.items() if june not in f}
     assert old and old.items() <= after.items()
     assert any(f not in before for f in after if june in f)
