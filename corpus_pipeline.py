@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bin_packing, mixing, near_sets, quality_classifier, secret_scan
+from orderloom.llm import bin_packing, mixing, quality_classifier, secret_scan, simhash
 from orderloom.llm.common import checkpoint_folder, read
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -24,8 +24,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: that of the smallest doc_id."""
-    return near_sets.representatives(docs)
+    """One document of each group of linked fingerprints: that of the smallest doc_id."""
+    return simhash.representatives(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
