@@ -10,31 +10,35 @@ is minimised with the logistic loss, so the score estimates the chance of label
 prior is estimated as the share of 1 among the labelled rows of the training fold.
 
 The model, a small network over shares of character classes and word statistics, is
-fitted on the driver on bounded samples: at most ``MAX_POSITIVES`` labelled rows and
-``MAX_UNLABELLED`` other rows, drawn by a hash of doc_id. Every document is scored, on
+fitted by a fixed number of full-batch steps. Features of all documents outside the held
+out fold are measured once and stored in blocks, some 180 bytes a document; every step
+is one pass over them that sums the gradients of both terms in Spark, over all trusted
+positives and all documents. Only the sums, a few thousand numbers, reach the driver.
+They are added as decimals, so their order doesn't matter. Every document is scored, on
 its whole text, in one pass without a shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import text_of
+from orderloom.llm.common import stored, text_of
 
-MAX_POSITIVES = 6_000
-MAX_UNLABELLED = 12_000
 FOLDS = 5
 THRESHOLD = 0.3
 HIDDEN = 24
-STEPS = 400
-RATE = 0.02
+STEPS = 40
+RATE = 0.1
 DECAY = 1e-4
 SEED = 11
+ROWS_PER_BLOCK = 2048
 
 _LETTER = bytes(
     ord("A") if 65 <= c <= 90 else ord("a") if 97 <= c <= 122 or c >= 128 else ord("0") if 48 <= c <= 57 else c
@@ -84,49 +88,83 @@ def _forward(x: np.ndarray, weights: list[np.ndarray]) -> tuple[np.ndarray, np.n
     return hidden, hidden @ outer + shift[0]
 
 
-def _gradients(x: np.ndarray, by_output: np.ndarray, hidden: np.ndarray, weights: list[np.ndarray]) -> list[np.ndarray]:
+def _slopes(x: np.ndarray, by_output: np.ndarray, hidden: np.ndarray, weights: list[np.ndarray]) -> np.ndarray:
+    """Sum over rows of the output's slopes by all weights, each row's times ``by_output``."""
     back = np.outer(by_output, weights[2]) * (1 - hidden**2)
-    return [x.T @ back, back.sum(0), hidden.T @ by_output, np.array([by_output.sum()])]
+    return np.concatenate([(x.T @ back).ravel(), back.sum(0), hidden.T @ by_output, [by_output.sum()]])
 
 
-def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Model:
-    """Minimise the non-negative risk by full-batch Adam steps.
+SIZES = (N_FEATURES * HIDDEN, HIDDEN, HIDDEN, 1)
+N_WEIGHTS = sum(SIZES)
+
+
+def _shaped(flat: np.ndarray) -> list[np.ndarray]:
+    parts = np.split(flat, np.cumsum(SIZES)[:-1])
+    return [parts[0].reshape(N_FEATURES, HIDDEN), *parts[1:]]
+
+
+#: Sums over a block of rows: their features, and which of them are trusted positives.
+Summand = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def moments(x: np.ndarray, trusted: np.ndarray) -> np.ndarray:
+    """Rows, trusted rows, and sums of the features and their squares."""
+    return np.concatenate([[len(x), trusted.sum()], x.sum(0), (x * x).sum(0)])
+
+
+def risk_sums(mean: np.ndarray, scale: np.ndarray, weights: list[np.ndarray]) -> Summand:
+    """Losses against label 0 of all and of trusted rows, and the slopes of the risk's parts."""
+
+    def of(x: np.ndarray, trusted: np.ndarray) -> np.ndarray:
+        x = (x - mean) / scale
+        hidden, out = _forward(x, weights)
+        chance, loss = 1 / (1 + np.exp(-np.clip(out, -30, 30))), np.logaddexp(0, out)
+        p = x[trusted], hidden[trusted]
+        return np.concatenate(
+            [
+                [loss.sum(), loss[trusted].sum()],
+                _slopes(x, chance, hidden, weights),
+                _slopes(p[0], chance[trusted], p[1], weights),
+                _slopes(p[0], np.ones(len(p[0])), p[1], weights),
+            ]
+        )
+
+    return of
+
+
+def train(summed: Callable[[Summand], np.ndarray], prior: float) -> Model:
+    """Minimise the non-negative risk by full-batch Adam steps over ``summed`` rows.
 
     Where the negative part of the risk falls below zero, the step ascends it, which
-    is the correction of the non-negative estimator.
+    is the correction of the non-negative estimator. Without positives or rows the model
+    scores every text by the prior.
     """
-    both = np.vstack([positive, unlabelled])
-    mean, scale = both.mean(0), both.std(0) + 1e-3
-    p, u = (positive - mean) / scale, (unlabelled - mean) / scale
+    n, n_trusted, *sums = summed(moments)
+    if not n or not n_trusted:
+        flat = [np.zeros((N_FEATURES, 1)), np.zeros(1), np.zeros(1), np.array([np.log((prior + 1e-6) / (1 - prior + 1e-6))])]
+        return Model(prior, np.zeros(N_FEATURES), np.ones(N_FEATURES), flat)
+    mean = np.array(sums[:N_FEATURES]) / n
+    scale = np.sqrt(np.maximum(np.array(sums[N_FEATURES:]) / n - mean**2, 0)) + 1e-3
     random = np.random.default_rng(SEED)
-    weights = [
-        random.normal(0, 1 / np.sqrt(p.shape[1]), (p.shape[1], HIDDEN)),
-        np.zeros(HIDDEN),
-        random.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN),
-        np.zeros(1),
-    ]
-    moments = [(np.zeros_like(w), np.zeros_like(w)) for w in weights]
+    inner = random.normal(0, 1 / np.sqrt(N_FEATURES), N_FEATURES * HIDDEN)
+    outer = random.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN)
+    flat = np.concatenate([inner, np.zeros(HIDDEN), outer, np.zeros(1)])
+    first, second = np.zeros(N_WEIGHTS), np.zeros(N_WEIGHTS)
     for step in range(1, STEPS + 1):
-        hidden_p, out_p = _forward(p, weights)
-        hidden_u, out_u = _forward(u, weights)
-        chance_p, chance_u = (1 / (1 + np.exp(-np.clip(o, -30, 30))) for o in (out_p, out_u))
-        negative_part = np.logaddexp(0, out_u).mean() - prior * np.logaddexp(0, out_p).mean()
-        by_u, by_p = chance_u / len(u), -prior * chance_p / len(p)
-        if negative_part < 0:
-            by_u, by_p = -by_u, -by_p
-        by_p = by_p + prior * (chance_p - 1) / len(p) * (negative_part >= 0)
-        slopes = [
-            a + b
-            for a, b in zip(
-                _gradients(p, by_p, hidden_p, weights), _gradients(u, by_u, hidden_u, weights), strict=True
-            )
-        ]
-        for w, g, (first, second) in zip(weights, slopes, moments, strict=True):
-            g = g + DECAY * w
-            first += 0.1 * (g - first)
-            second += 0.001 * (g * g - second)
-            w -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return Model(prior, mean, scale, weights)
+        found = summed(risk_sums(mean, scale, _shaped(flat)))
+        all_loss, trusted_loss = found[0] / n, found[1] / n_trusted
+        all_rows, trusted, ones = found[2:].reshape(3, N_WEIGHTS) / np.array([[n], [n_trusted], [n_trusted]])
+        slope = all_rows - prior * trusted
+        if all_loss - prior * trusted_loss < 0:
+            slope = -slope
+        else:
+            slope = slope + prior * (trusted - ones)
+        slope = slope + DECAY * flat
+        first += 0.1 * (slope - first)
+        second += 0.01 * (slope * slope - second)
+        rate = RATE * (1 + np.cos(np.pi * (step - 1) / STEPS)) / 2
+        flat = flat - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+    return Model(prior, mean, scale, _shaped(flat))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -134,48 +172,62 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def _drawn(key: Column, share: float) -> Column:
-    """About ``share`` of all rows, by a hash."""
-    return F.pmod(F.xxhash64(F.lit(SEED), key), F.lit(1 << 30)) < int(min(share, 1.0) * (1 << 30))
+def _blocks(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Features of ``docs`` with a mark for those whose id is in ``trusted``, many rows to a block."""
+    schema = pa.schema([("x", pa.binary()), ("trusted", pa.binary())])
 
-
-def fit(
-    docs: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES, max_unlabelled: int = MAX_UNLABELLED
-) -> Model:
+    @F.pandas_udf("binary")
+    def measure(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: features(text).astype(np.float32).tobytes())
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, ROWS_PER_BLOCK):
+                part = batch.slice(lo, ROWS_PER_BLOCK)
+                block = [b"".join(part.column(0).to_pylist()), bytes(part.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.binary()) for b in block], schema=schema)
+
+    measured = docs.select("doc_id", measure(text_of()).alias("x"))
+    marked = measured.join(trusted.select("doc_id", F.lit(True).alias("trusted")), "doc_id", "left")
+    rows = marked.sortWithinPartitions("doc_id", "x").select("x", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    return stored(rows.mapInArrow(gather, "x binary, trusted binary"))
+
+
+def _summed(blocks: DataFrame, summand: Summand) -> np.ndarray:
+    """``summand`` added over all blocks; zeros without any."""
+    size = len(summand(np.zeros((0, N_FEATURES)), np.zeros(0, dtype=bool)))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for x, trusted in zip(batch.column(0), batch.column(1), strict=True):
+                rows = np.frombuffer(x.as_py(), np.float32).reshape(-1, N_FEATURES).astype(np.float64)
+                total += summand(rows, np.frombuffer(trusted.as_py(), np.uint8) > 0)
+        yield pa.RecordBatch.from_arrays([pa.array(range(size), pa.int32()), pa.array(total)], names=["i", "value"])
+
+    parts = blocks.mapInArrow(add, "i int, value double")
+    found = parts.groupBy("i").agg(F.sum(F.col("value").cast("decimal(38, 12)")).cast("double").alias("value")).collect()
+    total = np.zeros(size)
+    for row in found:
+        total[row["i"]] = row["value"]
+    return total
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model for ``labels.quality``, learnt from rows that aren't held out.
 
-    Documents without a label or an id are unlabelled text. Null labels are left out;
-    of repeated labels all count. Without positives or text the model scores every
-    text by the prior, 0.5 without labels.
+    All documents are unlabelled text, those without a label or an id too; the trusted
+    ones are those with a label 1. Null labels are left out; repeated labels count each
+    in the prior, and once as a mark. Repeated documents count each. Without positives
+    or text the model scores every text by the prior, 0.5 without labels.
     """
     known = labels.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()).select(
         "doc_id", (F.col("quality") == 1).alias("good")
     )
     found = known.agg(F.count("good").alias("n"), F.sum(F.col("good").cast("bigint")).alias("good")).first()
-    n_docs = docs.count()
     prior = (found["good"] or 0) / found["n"] if found["n"] else 0.5
-    trusted = known.where(F.col("good") & _drawn(F.col("doc_id"), max_positives / max(found["good"] or 1, 1)))
-    trusted = F.broadcast(trusted.select("doc_id", F.lit(True).alias("trusted")).limit(2 * max_positives))
-
-    @F.pandas_udf("array<double>")
-    def measure(texts: pd.Series) -> pd.Series:
-        return texts.map(features)
-
-    rows = (
-        docs.where(~held_out(F.col("doc_id")))
-        .select("doc_id", text_of().alias("text"), _drawn(F.col("doc_id"), max_unlabelled / max(n_docs, 1)).alias("drawn"))
-        .join(trusted, "doc_id", "left")
-        .where("trusted OR drawn")
-        .select("trusted", "drawn", measure("text").alias("x"))
-        .limit(2 * (max_positives + max_unlabelled))
-        .collect()
-    )
-    table = lambda kept: np.array([r["x"] for r in rows if r[kept]], dtype=np.float64).reshape(-1, N_FEATURES)
-    positive, unlabelled = table("trusted"), table("drawn")
-    if not len(positive) or not len(unlabelled):
-        flat = [np.zeros((N_FEATURES, 1)), np.zeros(1), np.zeros(1), np.array([np.log((prior + 1e-6) / (1 - prior + 1e-6))])]
-        return Model(prior, np.zeros(N_FEATURES), np.ones(N_FEATURES), flat)
-    return train(positive, unlabelled, prior)
+    blocks = _blocks(docs.where(~held_out(F.col("doc_id"))), known.where("good").select("doc_id").distinct())
+    return train(lambda summand: _summed(blocks, summand), prior)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
