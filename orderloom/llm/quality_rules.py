@@ -6,8 +6,8 @@ never score above its sibling, and both subtrees keep to the bound between them.
 trained model is flattened into node arrays (feature, threshold, left, right, value),
 and a block of documents walks all trees level by level in numpy.
 
-The model is fitted on the driver on at most ``MAX_ROWS`` labelled rows, drawn by a
-hash of doc_id. Every document's statistics come from its whole text, in one pass
+The model is fitted on the driver on at most ``MAX_ROWS`` labelled documents, those
+with the smallest hashes of doc_id. Every document's statistics come from its whole text, in one pass
 without a shuffle.
 """
 
@@ -262,16 +262,19 @@ def document_statistics(docs: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Forest:
     """A forest for ``labels.quality`` from rows that aren't held out.
 
-    Null labels and ids are left out. A document with several labels counts once each.
+    Null labels and ids are left out. A document counts once, with the mean of its
+    labels rounded up; of several texts under one id, that of the smallest hash counts.
     """
     known = labels.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
-    n = known.count()
-    drawn = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) < int(min(max_rows / max(n, 1), 1.0) * (1 << 30))
-    sample = F.broadcast(known.where(drawn).select("doc_id", "quality").limit(2 * max_rows))
-    picked = docs.select("doc_id", "text").join(sample.select("doc_id").distinct(), "doc_id", "left_semi")
-    rows = document_statistics(picked).join(sample, "doc_id").select("features", "quality").limit(2 * max_rows).collect()
-    x = np.array([r["features"] for r in rows], dtype=np.float64).reshape(-1, len(FEATURES))
-    y = np.array([r["quality"] for r in rows], dtype=np.float64)
+    graded = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("quality"))
+    # Ids are unique here, so the order and with it the choice is the same in every run.
+    sample = F.broadcast(graded.orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(max_rows))
+    picked = docs.select("doc_id", "text").join(sample, "doc_id", "left_semi")
+    one_each = picked.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = document_statistics(one_each).join(sample, "doc_id").select("doc_id", "features", "quality")
+    found = sorted(rows.collect(), key=lambda r: r["doc_id"])
+    x = np.array([r["features"] for r in found], dtype=np.float64).reshape(-1, len(FEATURES))
+    y = np.array([r["quality"] for r in found], dtype=np.float64)
     return boost(x, y, np.array(list(FEATURES.values())))
 
 

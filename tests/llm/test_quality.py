@@ -35,9 +35,9 @@ def test_classifier_on_held_out_rows(spark, labels):
 def test_non_negative_risk_separates_without_negatives():
     random = np.random.default_rng(0)
     width = quality_classifier.N_FEATURES
-    good = random.normal(1, 1, (400, width))
-    mixed = np.vstack([random.normal(1, 1, (700, width)), random.normal(-1, 1, (300, width))])
-    model = quality_classifier.train(good, mixed, 0.7)
+    rows = np.vstack([random.normal(1, 1, (1100, width)), random.normal(-1, 1, (300, width))])
+    trusted = np.arange(len(rows)) < 400
+    model = quality_classifier.train(lambda summand: summand(rows, trusted), 1100 / 1400)
     assert model.score(random.normal(1, 1, (300, width))).mean() > 0.8
     assert model.score(random.normal(-1, 1, (300, width))).mean() < 0.2
 
@@ -54,6 +54,30 @@ def test_classifier_edge_rows(spark, documents, with_clashes):
     assert quality_classifier.scored(docs, quality_classifier.fit(docs.where("false"), labelled)).count() == 5
 
 
+def test_all_documents_and_blocks_count_in_the_risk(spark, documents, monkeypatch):
+    texts = ["Some good words in a line.", "x", "", "## || $$ junk", "More words, said well."] * 30
+    docs = documents(*[(i, t, "s") for i, t in enumerate(texts)])
+    known = spark.createDataFrame([(i, int(i % 5 in (0, 4))) for i in range(60)], "doc_id bigint, quality int")
+    monkeypatch.setattr(quality_classifier, "ROWS_PER_BLOCK", 7)
+    learnt = [i for i in range(150) if zlib.crc32(str(i).encode()) % 5]
+    trusted = np.array([i < 60 and i % 5 in (0, 4) for i in learnt])
+    x = np.vstack([quality_classifier.features(texts[i]).astype(np.float32) for i in learnt]).astype(np.float64)
+    blocks = quality_classifier._blocks(docs.where(~quality_classifier.held_out(docs["doc_id"])), known.where("quality = 1 AND crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 != 0"))
+    summand = quality_classifier.risk_sums(x.mean(0), x.std(0) + 1e-3, quality_classifier._shaped(np.random.default_rng(1).normal(0, 0.3, quality_classifier.N_WEIGHTS)))
+    assert np.allclose(quality_classifier._summed(blocks, summand), summand(x, trusted), atol=1e-6)
+    assert quality_classifier._summed(blocks, quality_classifier.moments)[:2].tolist() == [len(learnt), trusted.sum()]
+
+
+def test_reruns_with_repeated_ids_give_the_same_models(spark, documents):
+    docs = documents(*[(i % 40, f"words {i % 7} of a text. " * (1 + i % 9), "s") for i in range(200)]).repartition(5)
+    known = spark.createDataFrame([(i % 40, i % 3 % 2) for i in range(90)], "doc_id bigint, quality int")
+    first, second = (quality_classifier.fit(docs, known.repartition(n)) for n in (2, 3))
+    x = np.vstack([quality_classifier.features(f"words {i}. " * i) for i in range(5)])
+    assert np.allclose(first.score(x), second.score(x), atol=1e-9)
+    one, other = (quality_rules.fit(docs, known.repartition(n), max_rows=20) for n in (2, 3))
+    assert (one.value == other.value).all() and (one.threshold == other.threshold).all()
+
+
 def brute_counts(text):
     words = re.findall(r"[^\x20\x09-\x0d]+", text)
     windows = Counter(zip(words, words[1:], words[2:], strict=False))
