@@ -6,15 +6,19 @@ decision tree says which blocks are content. It is trained when the plan is buil
 the blocks of ``EXAMPLES``: a small table of page fragments, each marked content or
 boilerplate. Kept blocks join in page order.
 
-Pages are handled one by one inside tasks, without a shuffle.
+A page is read forward once: a tag ends where its attributes end, quotes count only
+where a value begins, and what is open is counted as it opens and closes. The time grows
+in proportion to the page, whatever its markup. Pages are handled one by one inside
+tasks, without a shuffle.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +53,12 @@ CONTENT_NAMES = frozenset("article content post story entry main body text".spli
 #: Openings that end an unclosed paragraph.
 ENDS_PARAGRAPH = BLOCK_TAGS - {"body", "head", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option"}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"([^\s\"'=<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_BETWEEN = re.compile(r"[\s/]*")
+_ATTRIBUTE = re.compile(r"(=?[^\s/>=]*)\s*(=?)\s*")
+_UNQUOTED = re.compile(r"[^\s>]*")
+_RAW_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I | re.A) for tag in RAW_TAGS}
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _NAME_WORD = re.compile(r"[a-z]+")
 
@@ -66,7 +74,7 @@ class Block:
     side_tags: int
     side_names: int
     in_list: bool
-    marks: list[str] = field(default_factory=list)
+    mark: str = ""
 
     @property
     def link_density(self) -> float:
@@ -76,6 +84,8 @@ class Block:
 @dataclass
 class _Open:
     tag: str
+    block: bool
+    heading: bool
     article: bool
     content: bool
     side_tag: bool
@@ -84,11 +94,7 @@ class _Open:
     mark: str = ""
 
 
-def _opened(tag: str, attributes: str, in_article: bool) -> _Open:
-    # Values are read with their names: a word in a title or a class isn't an attribute.
-    values: dict[str, str] = {}
-    for name, *value in _ATTRIBUTE.findall(attributes):
-        values.setdefault(name.lower(), "".join(value))
+def _opened(tag: str, values: dict[str, str], in_article: bool) -> _Open:
     names = {w for name in ("class", "id", "role") for w in _NAME_WORD.findall(values.get(name, "").lower())}
     hidden = (
         "hidden" in values
@@ -100,84 +106,197 @@ def _opened(tag: str, attributes: str, in_article: bool) -> _Open:
     side_name = bool(names & (SIDE_NAMES - HEADER_NAMES if in_article else SIDE_NAMES)) and tag not in ("body", "html")
     return _Open(
         tag,
+        tag in BLOCK_TAGS,
+        tag in HEADINGS,
         tag in CONTENT_TAGS or "main" in values.get("role", "").lower().split(),
         bool(names & CONTENT_NAMES) and not side_name and tag in ("div", "section", "td"),
         side_tag,
         side_name,
         tag in SKIPPED_TAGS or hidden,
-        m[1] if (m := re.search(r"data-y=\"(\d)\"", attributes)) else "",
+        values.get("data-y", ""),
     )
 
 
+class _Stack:
+    """Open elements, with counts of their kinds."""
+
+    KINDS = ("heading", "article", "content", "side_tag", "side_name", "skipped")
+
+    def __init__(self) -> None:
+        self.open: list[_Open] = []
+        #: Depths of the open blocks, and the inline elements open since the last of them.
+        self.blocks: list[int] = []
+        self.inline: list[Counter] = [Counter()]
+        self.tags: Counter = Counter()
+        self.marks: list[str] = []
+        self.kinds = dict.fromkeys(self.KINDS, 0)
+
+    def push(self, element: _Open) -> None:
+        if element.block:
+            self.blocks.append(len(self.open))
+            self.inline.append(Counter())
+        else:
+            self.inline[-1][element.tag] += 1
+        self.open.append(element)
+        self.tags[element.tag] += 1
+        if element.mark:
+            self.marks.append(element.mark)
+        for kind in self.KINDS:
+            self.kinds[kind] += getattr(element, kind)
+
+    def pop(self) -> None:
+        element = self.open.pop()
+        if element.block:
+            self.blocks.pop()
+            self.inline.pop()
+        else:
+            self.inline[-1][element.tag] -= 1
+        self.tags[element.tag] -= 1
+        if element.mark:
+            self.marks.pop()
+        for kind in self.KINDS:
+            self.kinds[kind] -= getattr(element, kind)
+
+    def close(self, tag: str) -> None:
+        """End the innermost ``tag`` and all in it. An inline element's end doesn't close
+        the blocks that it is left open in."""
+        there = self.tags[tag] if tag in BLOCK_TAGS else self.inline[-1][tag]
+        while there:
+            there = self.open[-1].tag != tag
+            self.pop()
+
+    def end_paragraph(self) -> None:
+        """End the innermost block if it is a paragraph, which a block's beginning does."""
+        if self.blocks and self.open[self.blocks[-1]].tag == "p":
+            depth = self.blocks[-1]
+            while len(self.open) > depth:
+                self.pop()
+
+
+class _Scanner:
+    """Reads the tags of a page, forward only."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self._gone: set[str] = set()
+
+    def find(self, wanted: str, at: int) -> int:
+        """Where ``wanted`` comes next; not looked for again once there is no more of it."""
+        if wanted in self._gone:
+            return -1
+        found = self.page.find(wanted, at)
+        if found < 0:
+            self._gone.add(wanted)
+        return found
+
+    def past(self, wanted: str, at: int) -> int:
+        """The place behind ``wanted``, or the page's end."""
+        found = self.find(wanted, at)
+        return len(self.page) if found < 0 else found + len(wanted)
+
+    def markup(self, at: int) -> int:
+        """The place behind a comment, declaration or nameless end at ``at``; ``at`` if there is none."""
+        page = self.page
+        if page.startswith("<!--", at):
+            return self.past("-->", at + 4)
+        if page.startswith("<![CDATA[", at) and self.find("]]>", at) >= 0:
+            return self.past("]]>", at)
+        return self.past(">", at) if page.startswith(("<!", "<?", "</"), at) else at
+
+    def attributes(self, at: int) -> tuple[dict[str, str], int, bool]:
+        """(values by name, the place behind the tag, whether it closes itself).
+
+        Of a repeated name the first value counts. A value whose quote never closes ends
+        with the tag at the next ``>``; a tag that nothing ends takes the rest of the page.
+        """
+        page, values, begin = self.page, {}, at
+        while True:
+            gap = _BETWEEN.match(page, at)
+            at = gap.end()
+            if at >= len(page):
+                return values, len(page), False
+            if page[at] == ">":
+                return values, at + 1, gap[0].endswith("/")
+            found = _ATTRIBUTE.match(page, at)
+            name, at = found[1], found.end()
+            value = ""
+            if found[2]:
+                quote = page[at : at + 1]
+                if quote in ('"', "'"):
+                    end = self.find(quote, at + 1)
+                    if end < 0:
+                        return values, self.past(">", begin), False
+                    value, at = page[at + 1 : end], end + 1
+                else:
+                    plain = _UNQUOTED.match(page, at)
+                    value, at = plain[0], plain.end()
+            values.setdefault(name.lower(), value)
+
+
 def blocks(page: str) -> list[Block]:
     """Flat text blocks of a page, in order, without those that hold no text."""
     found: list[Block] = []
-    stack: list[_Open] = []
+    stack, scanner = _Stack(), _Scanner(page)
     parts: list[str] = []
     linked: list[str] = []
-    lowered = None
 
     def flush() -> None:
         text = " ".join("".join(parts).split())
         if text:
+            kinds = stack.kinds
             found.append(
                 Block(
                     text,
                     len(text.split()),
                     len(" ".join(linked).split()),
-                    any(re.fullmatch("h[1-6]", o.tag) for o in stack),
-                    any(o.article for o in stack),
-                    any(o.content for o in stack),
-                    sum(o.side_tag for o in stack),
-                    sum(o.side_name for o in stack),
-                    any(o.tag == "li" for o in stack),
-                    [o.mark for o in stack if o.mark],
+                    kinds["heading"] > 0,
+                    kinds["article"] > 0,
+                    kinds["content"] > 0,
+                    kinds["side_tag"],
+                    kinds["side_name"],
+                    stack.tags["li"] > 0,
+                    stack.marks[-1] if stack.marks else "",
                 )
             )
         parts.clear()
         linked.clear()
 
     def say(raw: str) -> None:
-        if raw and not any(o.skipped for o in stack):
+        if raw and not stack.kinds["skipped"]:
             text = html.unescape(raw)
             parts.append(text)
-            if any(o.tag == "a" for o in stack):
+            if stack.tags["a"]:
                 linked.append(text)
 
-    at, match = 0, _TOKEN.search(page)
-    while match:
-        say(page[at : match.start()])
-        at = match.end()
-        tag = (match[2] or "").lower()
-        if tag in BLOCK_TAGS:
-            flush()
-        elif tag == "br":
-            parts.append(" ")
-        if tag and match[1]:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
-                # An inline element's end doesn't close the blocks that it is left open in.
-                if stack[depth].tag in BLOCK_TAGS and tag not in BLOCK_TAGS:
-                    break
-        elif tag in RAW_TAGS:
-            lowered = page.lower() if lowered is None else lowered
-            end = lowered.find(f"</{tag}", at) if len(lowered) == len(page) else page.find(f"</{tag}", at)
-            at = len(page) if end < 0 else (page.find(">", end) + 1 or len(page))
-        elif tag and tag not in VOID_TAGS and not (match[3] or "").endswith("/"):
-            if tag in ENDS_PARAGRAPH:
-                for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth].tag == "p":
-                        del stack[depth:]
-                        break
-                    if stack[depth].tag in BLOCK_TAGS:
-                        break
-            if tag in ("li", "option", "dt", "dd", "tr", "td", "th") and stack and stack[-1].tag == tag:
-                stack.pop()
-            stack.append(_opened(tag, match[3] or "", any(o.article for o in stack)))
-        match = _TOKEN.search(page, at)
-    say(page[at:])
+    said, at = 0, page.find("<")
+    while at >= 0:
+        closes = page.startswith("/", at + 1)
+        name = _TAG_NAME.match(page, at + 1 + closes)
+        behind = at if name else scanner.markup(at)
+        if name is None and behind == at:
+            at = page.find("<", at + 1)  # a plain sign
+            continue
+        say(page[said:at])
+        if name:
+            tag = name[0].lower()
+            values, behind, empty = scanner.attributes(name.end())
+            if tag in BLOCK_TAGS:
+                flush()
+            elif tag == "br":
+                parts.append(" ")
+            if closes:
+                stack.close(tag)
+            elif tag in RAW_TAGS:
+                end = _RAW_ENDS[tag].search(page, behind)
+                behind = scanner.past(">", end.start()) if end else len(page)
+            elif tag not in VOID_TAGS and not empty:
+                if tag in ENDS_PARAGRAPH:
+                    stack.end_paragraph()
+                if tag in ("li", "option", "dt", "dd", "tr", "td", "th") and stack.open and stack.open[-1].tag == tag:
+                    stack.pop()
+                stack.push(_opened(tag, values, stack.kinds["article"] > 0))
+        said, at = behind, page.find("<", behind)
+    say(page[said:])
     flush()
     return found
 
@@ -295,7 +414,7 @@ def train() -> Tree:
     for page in examples():
         found = blocks(page)
         x.append(block_features(found))
-        y += [b.marks[-1] == "1" for b in found]
+        y += [b.mark == "1" for b in found]
     return grow(np.vstack(x), np.array(y, dtype=np.float64))
 
 
