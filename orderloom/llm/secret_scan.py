@@ -2,12 +2,17 @@
 
 Three base patterns report by themselves: key-value assignments, access
 identifiers and long hexadecimal strings. Weaker parts are worth reporting only
-together: an identifier, a secret-looking token and an endpoint that occur within
-one scope form a credential. Scopes are intervals of ``SCOPE`` code points on a
-grid, each with its two neighbours. The interval join runs inside a document: the
-scopes of every kind are intersected, and only candidates inside a scope that holds
-all three parts are kept. Nothing is shuffled and no pairs are built, so one
-document is the largest unit of work.
+together: an identifier, a secret-looking token and an endpoint form a credential where
+they begin within one scope, an interval of ``SCOPE`` code points wherever it lies. Base
+access identifiers count as identifiers, other base spans as secrets. A weak part is
+reported if it begins in a scope that holds all three.
+
+The interval join runs inside a document, over its parts in order. One pass backward
+finds, for each part, the next one of every kind; a scope that begins at the part is
+complete if the farthest of them lies in it. One pass forward hands each part the last
+complete scope begun before it. Both are linear, as are the running sums that turn
+lengths into positions: arrays grow by blocks, never by one element at a time. Nothing
+is shuffled and no pairs are built, so one document is the largest unit of work.
 
 Positions come from splitting a text at the matches of a pattern: a match begins
 after the pieces and matches before it.
@@ -15,12 +20,18 @@ after the pieces and matches before it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import text_of
 
-SCOPE = 200
+SCOPE = 400
+#: Elements that a running state is handed through at once.
+BLOCK = 256
+#: Code points of a piece in which a text is cut to take out ranges.
+PIECE = 4096
 REDACTED = "[REDACTED]"
 
 # The base patterns, in the order in which kinds are listed.
@@ -50,39 +61,111 @@ KINDS = ("assign", "access", "hex", "linked_id", "linked_secret")
 SPAN = "struct<start:bigint,rank:int,kind:string,end:bigint>"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once, also where lambdas in the body use it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _states(items: Column, begin: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """The state after each of ``items``, from ``begin`` on by ``step(state, item)``.
+
+    States are collected per block, and blocks into their array, so what is copied grows
+    with a block's size and the number of blocks, not with the square of the items.
+    """
+    last = lambda states: F.element_at(states, -1)
+
+    def through(states: Column, block: Column) -> Column:
+        within = F.aggregate(block, F.array(last(last(states))), lambda a, item: F.concat(a, F.array(step(last(a), item))))
+        return F.concat(states, F.array(within))
+
+    def of(items: Column) -> Column:
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(items) - 1) / F.lit(BLOCK)).cast("int")),
+            lambda i: F.slice(items, i * BLOCK + 1, F.lit(BLOCK)),
+        )
+        found = F.aggregate(blocks, F.array(F.array(begin)), through)
+        # Every block begins with the state before it, and all blocks with the first state.
+        after = F.flatten(F.transform(found, lambda states: F.slice(states, 2, F.size(states))))
+        return F.when(F.size(items) > 0, after).otherwise(F.slice(F.array(begin), 1, 0))
+
+    return _let(items, of)
+
+
 def _spans(text: Column, matches: Column, pattern: str, kind: str) -> Column:
     """Spans of ``matches``, all matches of ``pattern`` in ``text``, in code points."""
-    pieces = F.split(text, pattern, -1)
-    step = F.zip_with(
-        F.slice(pieces, 1, F.size(matches)), matches, lambda gap, hit: F.struct(F.length(gap), F.length(hit))
-    )
-    empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
     rank = F.lit(KINDS.index(kind))
 
-    def advance(state: Column, lengths: Column) -> Column:
-        start = state["at"] + lengths["col1"]
-        end = start + lengths["col2"]
-        span = F.struct(start.alias("start"), rank.alias("rank"), F.lit(kind).alias("kind"), end.alias("end"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
+    def span(end: Column, hit: Column) -> Column:
+        start = end - F.length(hit)
+        return F.struct(start.alias("start"), rank.alias("rank"), F.lit(kind).alias("kind"), end.alias("end"))
+
+    def of(hits: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), 1, F.size(hits))
+        lengths = F.zip_with(gaps, hits, lambda gap, hit: (F.length(gap) + F.length(hit)).cast("bigint"))
+        ends = _states(lengths, F.lit(0).cast("bigint"), lambda at, length: at + length)
+        return F.when(F.size(hits) > 0, F.zip_with(ends, hits, span)).otherwise(F.array().cast(f"array<{SPAN}>"))
 
-    found = F.aggregate(step, empty, advance, lambda state: state["out"])
-    return F.when(F.size(matches) > 0, found).otherwise(F.array().cast(f"array<{SPAN}>"))
+    return _let(matches, of)
 
 
 def _all(pattern: str, text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def _scopes(spans: Column) -> Column:
-    """Scopes that see a span: its own of the grid and both neighbours."""
-    blocks = F.array_distinct(F.transform(spans, lambda s: F.floor(s["start"] / F.lit(SCOPE))))
-    return F.array_distinct(F.flatten(F.transform(blocks, lambda b: F.array(b - 1, b, b + 1))))
+#: A part's kind in a credential.
+IDENTIFIER, SECRET, ENDPOINT_PART = 0, 1, 2
+_NEXT = "struct<p0:bigint,p1:bigint,p2:bigint>"
+_KEY_BITS = 32
+PARTS = "array<struct<start:bigint,part:int,end:bigint,weak:boolean>>"
 
 
-def _within(spans: Column, scopes: Column) -> Column:
-    """Spans that one of ``scopes`` sees."""
-    block = lambda s: F.floor(s["start"] / F.lit(SCOPE))
-    return F.filter(spans, lambda s: F.arrays_overlap(scopes, F.array(block(s) - 1, block(s), block(s) + 1)))
+def _parts(spans: Column, part: int, weak: bool) -> Column:
+    return F.transform(
+        spans, lambda s: F.struct(s["start"].alias("start"), F.lit(part).alias("part"), s["end"].alias("end"), F.lit(weak).alias("weak"))
+    )
+
+
+def _linked(items: Column) -> Column:
+    """The weak ones of ``items``, parts in order, that begin in a scope which holds all kinds."""
+
+    def nearer(state: Column, item: Column) -> Column:
+        return F.struct(
+            *[F.when(item["part"] == p, item["start"]).otherwise(state[f"p{p}"]).alias(f"p{p}") for p in range(3)]
+        )
+
+    onward = F.reverse(_states(F.reverse(items), F.lit(None).cast(_NEXT), nearer))
+    begins = F.zip_with(
+        items,
+        onward,
+        lambda item, after: F.when(
+            after["p0"].isNotNull()
+            & after["p1"].isNotNull()
+            & after["p2"].isNotNull()
+            & (F.greatest(after["p0"], after["p1"], after["p2"]) - item["start"] <= SCOPE),
+            item["start"],
+        ),
+    )
+    last = _states(begins, F.lit(None).cast("bigint"), lambda state, begin: F.coalesce(begin, state))
+    judged = F.zip_with(
+        items, last, lambda item, scope: F.struct(item.alias("item"), (item["weak"] & (item["start"] - scope <= SCOPE)).alias("in"))
+    )
+    return F.transform(F.filter(judged, lambda j: F.coalesce(j["in"], F.lit(False))), lambda j: j["item"])
+
+
+def _spans_of(linked: Column, part: int, kind: str, base: Column) -> Column:
+    """Linked parts of one kind as spans, without those that are base spans too."""
+    key = lambda s: F.shiftleft(s["start"], _KEY_BITS) + (s["end"] - s["start"])
+    fresh = F.array_except(F.transform(F.filter(linked, lambda item: item["part"] == part), key), F.transform(base, key))
+    start = lambda k: F.shiftright(k, _KEY_BITS)
+    return F.transform(
+        fresh,
+        lambda k: F.struct(
+            start(k).alias("start"),
+            F.lit(KINDS.index(kind)).alias("rank"),
+            F.lit(kind).alias("kind"),
+            (start(k) + k.bitwiseAND(F.lit((1 << _KEY_BITS) - 1))).alias("end"),
+        ),
+    )
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
@@ -134,23 +217,23 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     )
     strong_ids = F.filter("base", lambda s: s["kind"] == "access")
     strong_secrets = F.filter("base", lambda s: s["kind"] != "access")
-    complete = F.array_intersect(
-        _scopes(F.col("_places")),
-        F.array_intersect(
-            _scopes(F.concat(F.col("_ids"), strong_ids)), _scopes(F.concat(F.col("_secrets"), strong_secrets))
-        ),
-    )
-    candidates = F.array_sort(F.concat(_within(F.col("_ids"), F.col("_scopes")), _within(F.col("_secrets"), F.col("_scopes"))))
-    same = lambda a, b: (a["start"] == b["start"]) & (a["end"] == b["end"])
-    return parts.withColumn("_scopes", F.when(F.col("_may_link"), complete).otherwise(F.array().cast("array<bigint>"))).select(
-        "doc",
-        "base",
-        F.when(
-            F.size("_scopes") > 0, F.filter(candidates, lambda c: ~F.exists("base", lambda b: same(b, c)))
+    ordered = F.array_sort(
+        F.concat(
+            _parts(F.col("_ids"), IDENTIFIER, True),
+            _parts(F.col("_secrets"), SECRET, True),
+            _parts(strong_ids, IDENTIFIER, False),
+            _parts(strong_secrets, SECRET, False),
+            _parts(F.col("_places"), ENDPOINT_PART, False),
         )
-        .otherwise(empty)
-        .alias("linked"),
     )
+    found = parts.withColumn("_parts", F.when(F.col("_may_link"), ordered)).withColumn(
+        "_linked", F.when(F.size(F.coalesce(F.col("_parts"), F.array().cast(PARTS))) > 2, _linked(F.col("_parts")))
+    )
+    spans = F.concat(
+        _spans_of(F.col("_linked"), IDENTIFIER, "linked_id", F.col("base")),
+        _spans_of(F.col("_linked"), SECRET, "linked_secret", F.col("base")),
+    )
+    return found.select("doc", "base", F.when(F.size("_linked") > 0, F.array_sort(spans)).otherwise(empty).alias("linked"))
 
 
 def span_list(spans: Column) -> Column:
@@ -162,22 +245,30 @@ def all_spans(base: str = "base", linked: str = "linked") -> Column:
     return F.array_sort(F.concat(F.col(base), F.col(linked)))
 
 
-def redacted(text: Column, spans: Column) -> Column:
-    """``text`` with every span replaced; overlapping spans become one."""
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+def _range(pieces: Column, begin: Column, length: Column) -> Column:
+    """``length`` code points from ``begin`` (from 0) of a text cut in pieces of ``PIECE``."""
+    first, last = F.floor(begin / F.lit(PIECE)), F.floor((begin + length) / F.lit(PIECE))
+    joined = F.array_join(F.slice(pieces, (first + 1).cast("int"), (last - first + 1).cast("int")), "")
+    return joined.substr((begin - first * PIECE + 1).cast("int"), length.cast("int"))
 
-    def advance(state: Column, span: Column) -> Column:
-        fresh = span["start"] >= state["at"]
-        gap = text.substr((state["at"] + 1).cast("int"), F.greatest(span["start"] - state["at"], F.lit(0)).cast("int"))
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(fresh, F.concat(state["out"], gap, F.lit(REDACTED))).otherwise(state["out"]).alias("out"),
-        )
 
-    rest = lambda state: F.concat(
-        state["out"], text.substr((state["at"] + 1).cast("int"), F.length(text))
-    )
-    return F.when(F.size(spans) > 0, F.aggregate(spans, begin, advance, rest)).otherwise(text)
+def redacted(text: Column, spans: Column) -> Column:
+    """``text`` with every span replaced; overlapping spans become one."""
+    zero = F.lit(0).cast("bigint")
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def of(pieces: Column, ends: Column) -> Column:
+        # Each span with the end of what comes before it; it is new if it begins there or later.
+        before = F.slice(F.concat(F.array(zero), ends), 1, F.size(ends))
+        kept = lambda at, span: F.when(
+            span["start"] >= at, F.concat(_range(pieces, at, span["start"] - at), F.lit(REDACTED))
+        ).otherwise(F.lit(""))
+        end = F.element_at(ends, -1)
+        return F.concat(F.array_join(F.zip_with(before, spans, kept), ""), _range(pieces, end, F.length(text) - end))
+
+    ends = _states(spans, zero, lambda end, span: F.greatest(end, span["end"]))
+    clean = _let(pieces, lambda pieces: _let(ends, lambda ends: of(pieces, ends)))
+    return F.when(F.size(spans) > 0, clean).otherwise(text)
 
 
 def redacted_documents(docs: DataFrame) -> DataFrame:

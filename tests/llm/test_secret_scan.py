@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -83,13 +84,40 @@ def test_linked_parts_equal_brute_force(documents):
     got = _scan(documents, *texts)
     for i, found in enumerate(places):
         kept = set()
-        for scope in range(-1, len(texts[i]) // 200 + 2):
-            seen = [p for p in found if abs(p[1] // 200 - scope) <= 1]
+        for _, begin, _ in found:
+            seen = [p for p in found if 0 <= p[1] - begin <= secret_scan.SCOPE]
             if {kind for kind, *_ in seen} == set(parts):
                 kept |= {p for p in seen if p[0] != "place"}
         assert got[i][1] == sorted(kept, key=lambda p: p[1]), texts[i]
 
 
+def test_gaps_decide_and_places_do_not(documents):
+    for gap in range(150, 600, 50):
+        whole = f"{PLACE}{' ' * (gap - len(PLACE))}{WEAK_ID} {WEAK_SECRET}"
+        far = whole.index(WEAK_SECRET)
+        got = _scan(documents, *["\n" * shift + whole for shift in range(0, 421, 7)])
+        assert {len(linked) for _, linked in got.values()} == {2 if far <= secret_scan.SCOPE else 0}, gap
+
+
+def test_many_spans_take_time_in_proportion(spark, documents):
+    n = 32_000
+    text = "token=abcdef12 " * n + f"{PLACE} {WEAK_ID} {WEAK_SECRET} " * 2000
+    docs = documents((1, text, "s"))
+    begun = time.monotonic()
+    row = secret_scan.find_secrets(docs).first()
+    assert [(s["start"], s["end"]) for s in row["base"]] == [(15 * i, 15 * i + 14) for i in range(n)]
+    assert len(row["linked"]) == 4000
+    clean = secret_scan.redacted_documents(docs).first()["text"]
+    assert clean == "[REDACTED] " * n + f"{PLACE} [REDACTED] [REDACTED] " * 2000
+    assert time.monotonic() - begun < 40
+
+
+def test_long_gaps_and_overlaps_in_redaction(documents):
+    text = "é" * 10_000 + " token=abcdefab0123456789abcdef01234567 " + "𝔘" * 9000 + " password=hunter22"
+    row = secret_scan.redacted_documents(documents((1, text, "s"))).first()
+    assert row["text"] == "é" * 10_000 + " [REDACTED] " + "𝔘" * 9000 + " [REDACTED]"
+
+
 def test_edge_rows(spark, documents, with_clashes):
     docs = with_clashes(documents((None, None, None), (1, "", "s"), (1, "token=abcdef", "s"), (1, "token=abcdef", "s"), (2, "token=abcdef " * 3000, "s")))
     rows = secret_scan.find_secrets(docs).collect()
