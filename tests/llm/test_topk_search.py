@@ -13,8 +13,11 @@ def brute(rows, asked, k):
     codes = np.packbits(block @ topk_search.directions(block.shape[1]) > 0, axis=1, bitorder="little").view("<u8")[:, 0]
     out = {}
     for q in asked:
-        apart = np.bitwise_count(codes ^ codes[np.flatnonzero(ids == q)[0]]).astype(int)
-        out[q] = sorted((int(d), int(i)) for d, i in zip(apart, ids, strict=True) if i != q)[:k]
+        least = {}
+        for own in codes[ids == q]:
+            for d, i in zip(np.bitwise_count(codes ^ own).astype(int), ids, strict=True):
+                least[int(i)] = min(int(d), least.get(int(i), 64))
+        out[q] = sorted((d, i) for i, d in least.items() if i != q)[:k]
     return out
 
 
@@ -60,17 +63,41 @@ def test_query_equals_brute_force(spark):
     assert {q: sorted(v) for q, v in got.items()} == brute(rows, asked, topk_search.K)
 
 
-def test_steps_go_through_all_radii_and_segments():
-    assert topk_search.directions(3).shape == (3, 64)
+@pytest.mark.parametrize("widths", [[16] * 4, [22, 21, 21], [8] * 8, [32, 32]])
+def test_steps_go_through_all_radii_and_segments(widths):
+    m, most = len(widths), max(widths)
     for n in (1, 400, 10**9):
         at, seen = (0, 0), []
-        while at[0] <= 16:
-            radii, segments = topk_search.next_step(*at, n)
+        while at[0] <= most:
+            radii, segments = topk_search.next_step(*at, n, widths)
             seen += [(r, s) for r in radii for s in segments]
-            at = divmod(4 * radii[-1] + segments[-1] + 1, 4)
-        assert seen == [(r, s) for r in range(17) for s in range(4)]
-    assert topk_search.next_step(0, 0, 1) == (list(range(17)), [0, 1, 2, 3])
-    assert topk_search.next_step(6, 2, 10**6) == ([6], [2])
+            at = divmod(m * radii[-1] + segments[-1] + 1, m)
+        assert seen == [(r, s) for r in range(most + 1) for s in range(m)]
+    assert topk_search.next_step(6, 1, 10**8, widths) == ([6], [1])
+
+
+def test_segments_widen_with_the_table():
+    assert [topk_search.segment_widths(n) for n in (0, 300, 51_282, 10**6, 10**9, 10**12)] == [
+        [8] * 8, [8] * 8, [16] * 4, [22, 21, 21], [32, 32], [32, 32],
+    ]
+
+
+@pytest.mark.parametrize("widths", [[22, 21, 21], [32, 32]])
+def test_wider_segments_find_the_same(spark, monkeypatch, widths):
+    monkeypatch.setattr(topk_search, "segment_widths", lambda n: widths)
+    random = np.random.default_rng(4)
+    rows = [(i, v) for i, v in enumerate(random.normal(0, 1, (3, 8))[random.integers(0, 3, 60)] + random.normal(0, 0.05, (60, 8)))]
+    assert _search(spark, rows, [0, 20], 4) == brute(rows, [0, 20], 4)
+
+
+def test_ids_with_several_codes(spark):
+    random = np.random.default_rng(6)
+    centres = random.normal(0, 1, (4, 16))
+    rows = [(i, centres[i % 4] + random.normal(0, 0.2, 16)) for i in range(150)]
+    rows += [(500 + i % 3, centres[i % 4] + random.normal(0, 0.2, 16)) for i in range(90)]
+    rows += [(20, centres[2] + random.normal(0, 0.1, 16)), (20, centres[3]), (41, centres[3]), (41, centres[3])]
+    asked = [0, 20, 41, 500]
+    assert _search(spark, rows, asked, 9) == brute(rows, asked, 9)
 
 
 @pytest.mark.parametrize("step", [0, 40_000])
