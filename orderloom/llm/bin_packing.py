@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import checkpointed, text_of
-from orderloom.llm.tokens import VOCABULARY, encoding
+from orderloom.llm.tokens import VOCABULARY, token_ids
 
 CAPACITY = 1024
 END_ID = 2
@@ -52,7 +52,6 @@ def tokenized_pieces(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoding(vocabulary)
         schema = pa.schema(
             [
                 ("doc_id", pa.int64()),
@@ -67,8 +66,7 @@ def tokenized_pieces(
                 batch = whole.slice(lo, DOCS_PER_BATCH)
                 rows: list[tuple] = []
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    ids = encoder.encode(text.as_py(), allowed_special="all", disallowed_special=())
-                    ids.append(end_id)
+                    ids = [*token_ids(text.as_py(), vocabulary), end_id]
                     packed = np.asarray(ids, dtype="<u4")
                     for piece, (start, length) in enumerate(piece_bounds(len(ids), capacity)):
                         rows.append((doc_id, piece, start, length, packed[start : start + length].tobytes()))
@@ -169,7 +167,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         bin_of, turn = np.divmod(at - positions[run], per_bin[run])
         return pd.DataFrame({"sequence_id": bins[run] + bin_of, "offset": offsets[run] + turn * lengths[run]})
 
-    hashed = F.xxhash64("doc_id", "piece", "start")
+    # The partitions of the checkpoint are part of the hash: rows that repeat an id, or have
+    # none, are spread over the buckets too.
+    hashed = F.xxhash64("doc_id", "piece", "start", F.spark_partition_id())
     dealt = pieces.withColumn("_hash", hashed).withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
     cells = dealt.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

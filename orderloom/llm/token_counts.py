@@ -11,6 +11,10 @@ the characters, tokens and pre-tokens below them. An edit finds its region by de
 on characters, replaces it inside its buckets and updates the sums on their paths. A
 bucket that grew too far has the tree built anew from the counts at hand.
 
+Trees are rows: a document's text with the lengths and token counts of its pre-tokens.
+``token_trees`` builds them once; ``edit_trees`` takes stored ones up again, encodes
+only what the edits touch, and returns trees that can be stored in turn.
+
 Documents are handled one by one inside tasks. Their edits come with them, grouped
 by document, as an array bounded by what was edited.
 """
@@ -20,13 +24,14 @@ from __future__ import annotations
 import functools
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import text_of
-from orderloom.llm.tokens import VOCABULARY, encoding
+from orderloom.llm.tokens import VOCABULARY, piece_ids
 
 #: How far past its end a pre-token's match looks: a contraction of three characters
 #: after an apostrophe, or the character after the end of a white-space run.
@@ -40,14 +45,21 @@ class _Counts(dict):
     """Tokens per pre-token, worked out when first asked for; emptied at a bound."""
 
     def __init__(self, vocabulary: str):
-        self._encode = encoding(vocabulary).encode_ordinary
+        self._vocabulary = vocabulary
 
     def __missing__(self, pre_token: str) -> int:
         if len(self) >= KNOWN_AT_MOST:
             self.clear()
-        n = self[pre_token] = len(self._encode(pre_token))
+        n = self[pre_token] = len(piece_ids(pre_token, self._vocabulary))
         return n
 
+    def learn(self, pre_tokens: list[str], counts: list[int]) -> None:
+        """Take over counts that are known."""
+        for lo in range(0, len(pre_tokens), KNOWN_AT_MOST):
+            if len(self) >= KNOWN_AT_MOST:
+                self.clear()
+            self.update(zip(pre_tokens[lo : lo + KNOWN_AT_MOST], counts[lo : lo + KNOWN_AT_MOST], strict=True))
+
 
 @functools.cache
 def _counts(vocabulary: str) -> _Counts:
@@ -62,13 +74,32 @@ def _pattern() -> regex.Pattern:
 
 
 class TokenTree:
-    """Pre-tokens of one text with token counts, kept through edits."""
+    """Pre-tokens of one text with token counts, kept through edits.
+
+    ``lengths`` and ``counts`` are those of a tree's own pre-tokens, as ``stored`` gives
+    them; with these nothing is split or encoded.
+    """
 
-    def __init__(self, text: str, vocabulary: str = VOCABULARY):
+    def __init__(self, text: str, vocabulary: str = VOCABULARY, lengths: bytes | None = None, counts: bytes | None = None):
         self._count, self._pattern = _counts(vocabulary), _pattern()
-        self._build(self._pattern.findall(text))
+        if lengths is None or counts is None:
+            self._build(self._pattern.findall(text))
+        else:
+            ends = np.cumsum(np.frombuffer(lengths, "<u4"), dtype=np.int64).tolist()
+            if (ends[-1] if ends else 0) != len(text):
+                raise ValueError("the tree is another text's")
+            pre_tokens = [text[begin:end] for begin, end in zip([0, *ends], ends, strict=False)]
+            self._count.learn(pre_tokens, np.frombuffer(counts, "<u4").tolist())
+            self._build(pre_tokens)
         self.encoded_chars = 0
 
+    def stored(self) -> tuple[bytes, bytes]:
+        """Lengths and token counts of all pre-tokens, as little-endian 32-bit numbers."""
+        pre_tokens = [p for bucket in self.buckets for p in bucket]
+        numbers = (map(len, pre_tokens), map(self._count.__getitem__, pre_tokens))
+        lengths, counts = (np.fromiter(n, dtype="<u4", count=len(pre_tokens)).tobytes() for n in numbers)
+        return lengths, counts
+
     def _build(self, pre_tokens: list[str]) -> None:
         self.buckets = [pre_tokens[i : i + BUCKET] for i in range(0, len(pre_tokens), BUCKET)] or [[]]
         self._leaves = 1 << (len(self.buckets) - 1).bit_length()
@@ -215,3 +246,51 @@ def count_after_edits(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFram
         F.col("edits").cast("array<struct<start:bigint,deleted:bigint,inserted:string>>"),
     )
     return source.mapInArrow(run, RESULT)
+
+
+TREE = "doc_id bigint, text string, n_tokens bigint, lengths binary, counts binary"
+_TREE_TYPES = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary()]
+
+
+def _tree_rows(docs: DataFrame, columns: list, vocabulary: str, schema: str) -> DataFrame:
+    """Trees of rows (doc_id, text, lengths, counts, edits) after their edits."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    types = [*_TREE_TYPES, pa.int64()][: len(names)]
+    arrow = pa.schema(list(zip(names, types, strict=True)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, DOCS_PER_BATCH):
+                batch, rows = whole.slice(lo, DOCS_PER_BATCH), []
+                for row in zip(*batch.columns, strict=True):
+                    doc_id, text, lengths, counts, edits = (value.as_py() for value in row)
+                    tree = TokenTree(text, vocabulary, lengths, counts)
+                    for e in edits or []:
+                        if e is not None:
+                            tree.edit(e["start"] or 0, e["deleted"] or 0, e["inserted"] or "")
+                    rows.append((doc_id, tree.text(), tree.tokens, *tree.stored(), tree.encoded_chars)[: len(names)])
+                found = list(zip(*rows, strict=True)) or [[]] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, types, strict=True)], schema=arrow)
+
+    return docs.select(*columns).mapInArrow(run, schema)
+
+
+def token_trees(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """A tree per row of ``docs`` (doc_id, text): its text, token count, and the pre-tokens' lengths and counts.
+
+    A null text is empty and has a tree without pre-tokens.
+    """
+    none = F.lit(None).cast("binary")
+    edits = F.lit(None).cast("array<struct<start:bigint,deleted:bigint,inserted:string>>")
+    columns = [F.col("doc_id").cast("bigint"), text_of().alias("text"), none.alias("lengths"), none.alias("counts"), edits.alias("edits")]
+    return _tree_rows(docs, columns, vocabulary, TREE)
+
+
+def edit_trees(trees: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Trees with a column ``edits`` (see ``count_after_edits``) after these, and ``encoded_chars``.
+
+    Stored counts are taken as they are; a tree without them is built from its text.
+    """
+    edits = F.col("edits").cast("array<struct<start:bigint,deleted:bigint,inserted:string>>").alias("edits")
+    columns = [F.col("doc_id").cast("bigint"), text_of().alias("text"), "lengths", "counts", edits]
+    return _tree_rows(trees, columns, vocabulary, f"{TREE}, encoded_chars bigint")

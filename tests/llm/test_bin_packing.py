@@ -29,6 +29,33 @@ def test_special_cases_of_ids(tokenizer, text):
     assert token_ids(text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        " " * 1_000_000, "a" + "\n" * 1_000_000 + " b", " " * 50_000 + "<|endoftext|>" + " " * 50_000 + "x", "\u3000" * 30_000 + "x",
+        "\x1c" * 30_000 + "x", "\xa0" * 30_000 + "\x85" * 9 + "é", ("ab" + "\t" * 25_000 + " ") * 3, " " * 20_000 + "\n" * 20_000 + "!", "x" * 300_000,
+    ],
+    ids=lambda t: repr(t[:3]),
+)
+def test_ids_of_long_runs(tokenizer, text):
+    assert token_ids(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_repeated_and_missing_ids_are_spread(spark, documents):
+    docs = documents(*[(None if i % 2 else 7, "same words here", "s") for i in range(4000)]).repartition(8)
+    rows = bin_packing.pack_documents(docs).collect()
+    assert len(rows) == 4000
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in by_sequence.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 1024
+
+
 @pytest.mark.parametrize("n, pieces", [(1, [(0, 1)]), (8, [(0, 8)]), (9, [(0, 1), (1, 8)]), (16, [(0, 8), (8, 8)]), (21, [(0, 5), (5, 8), (13, 8)])])
 def test_only_the_first_piece_is_short(n, pieces):
     assert bin_packing.piece_bounds(n, 8) == pieces

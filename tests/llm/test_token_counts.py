@@ -59,3 +59,34 @@ def test_edge_rows(spark):
     got = token_counts.count_after_edits(spark.createDataFrame(rows, schema)).collect()
     assert sorted(r["chars_after"] for r in got) == [0, 4, 5, 5, 5]
     assert token_counts.count_after_edits(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_stored_trees_are_taken_up_again(spark, tmp_path):
+    rows = [(1, "some words in a row " * 5000), (2, ""), (3, None), (None, "it's  a\n\n b"), (3, "é中 " * 40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    token_counts.token_trees(docs).write.parquet(str(tmp_path / "first"))
+    edits = "array(named_struct('start', 7L, 'deleted', 2L, 'inserted', ' thing'), NULL, named_struct('start', 0L, 'deleted', 0L, 'inserted', 'x '))"
+    first = spark.read.parquet(str(tmp_path / "first"))
+    token_counts.edit_trees(first.withColumn("edits", F.expr(edits))).write.parquet(str(tmp_path / "second"))
+    second = spark.read.parquet(str(tmp_path / "second"))
+    want = sorted(edited(edited(t or "", [(7, 2, " thing")]), [(0, 0, "x ")]) for _, t in rows)
+    assert sorted(r["text"] for r in second.collect()) == want
+    for r in second.collect():
+        fresh = token_counts.TokenTree(r["text"])
+        assert (r["n_tokens"], (bytes(r["lengths"]), bytes(r["counts"]))) == (fresh.tokens, fresh.stored())
+        assert r["encoded_chars"] < 200
+    assert token_counts.token_trees(docs.where("false")).count() == 0
+
+
+def test_a_stored_tree_of_another_text_fails():
+    lengths, counts = token_counts.TokenTree("a b c").stored()
+    assert token_counts.TokenTree("a b c", lengths=lengths, counts=counts).tokens == 3
+    with pytest.raises(ValueError):
+        token_counts.TokenTree("a b", lengths=lengths, counts=counts)
+
+
+def test_long_white_space():
+    for text in ("a" + " " * 1_000_000 + "b", "\n" * 1_000_000, " " * 50_000 + "<|endoftext|>x"):
+        tree = token_counts.TokenTree(text)
+        tree.edit(10, 2, "word")
+        assert tree.tokens == token_counts.TokenTree(tree.text()).tokens
