@@ -45,6 +45,8 @@ PACKAGE_BYTES = 64 << 20
 PACKAGE_RECORDS = 20_000
 #: Ranges that lie together are read at once up to this size.
 READ_BYTES = 4 << 20
+#: What one task reads, about.
+TASK_BYTES = 32 << 20
 ROWS_PER_BATCH = 256
 DATE = "1970-01-01T00:00:00Z"
 
@@ -406,5 +408,8 @@ def read_records(entries: DataFrame, payloads: bool = True) -> DataFrame:
         if opened:
             opened[1].close()
 
-    placed = entries.select("package", "offset", "length").repartition("package", F.floor(F.col("offset") / F.lit(READ_BYTES)))
+    # Index rows are narrow: tasks are counted by what they will read, not by the rows' own size.
+    entries = checkpointed(entries.select("package", "offset", "length"))
+    tasks = -(-(entries.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES) or 1
+    placed = entries.repartition(tasks, "package", F.floor(F.col("offset") / F.lit(READ_BYTES)))
     return placed.sortWithinPartitions("package", "offset").mapInArrow(read, ", ".join(RECORDS.split(", ")[: len(schema)]))
