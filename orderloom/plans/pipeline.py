@@ -20,10 +20,11 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
-from functools import partial
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderloom.operators import gold, marts, partials, quality
 from orderloom.operators.cleaning import as_bronze, clean_orders
@@ -111,9 +112,13 @@ DERIVED: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+@cache
+def _derived_schema(spark: SparkSession, name: str) -> StructType:
+    return DERIVED[name](stg_orders(spark.createDataFrame([], SILVER))).drop(MONTH_KEY).schema
+
+
 def derived(lake: Lake, name: str) -> MonthlyTable:
-    made = DERIVED[name](stg_orders(lake.spark.createDataFrame([], SILVER)))
-    return lake.monthly(name, made.drop(MONTH_KEY).schema)
+    return lake.monthly(name, _derived_schema(lake.spark, name))
 
 
 def refresh(lake: Lake, names: Iterable[str] = tuple(DERIVED), rebuild: bool = False) -> dict[str, list[str]]:
