@@ -9,13 +9,16 @@ is unbiased where the maximum doesn't act and never negative (Kiryo et al., 2017
 is minimised with the logistic loss, so the score estimates the chance of label 1. The
 prior is estimated as the share of 1 among the labelled rows of the training fold.
 
-The model, a small network over shares of character classes and word statistics, is
-fitted by a fixed number of full-batch steps. Features of all documents outside the held
-out fold are measured once and stored in blocks, some 180 bytes a document; every step
-is one pass over them that sums the gradients of both terms in Spark, over all trusted
-positives and all documents. Only the sums, a few thousand numbers, reach the driver.
-They are added as decimals, so their order doesn't matter. Every document is scored, on
-its whole text, in one pass without a shuffle.
+The model is logistic in shares of character classes and word statistics and in fixed
+random combinations of them. With the second part weighed by a factor of at most 1 the
+risk is convex, so a few Newton steps minimise it. The factor is 1 where the part is not
+below zero; wherever a step has taken it there, the factor shrinks, until the maximum
+acts no more or the part no longer pays. Features of all documents outside the held out fold are
+measured once and stored in blocks, some 180 bytes a document; every step is one pass
+over them that sums losses, slopes and curvature in Spark, over all trusted positives and
+all documents. Only the sums, a few thousand numbers, reach the driver. They are added as
+decimals, so their order doesn't matter. Every document is scored, on its whole text, in
+one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -33,10 +36,11 @@ from orderloom.llm.common import stored, text_of
 
 FOLDS = 5
 THRESHOLD = 0.3
-HIDDEN = 24
-STEPS = 40
-RATE = 0.1
-DECAY = 1e-4
+COMBINATIONS = 24
+PASSES = 8
+DECAY = 1e-2
+#: What the negative part's factor is multiplied by where the part is below zero, and elsewhere up to 1.
+SHRINK, GROW = 0.7, 1.1
 SEED = 11
 ROWS_PER_BLOCK = 2048
 
@@ -71,36 +75,29 @@ def features(text: str) -> np.ndarray:
 N_FEATURES = len(_CLASSES) + 7
 
 
+_random = np.random.default_rng(SEED)
+_DIRECTIONS = _random.normal(0, 1 / np.sqrt(N_FEATURES), (N_FEATURES, COMBINATIONS))
+_SHIFTS = _random.normal(0, 1, COMBINATIONS)
+N_WEIGHTS = 1 + N_FEATURES + COMBINATIONS
+
+
 @dataclass
 class Model:
     prior: float
     mean: np.ndarray
     scale: np.ndarray
-    weights: list[np.ndarray]
-
-    def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(_forward((x - self.mean) / self.scale, self.weights)[1], -30, 30)))
-
+    weights: np.ndarray
 
-def _forward(x: np.ndarray, weights: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    inner, bias, outer, shift = weights
-    hidden = np.tanh(x @ inner + bias)
-    return hidden, hidden @ outer + shift[0]
+    def inputs(self, x: np.ndarray) -> np.ndarray:
+        z = np.clip((x - self.mean) / self.scale, -8, 8)
+        return np.hstack([np.ones((len(x), 1)), z, np.tanh(z @ _DIRECTIONS + _SHIFTS)])
 
-
-def _slopes(x: np.ndarray, by_output: np.ndarray, hidden: np.ndarray, weights: list[np.ndarray]) -> np.ndarray:
-    """Sum over rows of the output's slopes by all weights, each row's times ``by_output``."""
-    back = np.outer(by_output, weights[2]) * (1 - hidden**2)
-    return np.concatenate([(x.T @ back).ravel(), back.sum(0), hidden.T @ by_output, [by_output.sum()]])
-
-
-SIZES = (N_FEATURES * HIDDEN, HIDDEN, HIDDEN, 1)
-N_WEIGHTS = sum(SIZES)
+    def score(self, x: np.ndarray) -> np.ndarray:
+        return _chance(self.inputs(x) @ self.weights)
 
 
-def _shaped(flat: np.ndarray) -> list[np.ndarray]:
-    parts = np.split(flat, np.cumsum(SIZES)[:-1])
-    return [parts[0].reshape(N_FEATURES, HIDDEN), *parts[1:]]
+def _chance(out: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
 #: Sums over a block of rows: their features, and which of them are trusted positives.
@@ -112,59 +109,50 @@ def moments(x: np.ndarray, trusted: np.ndarray) -> np.ndarray:
     return np.concatenate([[len(x), trusted.sum()], x.sum(0), (x * x).sum(0)])
 
 
-def risk_sums(mean: np.ndarray, scale: np.ndarray, weights: list[np.ndarray]) -> Summand:
-    """Losses against label 0 of all and of trusted rows, and the slopes of the risk's parts."""
+def risk_sums(model: Model) -> Summand:
+    """Losses against label 0, slopes and curvature of these, each of all rows and of the
+    trusted ones, and the inputs of trusted rows."""
 
     def of(x: np.ndarray, trusted: np.ndarray) -> np.ndarray:
-        x = (x - mean) / scale
-        hidden, out = _forward(x, weights)
-        chance, loss = 1 / (1 + np.exp(-np.clip(out, -30, 30))), np.logaddexp(0, out)
-        p = x[trusted], hidden[trusted]
-        return np.concatenate(
-            [
-                [loss.sum(), loss[trusted].sum()],
-                _slopes(x, chance, hidden, weights),
-                _slopes(p[0], chance[trusted], p[1], weights),
-                _slopes(p[0], np.ones(len(p[0])), p[1], weights),
-            ]
-        )
+        inputs = model.inputs(x)
+        out = inputs @ model.weights
+        loss, chance = np.logaddexp(0, out), _chance(out)
+        spread = inputs * (chance * (1 - chance))[:, None]
+        parts = [inputs[trusted].sum(0)]
+        for rows in (slice(None), trusted):
+            parts += [[loss[rows].sum()], chance[rows] @ inputs[rows], (spread[rows].T @ inputs[rows]).ravel()]
+        return np.concatenate(parts)
 
     return of
 
 
 def train(summed: Callable[[Summand], np.ndarray], prior: float) -> Model:
-    """Minimise the non-negative risk by full-batch Adam steps over ``summed`` rows.
+    """Minimise the non-negative risk over ``summed`` rows in ``PASSES`` Newton steps.
 
-    Where the negative part of the risk falls below zero, the step ascends it, which
-    is the correction of the non-negative estimator. Without positives or rows the model
-    scores every text by the prior.
+    Without positives or rows the model scores every text by the prior.
     """
     n, n_trusted, *sums = summed(moments)
+    start = np.zeros(N_WEIGHTS)
+    start[0] = np.log((prior + 1e-6) / (1 - prior + 1e-6))
     if not n or not n_trusted:
-        flat = [np.zeros((N_FEATURES, 1)), np.zeros(1), np.zeros(1), np.array([np.log((prior + 1e-6) / (1 - prior + 1e-6))])]
-        return Model(prior, np.zeros(N_FEATURES), np.ones(N_FEATURES), flat)
+        return Model(prior, np.zeros(N_FEATURES), np.ones(N_FEATURES), start)
     mean = np.array(sums[:N_FEATURES]) / n
     scale = np.sqrt(np.maximum(np.array(sums[N_FEATURES:]) / n - mean**2, 0)) + 1e-3
-    random = np.random.default_rng(SEED)
-    inner = random.normal(0, 1 / np.sqrt(N_FEATURES), N_FEATURES * HIDDEN)
-    outer = random.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN)
-    flat = np.concatenate([inner, np.zeros(HIDDEN), outer, np.zeros(1)])
-    first, second = np.zeros(N_WEIGHTS), np.zeros(N_WEIGHTS)
-    for step in range(1, STEPS + 1):
-        found = summed(risk_sums(mean, scale, _shaped(flat)))
-        all_loss, trusted_loss = found[0] / n, found[1] / n_trusted
-        all_rows, trusted, ones = found[2:].reshape(3, N_WEIGHTS) / np.array([[n], [n_trusted], [n_trusted]])
-        slope = all_rows - prior * trusted
-        if all_loss - prior * trusted_loss < 0:
-            slope = -slope
-        else:
-            slope = slope + prior * (trusted - ones)
-        slope = slope + DECAY * flat
-        first += 0.1 * (slope - first)
-        second += 0.01 * (slope * slope - second)
-        rate = RATE * (1 + np.cos(np.pi * (step - 1) / STEPS)) / 2
-        flat = flat - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-    return Model(prior, mean, scale, _shaped(flat))
+    model, factor = Model(prior, mean, scale, start), 1.0
+    decay = np.full(N_WEIGHTS, DECAY)
+    decay[0] = 0
+    sizes = [N_WEIGHTS, *2 * [1, N_WEIGHTS, N_WEIGHTS**2]]
+    for _ in range(PASSES):
+        inputs, *found = np.split(summed(risk_sums(model)), np.cumsum(sizes)[:-1])
+        (loss, slope, bend), (p_loss, p_slope, p_bend) = [f / n for f in found[:3]], [f / n_trusted for f in found[3:]]
+        below = loss[0] - prior * p_loss[0] < 0
+        factor = factor * SHRINK if below else min(1.0, factor * GROW)
+        # prior * E_P[loss(+)] + factor * (E_U[loss(-)] - prior * E_P[loss(-)])
+        gradient = prior * (p_slope - inputs / n_trusted) + factor * (slope - prior * p_slope) + decay * model.weights
+        curvature = prior * (1 - factor) * p_bend + factor * bend
+        whole = curvature.reshape(N_WEIGHTS, N_WEIGHTS) + np.diag(decay + 1e-6)
+        model = Model(prior, mean, scale, model.weights - np.linalg.solve(whole, gradient))
+    return model
 
 
 def held_out(doc_id: Column) -> Column:
