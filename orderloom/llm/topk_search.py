@@ -21,7 +21,8 @@ before the shuffle.
 
 from __future__ import annotations
 
-from itertools import accumulate
+from functools import reduce
+from itertools import accumulate, combinations
 from math import comb, log2
 
 import numpy as np
@@ -35,7 +36,9 @@ K = 10
 SEED = 17
 CODE_BITS = 64
 #: Widths of segments, in bits, whatever the number of codes.
-LEAST_WIDTH, MOST_WIDTH = 8, 32
+LEAST_WIDTH, MOST_WIDTH = 16, 32
+#: More masks than this are made by steps, not listed in the plan.
+MOST_LISTED = 20_000
 #: A query's look-ups, and those of all queries, above which a step takes one segment.
 PROBES_AT_ONCE = 4000
 STEP_PROBES = 300_000
@@ -79,18 +82,28 @@ def _segment(code: Column, widths: list[int], number: int) -> Column:
     return F.shiftrightunsigned(code, begin).bitwiseAND(F.lit((1 << widths[number]) - 1))
 
 
-def _balls(probes: DataFrame, radii: list[int]) -> DataFrame:
+def _balls(probes: DataFrame, radii: list[int], widths: list[int]) -> DataFrame:
     """``probes`` (.., width) with ``mask``: every value of so many bits with as many set as one of ``radii``."""
-    found, at, wanted = None, probes.withColumns({"mask": F.lit(0).cast("bigint"), "next": F.lit(0)}), set(radii)
-    for radius in range(max(radii) + 1):
-        if radius in wanted:
-            found = at if found is None else found.union(at)
-        # One more bit, above those that are set.
-        bits = F.when(F.col("next") < F.col("width"), F.sequence(F.col("next"), F.col("width") - 1))
-        at = at.withColumn("bit", F.explode(bits)).withColumns(
-            {"mask": F.col("mask").bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))), "next": F.col("bit") + 1}
-        ).drop("bit")
-    return found.drop("next")
+    parts = []
+    for width in sorted(set(widths)):
+        part = probes.where(F.col("width") == width) if len(set(widths)) > 1 else probes
+        if sum(comb(width, r) for r in radii) <= MOST_LISTED:
+            masks = (sum(1 << bit for bit in chosen) for r in radii for chosen in combinations(range(width), r))
+            listed = F.expr(f"CAST(array({', '.join(map(str, masks))}) AS array<bigint>)")
+            parts.append(part.withColumn("mask", F.explode(listed)))
+        else:
+            parts += [_stepped(part, radius, width) for radius in radii]
+    return reduce(DataFrame.union, parts)
+
+
+def _stepped(probes: DataFrame, radius: int, width: int) -> DataFrame:
+    """``probes`` with every mask of ``radius`` bits, one bit after the other, rising."""
+    at = probes.withColumns({"mask": F.lit(0).cast("bigint"), "next": F.lit(0)})
+    for _ in range(radius):
+        bits = F.when(F.col("next") < width, F.sequence(F.col("next"), F.lit(width - 1)))
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))
+        at = at.withColumn("bit", F.explode(bits)).withColumns({"mask": F.col("mask").bitwiseOR(bit), "next": F.col("bit") + 1}).drop("bit")
+    return at.drop("next")
 
 
 def next_step(radius: int, segment: int, n_queries: int, widths: list[int]) -> tuple[list[int], list[int]]:
@@ -119,7 +132,7 @@ def _found(queries: DataFrame, table: DataFrame, radii: list[int], segments: lis
     ]
     own = F.explode(F.array(*values))
     probes = queries.select(F.col("code").alias("query"), "bound", own.alias("own")).select("query", "bound", "own.*")
-    probes = _balls(probes, radii).select(
+    probes = _balls(probes, radii, widths).select(
         "query", "bound", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"), F.bit_count("mask").alias("radius")
     )
     entries = table.select("*", own.alias("own")).select("code", "owner", "n_ids", "least_id", "own.segment", "own.value")

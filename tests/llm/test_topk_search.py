@@ -78,7 +78,7 @@ def test_steps_go_through_all_radii_and_segments(widths):
 
 def test_segments_widen_with_the_table():
     assert [topk_search.segment_widths(n) for n in (0, 300, 51_282, 10**6, 10**9, 10**12)] == [
-        [8] * 8, [8] * 8, [16] * 4, [22, 21, 21], [32, 32], [32, 32],
+        [16] * 4, [16] * 4, [16] * 4, [22, 21, 21], [32, 32], [32, 32],
     ]
 
 
