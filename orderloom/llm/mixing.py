@@ -35,6 +35,22 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
+def _with_sums_before(rows: DataFrame, order: Column, values: dict[str, Column]) -> DataFrame:
+    """``rows`` with the sums of ``values`` over the rows before each in ``order``, a total one.
+
+    Rows are range-partitioned and written, so that no task holds them all. Sums inside a
+    partition start from those of the partitions before it: one row per partition meets in
+    one task, as many as the session's shuffle partitions at most.
+    """
+    placed = checkpointed(rows.repartitionByRange(order).withColumn("_part", F.spark_partition_id()))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("_part").agg(*[F.sum(v).alias(n) for n, v in values.items()])
+    parts = parts.select("_part", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_parts") for n in values])
+    inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    sums = {n: F.coalesce(F.sum(v).over(inside), F.lit(0)) + F.col(f"{n}_parts") for n, v in values.items()}
+    return placed.join(parts, "_part").select(*rows.columns, *[v.alias(n) for n, v in sums.items()])
+
+
 def source_targets(
     sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_copies: int = MAX_COPIES
 ) -> DataFrame:
@@ -44,33 +60,26 @@ def source_targets(
     all sizes. A target ends at ``max_copies`` times its source's size; the excess is
     shared again by weight until none is above. That fixed point is
     ``min(cap, level * weight)``; the level is found by taking sources in the order
-    in which a rising level fills them. Works on one row per source.
+    in which a rising level fills them. Works on one row per source, in range partitions,
+    so sources may be as many as sites. Two sums and the level reach the driver.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    turn = (F.row_number().over(by_name) - 1) % len(weights)
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (turn + 1).cast("int"))
-    filled = Window.orderBy("_fills_at", F.col("source").asc_nulls_last())
-    before = filled.rowsBetween(Window.unboundedPreceding, -1)
-    onward = filled.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    levels = (
-        sources.select("source", "source_size", weight.alias("_weight"))
-        .withColumn("_cap", F.lit(float(max_copies)) * F.col("source_size"))
-        .withColumn("_fills_at", F.col("_cap") / F.col("_weight"))
-        .withColumn("_total", F.sum("source_size").over(Window.partitionBy()).cast("double"))
-        .withColumn(
-            "_level",
-            (F.col("_total") - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))) / F.sum("_weight").over(onward),
-        )
-    )
-    reached = F.when(F.col("_level") <= F.col("_fills_at"), F.struct("_fills_at", "_level"))
-    return (
-        levels.withColumn("_at", F.min(reached).over(Window.partitionBy()))
-        .select(
-            "source",
-            "source_size",
-            F.least("_cap", F.coalesce(F.col("_at._level"), F.col("_fills_at")) * F.col("_weight")).alias("target"),
-        )
+    named = _with_sums_before(sources, F.col("source").asc_nulls_last(), {"_turn": F.lit(1)})
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_turn") % len(weights) + 1).cast("int"))
+    cap = F.lit(float(max_copies)) * F.col("source_size")
+    weighed = named.select("source", "source_size", weight.alias("_weight"), cap.alias("_cap"))
+    fills_at = F.col("_cap") / F.col("_weight")
+    # Sources that fill at the same level are one entry: the level is one number, whatever their order.
+    groups = weighed.groupBy(fills_at.alias("_fills_at")).agg(
+        F.sum("_cap").alias("_cap"), F.sum("_weight").alias("_weight"), F.sum("source_size").alias("_size")
     )
+    whole = groups.agg(F.sum("_size").alias("size"), F.sum("_weight").alias("weight")).first()
+    if whole["weight"] is None:
+        return weighed.select("source", "source_size", F.col("_cap").alias("target"))
+    filled = _with_sums_before(groups, F.col("_fills_at").asc(), {"_caps": F.col("_cap"), "_weights": F.col("_weight")})
+    level = (F.lit(float(whole["size"])) - F.col("_caps")) / (F.lit(whole["weight"]) - F.col("_weights"))
+    reached = filled.select("_fills_at", level.alias("_level")).where("_level <= _fills_at")
+    level = reached.agg(F.min_by("_level", "_fills_at")).first()[0]
+    return weighed.select("source", "source_size", F.least("_cap", F.lit(level) * F.col("_weight")).alias("target"))
 
 
 def _size_band(size: Column) -> Column:

@@ -192,17 +192,19 @@ WITH docs AS (
     SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight,
         3.0::DOUBLE * source_size AS cap
     FROM sources
+), filling AS (
+    SELECT cap / weight AS fills_at, sum(cap) AS cap, sum(weight) AS weight FROM weighed GROUP BY ALL
 ), levels AS (
-    SELECT *, cap / weight AS fills_at,
-        (CAST(sum(source_size) OVER () AS DOUBLE)
-            - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-            / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
-    FROM weighed
+    SELECT fills_at,
+        (CAST((SELECT sum(source_size) FROM weighed) AS DOUBLE)
+            - coalesce(sum(cap) OVER (ORDER BY fills_at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY fills_at ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM filling
 ), targets AS (
     SELECT source_key, CAST(source_size AS BIGINT) AS source_size,
         least(cap, (SELECT arg_min(level, fills_at) FROM levels WHERE level <= fills_at) * weight) AS target,
         CAST('0x' || substr(md5('7' || source_key), 1, 5) AS BIGINT) / 1048576.0::DOUBLE AS start
-    FROM levels
+    FROM weighed
 ), ranked AS (
     SELECT doc_id, size, source_size, target, start,
         CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,

@@ -28,6 +28,11 @@ def water_fill(sizes: dict, weights=(5, 2, 1), most=3):
         {"a": 0},
         {"only": 12},
         {f"s{i}": (i * 37) % 101 for i in range(23)},
+        # Sources that fill at one level.
+        {"a": 10, "b": 10, "c": 10, "d": 10},
+        {"a": 5, "b": 2, "c": 1},
+        {"a": 0, "b": 0, "c": 9, None: 9},
+        {f"site{i:05}": 7 for i in range(3000)},
     ],
 )
 def test_targets(spark, sizes):
@@ -55,6 +60,24 @@ def test_words_taken_come_near_the_targets(spark, documents):
         assert abs(taken[s] - target[s]) <= 2 * largest[s]
 
 
+def test_no_task_holds_all_sources(spark):
+    frame = spark.createDataFrame([(f"site{i}", i) for i in range(5000)], "source string, source_size bigint").repartition(3)
+    rows = mixing._with_sums_before(frame, F.col("source").asc_nulls_last(), {"n": F.lit(1), "size": F.col("source_size")})
+    got = [(r["source"], r["n"], r["size"]) for r in rows.orderBy("source").collect()]
+    expected, total = [], 0
+    for n, (name, size) in enumerate(sorted((f"site{i}", i) for i in range(5000))):
+        expected.append((name, n, total))
+        total += size
+    assert got == expected
+    _only_sums_by_partition_meet(rows)
+
+
+def _only_sums_by_partition_meet(frame):
+    lines = frame._jdf.queryExecution().executedPlan().toString().split("\n")
+    single = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+    assert single and all("Aggregate(key=[_part" in lines[i + 1] or "Aggregate(keys=[_part" in lines[i + 1] for i in single)
+
+
 def test_reruns_and_layouts_agree(spark, documents):
     docs = _documents(documents, 400, ["a", "b"])
     once = {r["doc"]["doc_id"]: r["copies"] for r in mixing.mix(docs, keep=["doc_id"]).collect()}
@@ -66,10 +89,7 @@ def test_one_text_with_most_rows_is_spread(spark, documents):
     docs = documents(*[(i, "the same words", "hot") for i in range(3000)], *[(i, "x y", "b") for i in range(3000, 3100)])
     cells = mixing.mix(docs, keep=["doc_id"])
     assert cells.count() == 3100
-    # Only the table of sources, a row each, meets in one task.
-    lines = cells._jdf.queryExecution().executedPlan().toString().split("\n")
-    single = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
-    assert single and all("Aggregate(key=[_key" in lines[i + 1] or "Aggregate(keys=[_key" in lines[i + 1] for i in single)
+    _only_sums_by_partition_meet(cells)
     buckets = F.expr("CAST(conv(substring(md5(concat('7:', doc_id)), 1, 7), 16, 10) AS BIGINT) % 256")
     assert docs.where("source = 'hot'").select(buckets).distinct().count() > 250
 
