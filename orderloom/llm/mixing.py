@@ -84,7 +84,8 @@ def source_targets(
 
 def _size_band(size: Column) -> Column:
     wide = FINE_SIZES + F.floor(BANDS_PER_OCTAVE * F.log2(size / F.lit(FINE_SIZES)))
-    return F.when(size <= FINE_SIZES, size).otherwise(wide).cast("int")
+    # Never null, so that the joins need no test of it, which would count the words again.
+    return F.coalesce(F.when(size <= FINE_SIZES, size).otherwise(wide).cast("int"), F.lit(0))
 
 
 def _unit_offset(source_key: Column, seed: int) -> Column:
@@ -124,7 +125,7 @@ def mix(
         )
         .withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
         .withColumn("_band", _size_band(F.col("size")))
-        .withColumn("_bucket", (F.conv(F.substring("_hash", 1, 7), 16, 10).cast("long") % buckets).cast("int"))
+        .withColumn("_bucket", F.coalesce((F.conv(F.substring("_hash", 1, 7), 16, 10).cast("long") % buckets).cast("int"), F.lit(0)))
     )
     cell = ["_key", "_band", "_bucket"]
     # Three small tables follow from the cells: kept, so that texts are counted once for them.
