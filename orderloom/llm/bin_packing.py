@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import checkpointed, text_of
+from orderloom.llm.common import checkpointed, small_batches, text_of
 from orderloom.llm.tokens import VOCABULARY, token_ids
 
 CAPACITY = 1024
@@ -151,7 +151,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     are written to the checkpoint folder once, as both passes read them: pass narrow
     rows. Lengths must lie between 1 and ``capacity``.
     """
-    pieces = checkpointed(pieces)
+    with small_batches(pieces.sparkSession):
+        pieces = checkpointed(pieces)
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = plan_bins(histogram, capacity)
     positions, per_bin, bins, offsets, lengths = (

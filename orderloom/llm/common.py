@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,22 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows that a Python worker gets at once where rows hold whole texts.
+TEXTS_PER_BATCH = 500
+_ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = TEXTS_PER_BATCH) -> Iterator[None]:
+    """Jobs inside hand at most ``rows`` rows at once to Python workers, which bounds both sides' buffers."""
+    before = spark.conf.get(_ROWS_PER_BATCH)
+    spark.conf.set(_ROWS_PER_BATCH, min(rows, int(before)) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(_ROWS_PER_BATCH, before)
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The session's shared folder, ``spark.checkpoint.dir``.
 

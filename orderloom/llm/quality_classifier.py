@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import stored, text_of
+from orderloom.llm.common import small_batches, stored, text_of
 
 FOLDS = 5
 THRESHOLD = 0.3
@@ -178,7 +178,8 @@ def _blocks(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     measured = docs.select("doc_id", measure(text_of()).alias("x"))
     marked = measured.join(trusted.select("doc_id", F.lit(True).alias("trusted")), "doc_id", "left")
     rows = marked.sortWithinPartitions("doc_id", "x").select("x", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-    return stored(rows.mapInArrow(gather, "x binary, trusted binary"))
+    with small_batches(docs.sparkSession, ROWS_PER_BLOCK):
+        return stored(rows.mapInArrow(gather, "x binary, trusted binary"))
 
 
 def _summed(blocks: DataFrame, summand: Summand) -> np.ndarray:

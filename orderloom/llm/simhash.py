@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import checkpointed, text_of
+from orderloom.llm.common import checkpointed, small_batches, text_of
 from orderloom.llm.components import components
 
 SHINGLE = 3
@@ -132,9 +132,10 @@ def links(fps: DataFrame, bits: int = BITS, bucket: int = BUCKET) -> DataFrame:
 
 def _labelled(docs: DataFrame, shingle: int, bits: int, bucket: int) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, fp, text_hash), and (fp, component) with the smallest fp as its name."""
-    marked = checkpointed(
-        docs.select("doc_id", fingerprints(text_of(), shingle).alias("fp"), F.xxhash64("text").alias("text_hash"))
-    )
+    with small_batches(docs.sparkSession):
+        marked = checkpointed(
+            docs.select("doc_id", fingerprints(text_of(), shingle).alias("fp"), F.xxhash64("text").alias("text_hash"))
+        )
     fps = checkpointed(marked.select("fp").distinct())
     joined = components(links(fps, bits, bucket))
     labels = fps.join(joined, fps["fp"] == joined["node"], "left")
