@@ -14,7 +14,7 @@ random combinations of them. With the second part weighed by a factor of at most
 risk is convex, so a few Newton steps minimise it. The factor is 1 where the part is not
 below zero; wherever a step has taken it there, the factor shrinks, until the maximum
 acts no more or the part no longer pays. Features of all documents outside the held out fold are
-measured once and stored in blocks, some 180 bytes a document; every step is one pass
+measured once and stored, some 180 bytes a document; every step is one pass
 over them that sums losses, slopes and curvature in Spark, over all trusted positives and
 all documents. Only the sums, a few thousand numbers, reach the driver. They are added as
 decimals, so their order doesn't matter. Every document is scored, on its whole text, in
@@ -161,40 +161,36 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _blocks(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """Features of ``docs`` with a mark for those whose id is in ``trusted``, many rows to a block."""
-    schema = pa.schema([("x", pa.binary()), ("trusted", pa.binary())])
+    """Features of ``docs`` with a mark for those whose id is in ``trusted``, a row each.
+
+    One Python node, so that a task needs one worker.
+    """
 
     @F.pandas_udf("binary")
     def measure(texts: pd.Series) -> pd.Series:
         return texts.map(lambda text: features(text).astype(np.float32).tobytes())
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS_PER_BLOCK):
-                part = batch.slice(lo, ROWS_PER_BLOCK)
-                block = [b"".join(part.column(0).to_pylist()), bytes(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.binary()) for b in block], schema=schema)
-
     measured = docs.select("doc_id", measure(text_of()).alias("x"))
     marked = measured.join(trusted.select("doc_id", F.lit(True).alias("trusted")), "doc_id", "left")
     rows = marked.sortWithinPartitions("doc_id", "x").select("x", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-    with small_batches(docs.sparkSession, ROWS_PER_BLOCK):
-        return stored(rows.mapInArrow(gather, "x binary, trusted binary"))
+    with small_batches(docs.sparkSession):
+        return stored(rows)
 
 
-def _summed(blocks: DataFrame, summand: Summand) -> np.ndarray:
-    """``summand`` added over all blocks; zeros without any."""
+def _summed(rows: DataFrame, summand: Summand) -> np.ndarray:
+    """``summand`` added over all ``rows`` in blocks; zeros without any."""
     size = len(summand(np.zeros((0, N_FEATURES)), np.zeros(0, dtype=bool)))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
         for batch in batches:
-            for x, trusted in zip(batch.column(0), batch.column(1), strict=True):
-                rows = np.frombuffer(x.as_py(), np.float32).reshape(-1, N_FEATURES).astype(np.float64)
-                total += summand(rows, np.frombuffer(trusted.as_py(), np.uint8) > 0)
+            for lo in range(0, batch.num_rows, ROWS_PER_BLOCK):
+                part = batch.slice(lo, ROWS_PER_BLOCK)
+                x = np.frombuffer(b"".join(part.column(0).to_pylist()), np.float32).reshape(-1, N_FEATURES)
+                total += summand(x.astype(np.float64), np.array(part.column(1).to_pylist(), dtype=bool))
         yield pa.RecordBatch.from_arrays([pa.array(range(size), pa.int32()), pa.array(total)], names=["i", "value"])
 
-    parts = blocks.mapInArrow(add, "i int, value double")
+    parts = rows.mapInArrow(add, "i int, value double")
     found = parts.groupBy("i").agg(F.sum(F.col("value").cast("decimal(38, 12)")).cast("double").alias("value")).collect()
     total = np.zeros(size)
     for row in found:
@@ -215,8 +211,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     )
     found = known.agg(F.count("good").alias("n"), F.sum(F.col("good").cast("bigint")).alias("good")).first()
     prior = (found["good"] or 0) / found["n"] if found["n"] else 0.5
-    blocks = _blocks(docs.where(~held_out(F.col("doc_id"))), known.where("good").select("doc_id").distinct())
-    return train(lambda summand: _summed(blocks, summand), prior)
+    rows = _blocks(docs.where(~held_out(F.col("doc_id"))), known.where("good").select("doc_id").distinct())
+    return train(lambda summand: _summed(rows, summand), prior)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
